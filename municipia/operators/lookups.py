@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 from municipia import fixed_values as fixed
 
 BROADCAST_MAX_ROWS = 50_000
+BROADCAST_MAX_BYTES = 8 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast if it has at most ``max_rows`` rows; otherwise return it unhinted.
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast if its rows and the text in them are few; otherwise return it unhinted.
 
-    The count stops at ``max_rows + 1`` rows. Meant for narrow lookup tables.
+    The measuring job stops at ``max_rows + 1`` rows.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    width = F.lit(0)
+    for name in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if measured["n"] <= max_rows and measured["size"] <= max_bytes else df
 
 
 def states(spark: SparkSession) -> DataFrame:

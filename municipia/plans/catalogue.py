@@ -50,11 +50,11 @@ def groups_of(spark: SparkSession, folder: str) -> DataFrame:
     return lookups.checked_broadcast(standin.category_groups(spark, folder))
 
 
-def explorer(spark: SparkSession, folder: str) -> Explorer:
-    """The interactive questions over the stand-in; the ones below choose no group, so no lookup is needed."""
+def explorer(spark: SparkSession, folder: str, *columns: str) -> Explorer:
+    """The interactive questions over crop rows with these columns; without a chosen group no lookup is needed."""
     places = standin.geography(spark, folder)
     return Explorer(
-        crop=standin.crop_fact(spark, folder),
+        crop=standin.crop_fact(spark, folder, *columns) if columns else None,
         livestock=standin.livestock_rows(spark, folder), states=standin.state_names(spark, folder),
         micros=places.select("mic", "mic_name", "uf").distinct(), municipalities=places, years=standin.YEARS,
     )
@@ -65,28 +65,28 @@ def explorer(spark: SparkSession, folder: str) -> Explorer:
 
 @query
 def state_category_rollup(spark, folder):
-    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder))
+    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v", "r_sum", "r_n"))
     return cells.select("uf", "category", "year", *CROP, "r_mean", "r_weighted")
 
 
 @query
 def micro_membership_rollup(spark, folder):
-    return rollup.rollup_membership(standin.crop_fact(spark, folder), groups_of(spark, folder), "mic")
+    return rollup.rollup_membership(standin.crop_fact(spark, folder, "mic", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mic")
 
 
 @query
 def mun_rollup(spark, folder):
-    return rollup.rollup(standin.crop_fact(spark, folder), ["mun", "year"], CROP)
+    return rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "a", "p", "v"), ["mun", "year"], CROP)
 
 
 @query
 def mun_group_rollup(spark, folder):
-    return rollup.rollup_membership_wide(standin.crop_fact(spark, folder), groups_of(spark, folder), "mun")
+    return rollup.rollup_membership_wide(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mun")
 
 
 @query
 def base_rollup(spark, folder):
-    return rollup.rollup_base(standin.crop_fact(spark, folder)).withColumn("r_n", F.col("r_n").cast("bigint"))
+    return rollup.rollup_base(standin.crop_fact(spark, folder, "uf", "mic", "mun", "category", "year", "a", "p", "v", "r_sum", "r_n")).withColumn("r_n", F.col("r_n").cast("bigint"))
 
 
 @query
@@ -127,24 +127,24 @@ def normalise_measures(spark, folder):
 
 @query
 def active_set_sum(spark, folder):
-    fact, groups = standin.crop_fact(spark, folder), groups_of(spark, folder)
+    fact, groups = standin.crop_fact(spark, folder, "uf", "category", "p"), groups_of(spark, folder)
     active = lookups.checked_broadcast(groups.where(F.col(fixed.COL) == 1).select("category"))
     return rollup.sum_active(fact, active)
 
 
 @query
 def category_totals(spark, folder):
-    return rollup.category_totals(standin.crop_fact(spark, folder))
+    return rollup.category_totals(standin.crop_fact(spark, folder, "category", "p"))
 
 
 @query
 def profile(spark, folder):
-    return rollup.profile(standin.crop_fact(spark, folder))
+    return rollup.profile(standin.crop_fact(spark, folder, "mun", "category", "uf", "year"))
 
 
 @query
 def domain_years(spark, folder):
-    return rollup.distinct_domain(standin.crop_fact(spark, folder), "year")
+    return rollup.distinct_domain(standin.crop_fact(spark, folder, "year"), "year")
 
 
 @query
@@ -155,7 +155,7 @@ def domain_categories_by_kind(spark, folder):
 
 @query
 def scope_maximum(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "mic", "year"], ["p"])
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "p"), ["uf", "mic", "year"], ["p"])
     return rollup.scope_max(values, "p", by=["uf", "year"])
 
 
@@ -173,7 +173,7 @@ def state_dim(spark, folder):
 @query
 def micro_dim_last_wins(spark, folder):
     orders = standin.table(spark, folder, "orders")
-    places = standin.geography(spark, folder)
+    places = standin.geography(spark, folder, region=True)
     seen = orders.join(places, orders.o_custkey == places.mun).select(
         "o_orderkey", F.col("mic_name").alias("mic"), F.col("uf").alias("mic_name"), F.col("region").alias("uf"),
         F.col("o_orderpriority").alias("meso_name"),
@@ -192,14 +192,14 @@ def mun_dim_first_wins(spark, folder):
 
 @query
 def attach_names(spark, folder):
-    totals = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "category"], ["p"])
+    totals = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "p"), ["uf", "category"], ["p"])
     names = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
     return lookups.attach_names(totals, names, "uf", "uf_name")
 
 
 @query
 def region_lookup(spark, folder):
-    totals = rollup.rollup(standin.crop_fact(spark, folder).drop("region"), ["uf", "year"], ["p"])
+    totals = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"])
     known = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
     return lookups.attach_region(totals, known)
 
@@ -288,34 +288,34 @@ def _known_groups(spark, folder):
 
 @query
 def new_categories(spark, folder):
-    return classify.new_categories(standin.crop_fact(spark, folder), _known_groups(spark, folder))
+    return classify.new_categories(standin.crop_fact(spark, folder, "category"), _known_groups(spark, folder))
 
 
 @query
 def attach_type_default(spark, folder):
-    totals = rollup.category_totals(standin.crop_fact(spark, folder), "a")
+    totals = rollup.category_totals(standin.crop_fact(spark, folder, "category", "a"), "a")
     return classify.attach_type(totals, _known_groups(spark, folder))
 
 
 @query
 def classify_groups(spark, folder):
-    totals = rollup.rollup(standin.crop_fact(spark, folder), ["category", "year"], ["a"])
+    totals = rollup.rollup(standin.crop_fact(spark, folder, "category", "year", "a"), ["category", "year"], ["a"])
     return classify.classify_group(totals, _known_groups(spark, folder))
 
 
 @query
 def set_difference_tra(spark, folder):
-    return classify.tractor_categories(standin.crop_fact(spark, folder), groups_of(spark, folder))
+    return classify.tractor_categories(standin.crop_fact(spark, folder, "category"), groups_of(spark, folder))
 
 
 @query
 def set_intersect_col(spark, folder):
-    return classify.combine_categories(standin.crop_fact(spark, folder), groups_of(spark, folder))
+    return classify.combine_categories(standin.crop_fact(spark, folder, "category"), groups_of(spark, folder))
 
 
 @query
 def group_profile(spark, folder):
-    return quality.group_profile(standin.crop_fact(spark, folder), groups_of(spark, folder))
+    return quality.group_profile(standin.crop_fact(spark, folder, "mun", "category"), groups_of(spark, folder))
 
 
 # -- cleaning ------------------------------------------------------------------------------------------
@@ -374,7 +374,7 @@ def sanitize_float(spark, folder):
 
 @query
 def round_published(spark, folder):
-    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder)).select("uf", "category", "year", *CROP, "r_mean")
+    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v", "r_sum", "r_n")).select("uf", "category", "year", *CROP, "r_mean")
     return files.round_measures(cells)
 
 
@@ -410,7 +410,7 @@ def missing_slices(spark, folder):
 def scope_filter(spark, folder):
     groups = groups_of(spark, folder)
     selection = Selection(group=fixed.TRA, uf="NATION_3", year=1998)
-    rows = filters.scope_filter(standin.crop_fact(spark, folder), selection)
+    rows = filters.scope_filter(standin.crop_fact(spark, folder, "uf", "mun", "category", "year", "p"), selection)
     return filters.active_categories(classify.classify_group(rows, groups), selection).groupBy("mun", "category").agg(F.sum("p").alias("value"))
 
 
@@ -419,7 +419,7 @@ def scope_filter(spark, folder):
 
 def _state_group_rows(spark, folder, group):
     groups = groups_of(spark, folder)
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "category", "year"], ["p"])
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "p"), ["uf", "category", "year"], ["p"])
     return filters.active_categories(classify.classify_group(cells, groups), Selection(group=group))
 
 
@@ -431,20 +431,20 @@ def dense_series_state(spark, folder):
 
 @query
 def dense_series_mun_category(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["mun", "category", "year"], CROP)
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), ["mun", "category", "year"], CROP)
     return series.densify(cells, ["mun", "category"], CROP, standin.YEARS)
 
 
 @query
 def packed_series(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["mun", "category", "year"], ["p"])
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "p"), ["mun", "category", "year"], ["p"])
     packed = series.pack_series(cells, ["mun", "category"], ["p"], standin.YEARS)
     return packed.select("mun", "category", F.posexplode("p").alias("year_index", "p"))
 
 
 @query
 def value_at_year(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["mun", "year"], ["p"])
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "p"), ["mun", "year"], ["p"])
     packed = series.pack_series(cells, ["mun"], ["p"], standin.YEARS)
     wanted = {"first": cleaning.value_at(F.col("p"), 0), "last": cleaning.value_at(F.col("p"), 6), "beyond": cleaning.value_at(F.col("p"), 7)}
     return packed.select("mun", *[c.cast("double").alias(n) for n, c in wanted.items()])
@@ -452,30 +452,30 @@ def value_at_year(spark, folder):
 
 @query
 def series_micro(spark, folder):
-    fact = standin.crop_fact(spark, folder)
+    fact = standin.crop_fact(spark, folder, "mic", "year", "a", "p", "v")
     return series.yearly_totals(fact, CROP, standin.YEARS, keys=["mic"])
 
 
 @query
 def series_national(spark, folder):
-    return explorer(spark, folder).series(Selection(metric="v"))
+    return explorer(spark, folder, "uf", "year", "v").series(Selection(metric="v"))
 
 
 @query
 def series_municipality(spark, folder):
-    return series.yearly_totals(standin.crop_fact(spark, folder), ["p"], standin.YEARS, keys=["mun"])
+    return series.yearly_totals(standin.crop_fact(spark, folder, "mun", "year", "p"), ["p"], standin.YEARS, keys=["mun"])
 
 
 @query
 def series_state_from_mun(spark, folder):
-    fact, places = standin.crop_fact(spark, folder), standin.geography(spark, folder)
+    fact, places = standin.crop_fact(spark, folder, "mun", "year", "p"), standin.geography(spark, folder)
     by_mun = rollup.rollup(fact, ["mun", "year"], ["p"])
     return series.series_state_from_municipalities(by_mun, places, standin.YEARS, ["p"])
 
 
 @query
 def series_by_scope(spark, folder):
-    view = explorer(spark, folder)
+    view = explorer(spark, folder, "uf", "mic", "year", "p")
     scopes = [Selection(metric="p"), Selection(metric="p", uf="NATION_3"), Selection(metric="p", uf="NATION_3", mic="NATION_7-BUILDING")]
     parts = [view.series(sel).select(F.lit(sel.scope_level()).alias("scope"), "year", "value") for sel in scopes]
     return rollup.union_all(parts)
@@ -483,7 +483,7 @@ def series_by_scope(spark, folder):
 
 @query
 def yield_series(spark, folder):
-    return explorer(spark, folder).series(Selection(metric="r"))
+    return explorer(spark, folder, "year", "a", "p").series(Selection(metric="r"))
 
 
 # -- rankings ----------------------------------------------------------------------------------------------
@@ -491,17 +491,17 @@ def yield_series(spark, folder):
 
 @query
 def top_states(spark, folder):
-    return explorer(spark, folder).top_states(Selection(metric="v"))
+    return explorer(spark, folder, "uf", "v").top_states(Selection(metric="v"))
 
 
 @query
 def top_categories(spark, folder):
-    return explorer(spark, folder).top_categories(Selection(metric="p"))
+    return explorer(spark, folder, "uf", "category", "year", "p").top_categories(Selection(metric="p"))
 
 
 @query
 def top_categories_in_state(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "category"], ["p"])
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "p"), ["uf", "category"], ["p"])
     return rank.top_k_per_scope(cells, ["uf"], 15, "p", "category")
 
 
@@ -512,7 +512,7 @@ def top_livestock_categories(spark, folder):
 
 @query
 def top_micros(spark, folder):
-    return explorer(spark, folder).top_micros(Selection(metric="a"))
+    return explorer(spark, folder, "mic", "a").top_micros(Selection(metric="a"))
 
 
 @query
@@ -525,25 +525,25 @@ def top_micros_zeros(spark, folder):
 @query
 def mun_ranking(spark, folder):
     places = standin.geography(spark, folder)
-    by_mun = rollup.rollup(standin.crop_fact(spark, folder), ["mun"], ["p"])
+    by_mun = rollup.rollup(standin.crop_fact(spark, folder, "mun", "p"), ["mun"], ["p"])
     located = by_mun.join(places.select("mun", "mun_name", "uf", "mic_name"), "mun")
     return rank.top_k_per_scope(located, ["uf"], 100, "p", "mun")
 
 
 @query
 def top_municipalities(spark, folder):
-    return explorer(spark, folder).top_municipalities(Selection(metric="p"))
+    return explorer(spark, folder, "mun", "p").top_municipalities(Selection(metric="p"))
 
 
 @query
 def top_k_per_scope(spark, folder):
-    by_mic = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "mic", "year"], ["v"])
+    by_mic = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "v"), ["uf", "mic", "year"], ["v"])
     return rank.top_k_per_scope(by_mic, ["uf", "year"], 3, "v", "mic")
 
 
 @query
 def rank_position(spark, folder):
-    by_mun = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "mun"], ["p"])
+    by_mun = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"])
     return rank.rank_position(by_mun, ["uf"], "p", "mun")
 
 
@@ -552,7 +552,7 @@ def rank_position(spark, folder):
 
 @query
 def kpi_crop(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "category", "year"], CROP)
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v"), ["uf", "category", "year"], CROP)
     return kpi.kpi_crop(cells, by=["year"])
 
 
@@ -564,25 +564,25 @@ def kpi_livestock(spark, folder):
 @query
 def scope_counts(spark, folder):
     places = standin.geography(spark, folder)
-    values = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "mun"], ["p"]).withColumnRenamed("p", "value")
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"]).withColumnRenamed("p", "value")
     return kpi.scope_counts(places.select("uf", "mic").distinct(), values)
 
 
 @query
 def choropleth_classes(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "mic", "year"], ["p"]).withColumnRenamed("p", "value")
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "p"), ["uf", "mic", "year"], ["p"]).withColumnRenamed("p", "value")
     return choropleth.colour_classes(values, ["uf", "year"], palette=fixed.PALETTE_REGION)
 
 
 @query
 def value_over_scope_max(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder), ["uf"], ["p"]).withColumnRenamed("p", "value")
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "p"), ["uf"], ["p"]).withColumnRenamed("p", "value")
     return rank.value_over_scope_max(values)
 
 
 @query
 def legend_steps(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "year"], ["p"]).withColumnRenamed("p", "value")
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"]).withColumnRenamed("p", "value")
     return choropleth.legend(values, by=["year"]).select("year", "step", "colour", "linear_value")
 
 
@@ -603,7 +603,7 @@ def features_in_scope(spark, folder):
 
 @query
 def fmt_magnitude(spark, folder):
-    fact = standin.crop_fact(spark, folder)
+    fact = standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v")
     cells = rollup.rollup(fact, ["uf", "category", "year"], CROP).withColumn("place", F.concat_ws("/", "uf", "category"))
     country = rollup.rollup(fact, ["year"], CROP).withColumn("place", F.lit("country"))
     both = rollup.union_all([cells.select("place", "year", *CROP), country.select("place", "year", *CROP)])
@@ -614,19 +614,19 @@ def fmt_magnitude(spark, folder):
 
 @query
 def export_slice(spark, folder):
-    return explorer(spark, folder).export_rows(Selection(metric="p"))
+    return explorer(spark, folder, "uf", "category", "year", "p").export_rows(Selection(metric="p"))
 
 
 @query
 def export_nested_json(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "category", "year"], ["a"]).withColumnRenamed("a", "value")
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "a"), ["uf", "category", "year"], ["a"]).withColumnRenamed("a", "value")
     maps = exports.export_state_maps(cells.withColumn("value", F.col("value").cast("decimal(18,2)")), True, by=["uf", "year"])
     return maps.select("uf", "year", F.to_json("data").alias("data"))
 
 
 @query
 def nested_package(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder), ["uf", "category", "year"], ["a", "p"])
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p"), ["uf", "category", "year"], ["a", "p"])
     exact = cells.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("a", "p")})
     packed = series.pack_series(exact, ["uf", "category"], ["a", "p"], standin.YEARS)
     return series.nest_package(packed, "uf", "category", ["a", "p"]).select("uf", F.to_json("package").alias("package"))

@@ -49,7 +49,7 @@ class Explorer:
             scoped = scope_filter(self.livestock, sel, year)
             return scoped if sel.category is None else scoped.where(F.col("category") == sel.category)
         chosen = sel if use_category else sel.with_(category=None)
-        scoped = drop_null_keys(scope_filter(_yield_ready(self.crop), sel, year), ["category", "year"])
+        scoped = scope_filter(_yield_ready(self.crop), sel, year)
         if chosen.category is not None:
             return scoped.where(F.col("category") == chosen.category)
         return scoped if sel.group == fixed.ALL else active_categories(classify_group(scoped, self.groups), chosen)
@@ -83,7 +83,7 @@ class Explorer:
         use_category = True
         if sel.compat and sel.domain == "crop" and sel.category is not None:
             use_category = level == "mic" and self._is_combine(sel.category)
-        rows = drop_null_keys(self._rows(sel, use_category, year), [level, "year"])
+        rows = drop_null_keys(self._rows(sel, use_category, year), keys)
         valued = rows.groupBy(*keys).agg(self._value(sel, below_state=level != "uf").alias("value"))
         return valued.withColumn("value", round_half_even(F.col("value"), 1)) if sel.compat else valued
 

@@ -26,20 +26,21 @@ def money(column: str, precision: int = 12) -> Column:
     return F.col(column).cast(f"decimal({precision},2)")
 
 
-def geography(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per customer: municipality, micro-region, state, macro-region."""
+def geography(spark: SparkSession, folder: str, region: bool = False) -> DataFrame:
+    """One row per customer: municipality, micro-region, state, and macro-region if asked for."""
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
-    region = table(spark, folder, "region")
-    return (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
-            F.col("c_custkey").alias("mun"), F.col("c_name").alias("mun_name"),
-            F.concat("n_name", F.lit("-"), "c_mktsegment").alias("mic"), F.col("c_mktsegment").alias("mic_name"),
-            F.col("n_name").alias("uf"), F.col("r_name").alias("region"),
-        )
-    )
+    places = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    columns = [
+        F.col("c_custkey").alias("mun"), F.col("c_name").alias("mun_name"),
+        F.concat("n_name", F.lit("-"), "c_mktsegment").alias("mic"), F.col("c_mktsegment").alias("mic_name"),
+        F.col("n_name").alias("uf"),
+    ]
+    if region:
+        regions = table(spark, folder, "region")
+        places = places.join(regions, places.n_regionkey == regions.r_regionkey)
+        columns.append(F.col("r_name").alias("region"))
+    return places.select(*columns)
 
 
 def state_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,25 +50,48 @@ def state_names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def crop_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as crop rows. Join sides are left unhinted: Spark broadcasts them only while they are small."""
-    line = table(spark, folder, "lineitem")
-    part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_retailprice")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
-    places = geography(spark, folder)
-    bought = orders.join(places, orders.o_custkey == places.mun)
+PART_COLUMNS = {"category", "r_sum", "r_n"}
+PLACE_COLUMNS = {"uf", "mic", "mic_name", "mun_name"}
+
+
+def _line_measures() -> dict[str, Column]:
     price, discount = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
-    return (
-        line.join(part, line.l_partkey == part.p_partkey)
-        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            "region", "uf", "mic", "mic_name", "mun", "mun_name",
-            F.col("p_brand").alias("category"), "year",
-            money("l_quantity").alias("a"), price.alias("p"),
-            (price * (F.lit(1).cast("decimal(1,0)") - discount)).alias("v"),
-            money("p_retailprice").alias("r_sum"), F.lit(1).cast("bigint").alias("r_n"),
+    return {
+        "a": money("l_quantity"),
+        "p": price,
+        "v": price * (F.lit(1).cast("decimal(1,0)") - discount),
+    }
+
+
+def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = True) -> DataFrame:
+    """Line items as crop rows with the named columns, joining only the tables these columns need.
+
+    Every line item has its part and order, and every order its customer and nation, so a join that
+    brings no column changes no row, yet would shuffle the largest table. With ``combine`` line items
+    shrink to partial sums on their join key, if they have only one: this needs no shuffle beyond the
+    join's own, and a hot key becomes few rows before it. Join sides carry no hint; Spark broadcasts
+    them only while their files are small, and splits hot keys of a shuffled join.
+    """
+    needs_part = bool(PART_COLUMNS.intersection(columns))
+    needs_order = bool({"year", "mun", *PLACE_COLUMNS}.intersection(columns))
+    measures = {name: column for name, column in _line_measures().items() if name in columns}
+    keys = [k for k, needed in (("l_partkey", needs_part), ("l_orderkey", needs_order)) if needed]
+    rows = table(spark, folder, "lineitem").select(*keys, *[column.alias(name) for name, column in measures.items()])
+    counts_lines = bool({"r_sum", "r_n"}.intersection(columns))
+    if combine and len(keys) == 1 and measures and not counts_lines:
+        rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
+    if needs_part:
+        part = table(spark, folder, "part").select(
+            "p_partkey", F.col("p_brand").alias("category"), money("p_retailprice").alias("r_sum"),
+            F.lit(1).cast("bigint").alias("r_n"),
         )
-    )
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    if needs_order:
+        bought = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("mun"), F.year("o_orderdate").alias("year"))
+        if PLACE_COLUMNS.intersection(columns):
+            bought = bought.join(geography(spark, folder), "mun")
+        rows = rows.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(*columns)
 
 
 def category_groups(spark: SparkSession, folder: str) -> DataFrame:
