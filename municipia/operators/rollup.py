@@ -6,12 +6,13 @@ roll-up of a roll-up is still exact. Null keys are dropped first, as the surveys
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
+from municipia.functions.units import scaled
 from municipia.operators.classify import classify_group
 from municipia.operators.filters import drop_null_keys
 
@@ -46,9 +47,13 @@ def rollup_base(fact: DataFrame, keys: Sequence[str] = ("uf", "mic", "mun", "cat
     return drop_null_keys(fact, ["category", "year"]).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def rollup_state_category(fact: DataFrame, uf: str = "uf", category: str = "category", year: str = "year") -> DataFrame:
-    """Per state, category and year: sums, the plain mean of yields, and the area-weighted yield."""
-    summed = rollup(fact, [uf, category, year], (*CROP_SUMS, *YIELD_PARTS))
+def rollup_state_category(fact: DataFrame, uf: str = "uf", category: str = "category", year: str = "year",
+                          per_one: Mapping[str, int] | None = None) -> DataFrame:
+    """Per state, category and year: sums, the plain mean of yields, and the area-weighted yield.
+
+    ``per_one`` names the units of measures that are whole counts; the sums are then amounts.
+    """
+    summed = scaled(rollup(fact, [uf, category, year], (*CROP_SUMS, *YIELD_PARTS)), per_one or {})
     return summed.withColumns({"r_mean": yield_mean(), "r_weighted": yield_weighted()})
 
 

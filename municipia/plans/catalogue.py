@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
-from municipia.functions import classes, cleaning, labels
+from municipia.functions import cleaning, labels
+from municipia.functions.units import scaled, whole_units
 from municipia.operators import choropleth, classify, dims, filters, kpi, lookups, quality, rank, rollup, series
 from municipia.params import Selection
 from municipia.plans import standin
@@ -34,16 +35,22 @@ LIVESTOCK_KEYS = ["mun", "kind", "category", "year"]
 
 
 def query(function: Query) -> Query:
-    """Register a query under its own name; decimals leave as doubles."""
+    """Register a query under its own name."""
+    QUERIES[function.__name__] = lambda spark, folder: function(tune(spark), folder)
+    return function
 
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        result = function(tune(spark), folder)
-        decimals = {n: F.col(n).cast("double") for n, kind in result.dtypes if kind.startswith("decimal")}
-        return result.withColumns(decimals) if decimals else result
 
-    run.__name__, run.__doc__ = function.__name__, function.__doc__
-    QUERIES[function.__name__] = run
-    return function
+def crop_amounts(df: DataFrame) -> DataFrame:
+    return scaled(df, standin.CROP_UNITS)
+
+
+def livestock_amounts(df: DataFrame) -> DataFrame:
+    return scaled(df, standin.LIVESTOCK_UNITS)
+
+
+def value_of(df: DataFrame, metric: str) -> DataFrame:
+    """A summed metric as an amount in a column ``value``."""
+    return df.withColumn(metric, F.col(metric) / F.lit(float(standin.CROP_UNITS[metric]))).withColumnRenamed(metric, "value")
 
 
 def groups_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,6 +64,7 @@ def explorer(spark: SparkSession, folder: str, *columns: str) -> Explorer:
         crop=standin.crop_fact(spark, folder, *columns) if columns else None,
         livestock=standin.livestock_rows(spark, folder), states=standin.state_names(spark, folder),
         micros=places.select("mic", "mic_name", "uf").distinct(), municipalities=places, years=standin.YEARS,
+        crop_units=standin.CROP_UNITS, livestock_units=standin.LIVESTOCK_UNITS,
     )
 
 
@@ -65,33 +73,33 @@ def explorer(spark: SparkSession, folder: str, *columns: str) -> Explorer:
 
 @query
 def state_category_rollup(spark, folder):
-    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v", "r_sum", "r_n"))
+    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v", "r_sum", "r_n"), per_one=standin.CROP_UNITS)
     return cells.select("uf", "category", "year", *CROP, "r_mean", "r_weighted")
 
 
 @query
 def micro_membership_rollup(spark, folder):
-    return rollup.rollup_membership(standin.crop_fact(spark, folder, "mic", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mic")
+    return crop_amounts(rollup.rollup_membership(standin.crop_fact(spark, folder, "mic", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mic"))
 
 
 @query
 def mun_rollup(spark, folder):
-    return rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "a", "p", "v"), ["mun", "year"], CROP)
+    return crop_amounts(rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "a", "p", "v"), ["mun", "year"], CROP))
 
 
 @query
 def mun_group_rollup(spark, folder):
-    return rollup.rollup_membership_wide(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mun")
+    return crop_amounts(rollup.rollup_membership_wide(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mun"))
 
 
 @query
 def base_rollup(spark, folder):
-    return rollup.rollup_base(standin.crop_fact(spark, folder, "uf", "mic", "mun", "category", "year", "a", "p", "v", "r_sum", "r_n")).withColumn("r_n", F.col("r_n").cast("bigint"))
+    return crop_amounts(rollup.rollup_base(standin.crop_fact(spark, folder, "uf", "mic", "mun", "category", "year", "a", "p", "v", "r_sum", "r_n")))
 
 
 @query
 def livestock_levels(spark, folder):
-    return rollup.rollup_levels(standin.livestock_rows(spark, folder))
+    return livestock_amounts(rollup.rollup_levels(standin.livestock_rows(spark, folder)))
 
 
 def _livestock_long(spark, folder):
@@ -129,12 +137,12 @@ def normalise_measures(spark, folder):
 def active_set_sum(spark, folder):
     fact, groups = standin.crop_fact(spark, folder, "uf", "category", "p"), groups_of(spark, folder)
     active = lookups.checked_broadcast(groups.where(F.col(fixed.COL) == 1).select("category"))
-    return rollup.sum_active(fact, active)
+    return scaled(rollup.sum_active(fact, active), {"value": standin.CROP_UNITS["p"]})
 
 
 @query
 def category_totals(spark, folder):
-    return rollup.category_totals(standin.crop_fact(spark, folder, "category", "p"))
+    return scaled(rollup.category_totals(standin.crop_fact(spark, folder, "category", "p")), {"value": standin.CROP_UNITS["p"]})
 
 
 @query
@@ -156,7 +164,7 @@ def domain_categories_by_kind(spark, folder):
 @query
 def scope_maximum(spark, folder):
     values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "p"), ["uf", "mic", "year"], ["p"])
-    return rollup.scope_max(values, "p", by=["uf", "year"])
+    return rollup.scope_max(value_of(values, "p"), by=["uf", "year"])
 
 
 # -- dimensions ------------------------------------------------------------------------------------
@@ -194,14 +202,14 @@ def mun_dim_first_wins(spark, folder):
 def attach_names(spark, folder):
     totals = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "p"), ["uf", "category"], ["p"])
     names = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
-    return lookups.attach_names(totals, names, "uf", "uf_name")
+    return crop_amounts(lookups.attach_names(totals, names, "uf", "uf_name"))
 
 
 @query
 def region_lookup(spark, folder):
     totals = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"])
     known = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
-    return lookups.attach_region(totals, known)
+    return crop_amounts(lookups.attach_region(totals, known))
 
 
 @query
@@ -255,7 +263,7 @@ def unmapped_rejects(spark, folder):
 @query
 def unit_labels(spark, folder):
     rows = standin.livestock_rows(spark, folder)
-    totals = rows.groupBy("kind", "category").agg(F.sum("q").alias("value"))
+    totals = livestock_amounts(rows.groupBy("kind", "category").agg(F.sum("q").alias("q"))).withColumnRenamed("q", "value")
     units = F.broadcast(spark.createDataFrame(UNITS, "category string, unit string"))  # 3 rows
     named = lookups.attach_unit(totals, units)
     herd, product = Selection("livestock", "q", kind="Rebanho"), Selection("livestock", "v", kind="Producao")
@@ -330,10 +338,11 @@ def clean_numeric(spark, folder):
         .when(F.col("l_linenumber") == 4, "nd").when(F.col("l_linenumber") == 5, F.concat(F.lit(" "), number)).otherwise(number)
     )
     cleaned = line.select("l_linenumber", "l_returnflag", cleaning.clean_numeric(text).alias("value"))
-    return cleaned.groupBy("l_linenumber", "l_returnflag").agg(
+    counted = cleaned.groupBy("l_linenumber", "l_returnflag").agg(
         F.count("value").alias("numbers"), F.count_if(F.col("value").isNull()).alias("missing"),
-        F.sum(F.col("value").cast("decimal(12,2)")).alias("total"),
+        F.sum(whole_units(F.col("value"))).alias("total"),
     )
+    return scaled(counted, {"total": 100})
 
 
 @query
@@ -346,8 +355,9 @@ def decode_variable(spark, folder):
 @query
 def exclude_total(spark, folder):
     events = standin.table(spark, folder, "events")
-    renamed = events.select(F.when(F.col("event_type") == "error", "Total").otherwise(F.col("event_type")).alias("category"), standin.money("value").alias("q"))
-    return filters.exclude_categories(renamed, ["Total"]).groupBy("category").agg(F.sum("q").alias("q"), F.count(F.lit(1)).alias("n"))
+    renamed = events.select(F.when(F.col("event_type") == "error", "Total").otherwise(F.col("event_type")).alias("category"), whole_units(F.col("value")).alias("q"))
+    kept = filters.exclude_categories(renamed, ["Total"])
+    return livestock_amounts(kept.groupBy("category").agg(F.sum("q").alias("q"), F.count(F.lit(1)).alias("n")))
 
 
 @query
@@ -367,14 +377,15 @@ def sanitize_float(spark, folder):
         .when(F.col("l_linenumber") == 1, F.lit(float("-inf"))).otherwise(F.col("l_extendedprice"))
     )
     clean = line.select("l_returnflag", "l_linestatus", cleaning.sanitize_float(raw).alias("x"))
-    return clean.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count_if(F.col("x") == 0).alias("zeros"), F.sum(F.col("x").cast("decimal(12,2)")).alias("total"),
+    counted = clean.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count_if(F.col("x") == 0).alias("zeros"), F.sum(whole_units(F.col("x"))).alias("total"),
     )
+    return scaled(counted, {"total": 100})
 
 
 @query
 def round_published(spark, folder):
-    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v", "r_sum", "r_n")).select("uf", "category", "year", *CROP, "r_mean")
+    cells = rollup.rollup_state_category(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v", "r_sum", "r_n"), per_one=standin.CROP_UNITS).select("uf", "category", "year", *CROP, "r_mean")
     return files.round_measures(cells)
 
 
@@ -389,9 +400,8 @@ def latest_period(spark, folder):
 @query
 def json_decode(spark, folder):
     events = standin.table(spark, folder, "events")
-    return events.select(F.from_json("props", "k int")["k"].alias("k"), standin.money("value").alias("x")).groupBy("k").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"),
-    )
+    decoded = events.select(F.from_json("props", "k int")["k"].alias("k"), whole_units(F.col("value")).alias("x"))
+    return scaled(decoded.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total")), {"total": 100})
 
 
 @query
@@ -411,7 +421,8 @@ def scope_filter(spark, folder):
     groups = groups_of(spark, folder)
     selection = Selection(group=fixed.TRA, uf="NATION_3", year=1998)
     rows = filters.scope_filter(standin.crop_fact(spark, folder, "uf", "mun", "category", "year", "p"), selection)
-    return filters.active_categories(classify.classify_group(rows, groups), selection).groupBy("mun", "category").agg(F.sum("p").alias("value"))
+    chosen = filters.active_categories(classify.classify_group(rows, groups), selection)
+    return value_of(rollup.rollup(chosen, ["mun", "category"], ["p"]), "p")
 
 
 # -- series ------------------------------------------------------------------------------------------------
@@ -426,34 +437,34 @@ def _state_group_rows(spark, folder, group):
 @query
 def dense_series_state(spark, folder):
     rows = _state_group_rows(spark, folder, fixed.TEM)
-    return series.yearly_totals(rows, ["p"], standin.YEARS, keys=["uf"])
+    return crop_amounts(series.yearly_totals(rows, ["p"], standin.YEARS, keys=["uf"]))
 
 
 @query
 def dense_series_mun_category(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), ["mun", "category", "year"], CROP)
-    return series.densify(cells, ["mun", "category"], CROP, standin.YEARS)
+    return crop_amounts(series.densify(cells, ["mun", "category"], CROP, standin.YEARS))
 
 
 @query
 def packed_series(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "p"), ["mun", "category", "year"], ["p"])
-    packed = series.pack_series(cells, ["mun", "category"], ["p"], standin.YEARS)
+    packed = series.pack_series(crop_amounts(cells), ["mun", "category"], ["p"], standin.YEARS)
     return packed.select("mun", "category", F.posexplode("p").alias("year_index", "p"))
 
 
 @query
 def value_at_year(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "p"), ["mun", "year"], ["p"])
-    packed = series.pack_series(cells, ["mun"], ["p"], standin.YEARS)
+    packed = series.pack_series(crop_amounts(cells), ["mun"], ["p"], standin.YEARS)
     wanted = {"first": cleaning.value_at(F.col("p"), 0), "last": cleaning.value_at(F.col("p"), 6), "beyond": cleaning.value_at(F.col("p"), 7)}
-    return packed.select("mun", *[c.cast("double").alias(n) for n, c in wanted.items()])
+    return packed.select("mun", *[c.alias(n) for n, c in wanted.items()])
 
 
 @query
 def series_micro(spark, folder):
     fact = standin.crop_fact(spark, folder, "mic", "year", "a", "p", "v")
-    return series.yearly_totals(fact, CROP, standin.YEARS, keys=["mic"])
+    return crop_amounts(series.yearly_totals(fact, CROP, standin.YEARS, keys=["mic"]))
 
 
 @query
@@ -463,14 +474,14 @@ def series_national(spark, folder):
 
 @query
 def series_municipality(spark, folder):
-    return series.yearly_totals(standin.crop_fact(spark, folder, "mun", "year", "p"), ["p"], standin.YEARS, keys=["mun"])
+    return crop_amounts(series.yearly_totals(standin.crop_fact(spark, folder, "mun", "year", "p"), ["p"], standin.YEARS, keys=["mun"]))
 
 
 @query
 def series_state_from_mun(spark, folder):
     fact, places = standin.crop_fact(spark, folder, "mun", "year", "p"), standin.geography(spark, folder)
     by_mun = rollup.rollup(fact, ["mun", "year"], ["p"])
-    return series.series_state_from_municipalities(by_mun, places, standin.YEARS, ["p"])
+    return crop_amounts(series.series_state_from_municipalities(by_mun, places, standin.YEARS, ["p"]))
 
 
 @query
@@ -502,7 +513,7 @@ def top_categories(spark, folder):
 @query
 def top_categories_in_state(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "p"), ["uf", "category"], ["p"])
-    return rank.top_k_per_scope(cells, ["uf"], 15, "p", "category")
+    return crop_amounts(rank.top_k_per_scope(cells, ["uf"], 15, "p", "category"))
 
 
 @query
@@ -527,7 +538,7 @@ def mun_ranking(spark, folder):
     places = standin.geography(spark, folder)
     by_mun = rollup.rollup(standin.crop_fact(spark, folder, "mun", "p"), ["mun"], ["p"])
     located = by_mun.join(places.select("mun", "mun_name", "uf", "mic_name"), "mun")
-    return rank.top_k_per_scope(located, ["uf"], 100, "p", "mun")
+    return crop_amounts(rank.top_k_per_scope(located, ["uf"], 100, "p", "mun"))
 
 
 @query
@@ -538,13 +549,13 @@ def top_municipalities(spark, folder):
 @query
 def top_k_per_scope(spark, folder):
     by_mic = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "v"), ["uf", "mic", "year"], ["v"])
-    return rank.top_k_per_scope(by_mic, ["uf", "year"], 3, "v", "mic")
+    return crop_amounts(rank.top_k_per_scope(by_mic, ["uf", "year"], 3, "v", "mic"))
 
 
 @query
 def rank_position(spark, folder):
     by_mun = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"])
-    return rank.rank_position(by_mun, ["uf"], "p", "mun")
+    return crop_amounts(rank.rank_position(by_mun, ["uf"], "p", "mun"))
 
 
 # -- headline numbers, maps, labels, exports -------------------------------------------------------------------
@@ -553,44 +564,44 @@ def rank_position(spark, folder):
 @query
 def kpi_crop(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v"), ["uf", "category", "year"], CROP)
-    return kpi.kpi_crop(cells, by=["year"])
+    return crop_amounts(kpi.kpi_crop(cells, by=["year"]))
 
 
 @query
 def kpi_livestock(spark, folder):
-    return kpi.kpi_livestock(standin.livestock_rows(spark, folder), by=["category"])
+    return livestock_amounts(kpi.kpi_livestock(standin.livestock_rows(spark, folder), by=["category"]))
 
 
 @query
 def scope_counts(spark, folder):
     places = standin.geography(spark, folder)
-    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"]).withColumnRenamed("p", "value")
+    values = value_of(rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"]), "p")
     return kpi.scope_counts(places.select("uf", "mic").distinct(), values)
 
 
 @query
 def choropleth_classes(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "p"), ["uf", "mic", "year"], ["p"]).withColumnRenamed("p", "value")
-    return choropleth.colour_classes(values, ["uf", "year"], palette=fixed.PALETTE_REGION)
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mic", "year", "p"), ["uf", "mic", "year"], ["p"])
+    return choropleth.colour_classes(value_of(values, "p"), ["uf", "year"], palette=fixed.PALETTE_REGION)
 
 
 @query
 def value_over_scope_max(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "p"), ["uf"], ["p"]).withColumnRenamed("p", "value")
-    return rank.value_over_scope_max(values)
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "p"), ["uf"], ["p"])
+    return rank.value_over_scope_max(value_of(values, "p"))
 
 
 @query
 def legend_steps(spark, folder):
-    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"]).withColumnRenamed("p", "value")
-    return choropleth.legend(values, by=["year"]).select("year", "step", "colour", "linear_value")
+    values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"])
+    return choropleth.legend(value_of(values, "p"), by=["year"]).select("year", "step", "colour", "linear_value")
 
 
 @query
 def feature_values(spark, folder):
     features = standin.geography(spark, folder).select("mic", "uf").distinct()
     events = standin.livestock_rows(spark, folder)
-    values = rollup.rollup(events, ["mic"], ["q"]).withColumnRenamed("q", "value")
+    values = livestock_amounts(rollup.rollup(events, ["mic"], ["q"])).withColumnRenamed("q", "value")
     return choropleth.attach_values_to_features(features, values, "mic")
 
 
@@ -604,12 +615,12 @@ def features_in_scope(spark, folder):
 @query
 def fmt_magnitude(spark, folder):
     fact = standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p", "v")
-    cells = rollup.rollup(fact, ["uf", "category", "year"], CROP).withColumn("place", F.concat_ws("/", "uf", "category"))
-    country = rollup.rollup(fact, ["year"], CROP).withColumn("place", F.lit("country"))
-    both = rollup.union_all([cells.select("place", "year", *CROP), country.select("place", "year", *CROP)])
-    text = {f"{c}_text": labels.fmt_magnitude(F.col(c).cast("double"), c) for c in CROP}
-    yields = labels.fmt_magnitude(F.col("a").cast("double"), "r")
-    return both.select("place", "year", *[c.alias(n) for n, c in text.items()], yields.alias("r_text"))
+    cells = rollup.rollup(fact, ["uf", "category", "year"], CROP)
+    country = rollup.rollup(cells, ["year"], CROP).withColumn("place", F.lit("country"))
+    places = cells.select(F.concat_ws("/", "uf", "category").alias("place"), "year", *CROP)
+    both = crop_amounts(places.unionByName(country))
+    texts = [labels.fmt_magnitude(F.col(c), c).alias(f"{c}_text") for c in CROP]
+    return both.select("place", "year", *texts, labels.fmt_magnitude(F.col("a"), "r").alias("r_text"))
 
 
 @query
@@ -627,6 +638,6 @@ def export_nested_json(spark, folder):
 @query
 def nested_package(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p"), ["uf", "category", "year"], ["a", "p"])
-    exact = cells.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("a", "p")})
+    exact = crop_amounts(cells).withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("a", "p")})
     packed = series.pack_series(exact, ["uf", "category"], ["a", "p"], standin.YEARS)
     return series.nest_package(packed, "uf", "category", ["a", "p"]).select("uf", F.to_json("package").alias("package"))

@@ -6,7 +6,8 @@ predicates first, so that year and state reach the scan, then one roll-up to the
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from municipia import fixed_values as fixed
 from municipia.functions.cleaning import round_half_even
 from municipia.functions.labels import fmt_magnitude, metric_label
+from municipia.functions.units import scaled
 from municipia.operators import kpi, rank
 from municipia.operators.choropleth import attach_values_to_features, colour_classes, features_in_scope
 from municipia.operators.classify import classify_group
@@ -41,6 +43,9 @@ class Explorer:
     micros: DataFrame | None = None
     municipalities: DataFrame | None = None
     years: tuple[int, ...] = ()
+    # Units per amount of measures held as whole counts, see functions.units.
+    crop_units: Mapping[str, int] = field(default_factory=dict)
+    livestock_units: Mapping[str, int] = field(default_factory=dict)
 
     # -- rows in scope -------------------------------------------------------------------------
 
@@ -54,20 +59,28 @@ class Explorer:
             return scoped.where(F.col("category") == chosen.category)
         return scoped if sel.group == fixed.ALL else active_categories(classify_group(scoped, self.groups), chosen)
 
+    def _units(self, sel: Selection) -> Mapping[str, int]:
+        return self.livestock_units if sel.domain == "livestock" else self.crop_units
+
+    def _sum(self, sel: Selection, measure: str) -> Column:
+        """Sum of a measure as an amount."""
+        per_one = self._units(sel).get(measure, 1)
+        return F.sum(measure) if per_one == 1 else F.sum(measure) / F.lit(float(per_one))
+
     def _value(self, sel: Selection, below_state: bool = False) -> Column:
         """The metric of a group of rows."""
         if sel.metric != "r":
-            return F.coalesce(F.sum(sel.metric), F.lit(0))
+            return F.coalesce(self._sum(sel, sel.metric), F.lit(0.0))
         if sel.compat and below_state:
             return F.lit(0.0)
-        return F.coalesce(yield_weighted(F.sum("p"), F.sum("a")), F.lit(0.0))
+        return F.coalesce(yield_weighted(self._sum(sel, "p"), self._sum(sel, "a")), F.lit(0.0))
 
     def cells(self, sel: Selection, year: bool = True) -> DataFrame:
         """Value per state, category and year; with ``compat`` rounded as in the published package."""
-        rows = drop_null_keys(self._rows(sel, year=year), ["uf", "category", "year"])
         keys = ["uf", "category", "year"]
+        rows = drop_null_keys(self._rows(sel, year=year), keys)
         if sel.metric == "r" and sel.compat:
-            parts = rows.groupBy(*keys).agg(F.sum("r_sum").alias("r_sum"), F.sum("r_n").alias("r_n"))
+            parts = rows.groupBy(*keys).agg(self._sum(sel, "r_sum").alias("r_sum"), F.sum("r_n").alias("r_n"))
             return parts.select(*keys, round_half_even(F.coalesce(yield_mean(), F.lit(0.0)), 2).alias("value"))
         valued = rows.groupBy(*keys).agg(self._value(sel).alias("value"))
         return valued.withColumn("value", round_half_even(F.col("value"), 1)) if sel.compat else valued
@@ -99,12 +112,15 @@ class Explorer:
     def top_categories(self, sel: Selection, k: int = 15) -> DataFrame:
         """Of one state if the selection has one, else of the country."""
         wide = sel.with_(mic=None, mun=None, category=None if sel.domain == "livestock" else sel.category)
-        if sel.metric == "r" and not sel.compat and sel.domain == "crop":
-            totals = self._rows(wide).groupBy("category").agg(self._value(sel).alias("value"))
-        elif sel.domain == "livestock":
-            totals = active_categories(self._rows(wide), wide).groupBy("category").agg(self._value(sel).alias("value"))
+        if sel.compat:
+            cells = self.cells(wide)
+            if sel.domain == "livestock":
+                cells = cells.join(self._rows(wide).where(F.col("kind") == sel.kind).select("category").distinct(), "category", "left_semi")
+            totals = cells.groupBy("category").agg(F.sum("value").alias("value"))
         else:
-            totals = self.cells(wide).groupBy("category").agg(F.sum("value").alias("value"))
+            rows = self._rows(wide)
+            rows = rows.where(F.col("kind") == sel.kind) if sel.domain == "livestock" else rows
+            totals = drop_null_keys(rows, ["category"]).groupBy("category").agg(self._value(sel).alias("value"))
         return rank.top_k(totals, k, key="category")
 
     def top_micros(self, sel: Selection, k: int = 20, keep_zeros: bool = False) -> DataFrame:
@@ -130,15 +146,13 @@ class Explorer:
 
     def series(self, sel: Selection) -> DataFrame:
         """``year, value, is_observed`` of the narrowest chosen scope: micro-region, state, or country."""
-        scope = sel.scope_level()
-        if scope == "mic":
+        if sel.scope_level() == "mic":
             wanted = self.values(sel.with_(uf=None, mun=None), "mic", year=False)
-        elif sel.metric == "r" and not sel.compat:
-            # A weighted yield does not add up over states, so the country is one group of rows.
-            scoped = sel.with_(mic=None, mun=None)
-            wanted = self._rows(scoped, year=False).groupBy("year").agg(self._value(sel).alias("value"))
-        else:
+        elif sel.compat:
             wanted = self.values(sel.with_(mic=None, mun=None), "uf", year=False)
+        else:
+            rows = self._rows(sel.with_(mic=None, mun=None), year=False)
+            wanted = rows.groupBy("year").agg(self._value(sel).alias("value"))
         yearly = wanted.groupBy("year").agg(F.sum("value").alias("value"))
         return densify(yearly, [], ["value"], self.years)
 
@@ -170,11 +184,12 @@ class Explorer:
     def kpis(self, sel: Selection) -> DataFrame:
         rows = self._rows(sel.with_(mic=None, mun=None))
         if sel.domain == "livestock":
-            return kpi.kpi_livestock(rows)
+            return scaled(kpi.kpi_livestock(rows), self.livestock_units)
         cells = drop_null_keys(rows, ["uf"]).groupBy("uf", "category").agg(*[F.sum(c).alias(c) for c in ("a", "p", "v")])
-        if sel.compat:
-            cells = cells.withColumns({c: round_half_even(F.col(c), 1) for c in ("a", "p", "v")})
-        return kpi.kpi_crop(cells)
+        if not sel.compat:
+            return scaled(kpi.kpi_crop(cells), self.crop_units)
+        amounts = scaled(cells, self.crop_units)
+        return kpi.kpi_crop(amounts.withColumns({c: round_half_even(F.col(c), 1) for c in ("a", "p", "v")}))
 
     def labelled(self, values: DataFrame, sel: Selection) -> DataFrame:
         """Values with their display text and the label of the metric."""

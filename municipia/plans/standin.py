@@ -2,7 +2,7 @@
 
 state = nation, micro-region = nation and market segment, municipality = customer, category = brand,
 year = order year; a, p, v = quantity, price, discounted price; r = retail price. Livestock rows are
-events: category = event type, year = day of month. Money is decimal, so sums do not depend on row order.
+events: category = event type, year = day of month. Amounts are whole counts of the units below.
 """
 
 from __future__ import annotations
@@ -11,21 +11,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
+from municipia.functions.units import whole_units
 
 YEARS = tuple(range(1995, 2002))
 DAYS = tuple(range(1, 31))
 HERD_TYPES = ("click", "view", "error")
 PRODUCT_TYPES = ("purchase", "signup")
+CROP_UNITS = {"a": 1, "p": 100, "v": 10_000, "r_sum": 100}
+LIVESTOCK_UNITS = {"q": 100, "v": 100}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def money(column: str, precision: int = 12) -> Column:
-    return F.col(column).cast(f"decimal({precision},2)")
-
-
 def geography(spark: SparkSession, folder: str, region: bool = False) -> DataFrame:
     """One row per customer: municipality, micro-region, state, and macro-region if asked for."""
     customer = table(spark, folder, "customer")
@@ -55,12 +54,8 @@ PLACE_COLUMNS = {"uf", "mic", "mic_name", "mun_name"}
 
 
 def _line_measures() -> dict[str, Column]:
-    price, discount = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
-    return {
-        "a": money("l_quantity"),
-        "p": price,
-        "v": price * (F.lit(1).cast("decimal(1,0)") - discount),
-    }
+    price, discount = whole_units(F.col("l_extendedprice")), whole_units(F.col("l_discount"))
+    return {"a": whole_units(F.col("l_quantity"), 1), "p": price, "v": price * (F.lit(100.0) - discount)}
 
 
 def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = True) -> DataFrame:
@@ -82,7 +77,7 @@ def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = T
         rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
     if needs_part:
         part = table(spark, folder, "part").select(
-            "p_partkey", F.col("p_brand").alias("category"), money("p_retailprice").alias("r_sum"),
+            "p_partkey", F.col("p_brand").alias("category"), whole_units(F.col("p_retailprice")).alias("r_sum"),
             F.lit(1).cast("bigint").alias("r_n"),
         )
         rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -113,10 +108,10 @@ def livestock_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Events as livestock rows: quantity always, value only for products. Unknown users have no place."""
     events = table(spark, folder, "events")
     places = geography(spark, folder)
-    amount = money("value")
+    amount = whole_units(F.col("value"))
     rows = events.select(
         F.col("user_id"), event_kind().alias("kind"), F.col("event_type").alias("category"),
         F.dayofmonth("ts").alias("year"), amount.alias("q"),
-        F.when(F.col("event_type").isin(*PRODUCT_TYPES), amount).otherwise(F.lit(0).cast("decimal(12,2)")).alias("v"),
+        F.when(F.col("event_type").isin(*PRODUCT_TYPES), amount).otherwise(F.lit(0.0)).alias("v"),
     )
     return rows.join(places, rows.user_id == places.mun).select("uf", "mic", "mun", "kind", "category", "year", "q", "v")
