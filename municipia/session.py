@@ -8,11 +8,13 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL settings. AQE sizes shuffles, turns small sides into broadcasts at run time and
 # splits hot join keys; the forced skew join matters where a join feeds an aggregate on its own key.
+# Where every partition of one side is small, a hash join spares sorting the large side.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
 
