@@ -55,14 +55,13 @@ def read_stat_api_json(spark: SparkSession, folder: str, table: int) -> DataFram
         F.regexp_extract("_file", r"^ppm_\d+_\d{4}_(\d{2})", 1).alias("uf_code"),
         F.from_json("value", schemas.API_PAYLOAD).alias("_payload"),
     )
-    filled = parsed.where(F.size("_payload") > 1)
-    header = F.element_at("_payload", 1)
-    keyed = filled.select(
-        "uf_code",
-        *[_header_key(header, target).alias(f"_k_{target}") for target in HEADER_WORDS],
-        F.slice("_payload", F.lit(2), F.size("_payload") - 1).alias("_rows"),
+    header = F.try_element_at("_payload", F.lit(1))
+    keyed = parsed.select(
+        "uf_code", "_payload", *[_header_key(header, target).alias(f"_k_{target}") for target in HEADER_WORDS],
     )
-    rows = keyed.select("uf_code", *[f"_k_{t}" for t in HEADER_WORDS], F.explode("_rows").alias("_row"))
+    rows = keyed.select(
+        "uf_code", *[f"_k_{target}" for target in HEADER_WORDS], F.posexplode("_payload").alias("_position", "_row"),
+    ).where(F.col("_position") > 0)
 
     def field(key: Column) -> Column:
         return F.coalesce(F.try_element_at("_row", key), F.lit(""))
