@@ -18,13 +18,20 @@ def kpi_crop(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def kpi_livestock(rows: DataFrame, mun: str = "mun", by: Sequence[str] = ()) -> DataFrame:
-    """Totals and the number of municipalities with a positive quantity, in one pass."""
+def kpi_livestock(rows: DataFrame, mun: str = "mun", by: Sequence[str] = (), known: DataFrame | None = None) -> DataFrame:
+    """Totals and the number of municipalities with a positive quantity, in one pass.
+
+    With ``known`` only municipalities of that dimension are counted; the totals stay complete.
+    """
     by_mun = rows.groupBy(*by, mun).agg(F.sum("q").alias("q"), F.sum("v").alias("v"))
+    counted = (F.col("q") > 0) & F.col(mun).isNotNull()
+    if known is not None:
+        by_mun = by_mun.join(known.select(mun).distinct().withColumn("_known", F.lit(True)), mun, "left")
+        counted = counted & F.col("_known").isNotNull()
     return by_mun.groupBy(*by).agg(
         F.coalesce(F.sum("q"), F.lit(0)).cast("double").alias("q"),
         F.coalesce(F.sum("v"), F.lit(0)).cast("double").alias("v"),
-        F.count_if((F.col("q") > 0) & F.col(mun).isNotNull()).alias("municipalities"),
+        F.count_if(counted).alias("municipalities"),
     )
 
 

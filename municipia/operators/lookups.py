@@ -61,7 +61,7 @@ def attach(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str], d
            lookup_key: str | None = None) -> DataFrame:
     """Left join of ``columns`` from ``lookup``; ``defaults`` fill what found no match or was null."""
     defaults = defaults or {}
-    side = lookup.select(F.col(lookup_key or key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    side = lookup.where(F.col(lookup_key or key).isNotNull()).select(F.col(lookup_key or key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = df.join(side, F.col(key) == F.col("_key"), "left")
     kept = [F.col(c) for c in df.columns if c not in columns]
     added = [

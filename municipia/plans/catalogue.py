@@ -535,10 +535,11 @@ def top_micros_zeros(spark, folder):
 
 @query
 def mun_ranking(spark, folder):
-    places = standin.geography(spark, folder)
-    by_mun = rollup.rollup(standin.crop_fact(spark, folder, "mun", "p"), ["mun"], ["p"])
-    located = by_mun.join(places.select("mun", "mun_name", "uf", "mic_name"), "mun")
-    return crop_amounts(rank.top_k_per_scope(located, ["uf"], 100, "p", "mun"))
+    by_mun = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"])
+    best = rank.top_k_per_scope(by_mun, ["uf"], 100, "p", "mun")
+    # At most 100 rows per state go to the municipality names, so that these need no shuffle.
+    names = standin.geography(spark, folder).select("mun", "mun_name", "mic_name")
+    return crop_amounts(names.join(F.broadcast(best), "mun"))
 
 
 @query

@@ -12,7 +12,6 @@ from municipia.operators.classify import categories_of_kind, combine_categories,
 from municipia.operators.dims import micro_dim, municipality_dim, state_dim
 from municipia.operators.filters import drop_unmapped
 from municipia.operators.lookups import checked_broadcast, derive_parent_code, states
-from municipia.operators.quality import reject_null_category
 from municipia.operators.rollup import (
     distinct_domain, rollup, rollup_base, rollup_membership, rollup_membership_wide, rollup_state_category, with_yield_parts,
 )
@@ -22,19 +21,21 @@ from municipia.sinks import packages
 MEASURES = ["a", "p", "v"]
 
 
-def clean_crop_fact(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """State from the municipality code, rows without a state dropped; rows without a category set apart."""
+def clean_crop_fact(fact: DataFrame) -> DataFrame:
+    """State from the municipality code, rows without a state dropped, yields as sum and count.
+
+    Rows without a category stay, with ``rejected`` = 1.
+    """
     known = F.broadcast(states(fact.sparkSession))  # 27 rows
     located = drop_unmapped(derive_parent_code(fact, known))
-    kept, rejects = reject_null_category(located)
-    return with_yield_parts(kept), rejects
+    return with_yield_parts(located).withColumn("rejected", F.col("category").isNull().cast("int"))
 
 
 @dataclass(frozen=True)
 class CropTables:
     """Everything the crop package and the interactive questions read."""
 
-    base: DataFrame
+    base: DataFrame  # uf, mic, mun, category, year, a, p, v, r_sum, r_n
     groups: DataFrame
     years: list[int]
     states: DataFrame
@@ -60,8 +61,9 @@ def crop_tables(fact: DataFrame, groups: DataFrame, work_folder: str) -> CropTab
     ``work_folder`` must be a new folder that all executors share.
     """
     spark = fact.sparkSession
-    kept, rejects = clean_crop_fact(fact)
-    rejects.write.mode("errorifexists").parquet(f"{work_folder}/rejects")
+    # One pass over the delimited files; all that follows reads single columns of its result.
+    clean_crop_fact(fact).write.mode("errorifexists").partitionBy("rejected").parquet(f"{work_folder}/fact")
+    kept = spark.read.parquet(f"{work_folder}/fact").where(F.col("rejected") == 0)
     # The rebalance hint groups rows by year for the writer and splits a year that is large.
     rollup_base(kept).hint("rebalance", "year").write.mode("errorifexists").partitionBy("year").parquet(f"{work_folder}/base")
     base = spark.read.parquet(f"{work_folder}/base")

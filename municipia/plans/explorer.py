@@ -25,6 +25,7 @@ from municipia.operators.rollup import with_yield_parts, yield_mean, yield_weigh
 from municipia.operators.series import densify
 from municipia.params import Selection
 from municipia.sinks import exports
+from municipia.sinks.files import write_csv
 
 
 def _yield_ready(fact: DataFrame) -> DataFrame:
@@ -131,11 +132,19 @@ class Explorer:
         best = rank.top_k(values, k, key="mic", keep_zeros=keep_zeros)
         return attach_names(best, self.micros, "mic", "mic_name").orderBy(*rank.ranking_order(key="mic"))
 
+    def _ranked_municipalities(self, sel: Selection, values: DataFrame) -> DataFrame:
+        """The published livestock ranking knows only the municipalities of the crop dimension."""
+        if sel.compat and sel.domain == "livestock":
+            return values.join(self.municipalities.select("mun"), "mun", "left_semi")
+        return values
+
     def municipality_ranking(self, sel: Selection, k: int = 100) -> DataFrame:
         """Best municipalities of the state with position and the names of municipality and micro-region."""
-        best = rank.ranked_top_k(self.values(sel.with_(mic=None, mun=None), "mun"), k, key="mun")
-        dim = self.municipalities.select("mun", "mun_name", "mic")
-        named = best.join(dim, "mun", "left").withColumn("mun_name", F.coalesce("mun_name", F.col("mun").cast("string")))
+        values = self.values(sel.with_(mic=None, mun=None), "mun")
+        best = rank.ranked_top_k(self._ranked_municipalities(sel, values), k, key="mun")
+        # At most k rows go to the dimension, which can be large; it is not shuffled for them.
+        found = self.municipalities.select("mun", "mun_name", "mic").join(F.broadcast(best.select("mun")), "mun", "left_semi")
+        named = best.join(F.broadcast(found), "mun", "left").withColumn("mun_name", F.coalesce("mun_name", F.col("mun").cast("string")))
         with_micro = attach_names(named, self.micros, "mic", "mic_name", default=F.lit(""))
         return with_micro.select("position", "mun", "mun_name", "mic_name", "value").orderBy("position")
 
@@ -184,7 +193,8 @@ class Explorer:
     def kpis(self, sel: Selection) -> DataFrame:
         rows = self._rows(sel.with_(mic=None, mun=None))
         if sel.domain == "livestock":
-            return scaled(kpi.kpi_livestock(rows), self.livestock_units)
+            known = self.municipalities if sel.compat else None
+            return scaled(kpi.kpi_livestock(rows, known=known), self.livestock_units)
         cells = drop_null_keys(rows, ["uf"]).groupBy("uf", "category").agg(*[F.sum(c).alias(c) for c in ("a", "p", "v")])
         if not sel.compat:
             return scaled(kpi.kpi_crop(cells), self.crop_units)
@@ -213,3 +223,21 @@ class Explorer:
             cells = seen.join(cells, "uf", "left")
         maps = exports.export_state_maps(cells, keep_empty=sel.domain == "crop")
         return exports.export_document(maps, F.lit(sel.year), sel.metric, sel.uf)
+
+    def write_export_csv(self, sel: Selection, folder: str) -> str:
+        """The export as CSV under its published name and headings; returns the path."""
+        heading = "Categoria" if sel.domain == "livestock" else "Cultura"
+        label = self.labelled(self.export_rows(sel), sel).select("label").limit(1).first()
+        rows = self.export_rows(sel).select("uf", "uf_name", "category", "value")
+        path = f"{folder}/{self._export_name(sel)}_{sel.uf or 'Brasil'}.csv"
+        write_csv(rows.toDF("UF", "Estado", heading, label[0] if label else sel.metric), path)
+        return path
+
+    def write_export_json(self, sel: Selection, folder: str) -> str:
+        path = f"{folder}/{self._export_name(sel)}.json"
+        self.export_document(sel).write.text(path)
+        return path
+
+    @staticmethod
+    def _export_name(sel: Selection) -> str:
+        return f"{'PPM' if sel.domain == 'livestock' else 'PAM'}_{sel.year}"

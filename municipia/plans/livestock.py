@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from municipia import fixed_values as fixed
 from municipia import schemas
 from municipia.operators.filters import exclude_categories, normalise_measures
-from municipia.operators.lookups import attach_microregion
+from municipia.operators.lookups import attach
 from municipia.operators.rollup import distinct_domain, rollup_levels, union_all
 from municipia.operators.series import known_years
 from municipia.sinks import files, packages
@@ -29,10 +29,13 @@ def export_consolidated(spark: SparkSession, raw_folder: str, out_folder: str, l
     return combined
 
 
-def clean_livestock(wide: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One (q, v) pair per row with its micro-region; rows without one set apart. Totals over mixed units go."""
+def clean_livestock(wide: DataFrame, mapping: DataFrame) -> DataFrame:
+    """One (q, v) pair per row with its micro-region; totals over mixed units go.
+
+    Rows whose municipality has no micro-region stay, with ``rejected`` = 1.
+    """
     pairs = normalise_measures(exclude_categories(wide, ["Total"]))
-    return attach_microregion(pairs, mapping)
+    return attach(pairs, mapping, "mun", ["mic"]).withColumn("rejected", F.col("mic").isNull().cast("int"))
 
 
 @dataclass(frozen=True)
@@ -49,8 +52,8 @@ class LivestockTables:
 
 def livestock_tables(wide: DataFrame, mapping: DataFrame, work_folder: str) -> LivestockTables:
     spark = wide.sparkSession
-    kept, rejects = clean_livestock(wide, mapping)
-    rejects.write.mode("errorifexists").parquet(f"{work_folder}/livestock_rejects")
+    clean_livestock(wide, mapping).write.mode("errorifexists").partitionBy("rejected").parquet(f"{work_folder}/livestock_fact")
+    kept = spark.read.parquet(f"{work_folder}/livestock_fact").where(F.col("rejected") == 0)
     fine = kept.dropna(subset=["category", "year"]).groupBy("uf", "mic", "mun", "kind", "category", "year")
     summed = fine.agg(*[F.sum(c).alias(c) for c in MEASURES])
     summed.hint("rebalance", "year").write.mode("errorifexists").partitionBy("year").parquet(f"{work_folder}/livestock")

@@ -3,6 +3,7 @@
 import json
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,9 @@ def test_tables_and_rejects(spark, tables, model):
     assert {r.category for r in tables.groups.collect()} == set(CROPS)
     assert tables.base.agg(F.sum("p")).first()[0] == near(sum(r[9] or 0 for r in model.rows))
     assert tables.base.where(F.col("category").isNull()).count() == 0
+    folder = tables.base.inputFiles()[0].split("/base/")[0]
+    rejects = spark.read.parquet(f"{folder}/fact").where("rejected = 1")
+    assert [(r.mun, r.uf) for r in rejects.collect()] == [("3500001", "SP")]
 
 
 def read_section(spark, folder, name):
@@ -280,6 +284,21 @@ def test_choropleth_and_labels(spark, view, model):
     assert view.labelled(view.values(live, "uf"), live).first().label == "Bovino — Efetivo (cab.)"
 
 
+def test_export_files(spark, view, model, tmp_path):
+    sel = Selection(metric="v", group="PER", year=2019, uf="SP", compat=True)
+    path = view.write_export_csv(sel, str(tmp_path))
+    assert path.endswith("PAM_2019_SP.csv")
+    written = spark.read.option("sep", ";").option("header", True).csv(path)
+    assert written.columns == ["UF", "Estado", "Cultura", "Valor (mil R$)"]
+    assert {(r.UF, r.Estado, r.Cultura, float(r[3])) for r in written.collect()} == {
+        ("SP", "São Paulo", c, model.cell("SP", c, 2019, "v")) for c in ACTIVE["PER"]}
+    live = Selection("livestock", "q", category="Bovino", year=2020)
+    columns = spark.read.option("sep", ";").option("header", True).csv(view.write_export_csv(live, str(tmp_path))).columns
+    assert columns == ["UF", "Estado", "Categoria", "Bovino — Efetivo (cab.)"]
+    text = spark.read.text(view.write_export_json(live, str(tmp_path))).first().value
+    assert json.loads(text)["metrica"] == "q"
+
+
 def test_exports(view, model):
     sel = Selection(metric="a", group="PER", year=2019, compat=True)
     rows = {(r.uf, r.category): r.value for r in view.export_rows(sel).collect()}
@@ -311,6 +330,13 @@ def test_livestock_questions(view, live_rows, live_tables):
     kpis = view.kpis(sel.with_(uf="SP")).first()
     assert (kpis.q, kpis.v) == (near(live_total(live_rows, "q", uf="SP", year=2020, category="Bovino")), 0)
     assert kpis.municipalities == sum(live_total(live_rows, "q", mun=f"35{n:05d}", year=2020, category="Bovino") > 0 for n in range(5))
+    ranking = view.municipality_ranking(sel.with_(uf="SP", compat=True), 2).collect()
+    assert [r.position for r in ranking] == [1, 2] and ranking[0].mun_name == f"Mun {ranking[0].mun}"
+    one = view.municipalities.where(F.col("mun") == ranking[0].mun)
+    narrow = replace(view, municipalities=one)
+    assert narrow.kpis(sel.with_(compat=True)).first().municipalities == 1
+    assert narrow.kpis(sel.with_(compat=True)).first().q == view.kpis(sel).first().q
+    assert [r.mun for r in narrow.municipality_ranking(sel.with_(uf="SP", compat=True)).collect()] == [ranking[0].mun]
     series = view.series(Selection("livestock", "v", kind="Producao", category="Leite", uf="RJ")).orderBy("year").collect()
     assert [r.value for r in series] == [near(live_total(live_rows, "v", uf="RJ", year=y, category="Leite")) for y in YEARS]
 
