@@ -23,10 +23,8 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_byt
 
     The measuring job stops at ``max_rows + 1`` rows.
     """
-    width = F.lit(0)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    text = " + ".join(f"coalesce(octet_length(cast(`{name}` AS string)), 0)" for name in df.columns)
+    measured = df.limit(max_rows + 1).agg(F.expr("count(1) AS n"), F.expr(f"coalesce(sum({text}), 0) AS size")).first()
     return F.broadcast(df) if measured["n"] <= max_rows and measured["size"] <= max_bytes else df
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.operators.classify import classify_group
+from municipia.operators.rollup import GROUP_TESTS
 
 
 def state_check(df: DataFrame, uf: str = "uf", uf_file: str = "uf_file") -> DataFrame:
@@ -53,13 +54,7 @@ def group_profile(fact: DataFrame, groups: DataFrame, mun: str = "mun") -> DataF
     """Municipalities per group. One row per municipality with four flags, then a plain count of flags."""
     pairs = fact.select(mun, "category").dropna().distinct()
     classified = classify_group(pairs, groups)
-    tests = {
-        fixed.TEM: F.col("kind") == fixed.TEM,
-        fixed.PER: F.col("kind") == fixed.PER,
-        fixed.COL: F.col("grp") == fixed.COL,
-        fixed.TRA: F.col("grp") == fixed.TRA,
-    }
-    flags = classified.groupBy(mun).agg(*[F.max(test).alias(code) for code, test in tests.items()])
-    counts = flags.agg(*[F.count_if(F.col(code)).alias(code) for code in tests])
-    cells = F.array(*[F.struct(F.lit(code).alias("grp"), F.col(code).alias("municipalities")) for code in tests])
-    return counts.select(F.inline(cells))
+    flags = classified.groupBy(mun).agg(*[F.expr(f"max({test}) AS {code}") for code, test in GROUP_TESTS.items()])
+    counts = flags.agg(*[F.expr(f"count_if({code}) AS {code}") for code in GROUP_TESTS])
+    cells = ", ".join(f"struct('{code}' AS grp, {code} AS municipalities)" for code in GROUP_TESTS)
+    return counts.select(F.expr(f"inline(array({cells}))"))

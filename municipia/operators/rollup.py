@@ -57,19 +57,16 @@ def rollup_state_category(fact: DataFrame, uf: str = "uf", category: str = "cate
     return summed.withColumns({"r_mean": yield_mean(), "r_weighted": yield_weighted()})
 
 
+# When a classified row belongs to a group: TEM and PER follow its type, COL and TRA its group.
+GROUP_TESTS = {fixed.TEM: "kind = 'TEM'", fixed.PER: "kind = 'PER'", fixed.COL: "grp = 'COL'", fixed.TRA: "grp = 'TRA'"}
+
+
 def membership(crops_as_groups: bool) -> Column:
-    """All groups a classified row belongs to; TEM and PER follow its type, COL and TRA its group."""
-    kind, grp = F.col("kind"), F.col("grp")
-    members = [
-        F.lit(fixed.ALL),
-        F.when(kind == fixed.TEM, F.lit(fixed.TEM)),
-        F.when(kind == fixed.PER, F.lit(fixed.PER)),
-        F.when(grp == fixed.COL, F.lit(fixed.COL)),
-        F.when(grp == fixed.TRA, F.lit(fixed.TRA)),
-    ]
+    """All groups a classified row belongs to; combine-harvested categories are groups of their own."""
+    members = [f"'{fixed.ALL}'", *[f"CASE WHEN {test} THEN '{code}' END" for code, test in GROUP_TESTS.items()]]
     if crops_as_groups:
-        members.append(F.when(grp == fixed.COL, F.col("category")))
-    return F.array_compact(F.array(*members))
+        members.append(f"CASE WHEN {GROUP_TESTS[fixed.COL]} THEN category END")
+    return F.expr(f"array_compact(array({', '.join(members)}))")
 
 
 def rollup_membership(fact: DataFrame, groups: DataFrame, key: str = "mic", crops_as_groups: bool = True,
@@ -89,22 +86,14 @@ def rollup_membership_wide(fact: DataFrame, groups: DataFrame, key: str = "mun",
 
     Each group is a conditional sum, so no row is repeated before the shuffle. ``groups`` should be size-checked.
     """
-    conditions = {
-        fixed.TEM: F.col("kind") == fixed.TEM,
-        fixed.PER: F.col("kind") == fixed.PER,
-        fixed.COL: F.col("grp") == fixed.COL,
-        fixed.TRA: F.col("grp") == fixed.TRA,
-    }
     classified = classify_group(drop_null_keys(fact, [key, "category", year]), groups)
-    parts = [F.count(F.when(test, 1)).alias(f"{code}_n") for code, test in conditions.items()]
-    parts += [F.sum(F.when(test, F.col(c))).alias(f"{code}_{c}") for code, test in conditions.items() for c in sums]
+    parts = [F.expr(f"count(1) FILTER (WHERE {test}) AS {code}_n") for code, test in GROUP_TESTS.items()]
+    parts += [F.expr(f"sum(`{c}`) FILTER (WHERE {test}) AS `{code}_{c}`") for code, test in GROUP_TESTS.items() for c in sums]
     wide = classified.groupBy(key, year).agg(*parts)
-    cells = F.array(*[
-        F.struct(F.lit(code).alias("grp"), F.col(f"{code}_n").alias("n"), *[F.col(f"{code}_{c}").alias(c) for c in sums])
-        for code in conditions
-    ])
-    long = wide.select(key, year, F.explode(cells).alias("_cell")).where(F.col("_cell.n") > 0)
-    return long.select(key, "_cell.grp", year, *[F.col(f"_cell.{c}").alias(c) for c in sums])
+    fields = {code: ", ".join(f"`{code}_{c}` AS `{c}`" for c in sums) for code in GROUP_TESTS}
+    cells = ", ".join(f"struct('{code}' AS grp, {code}_n AS n, {fields[code]})" for code in GROUP_TESTS)
+    long = wide.select(key, year, F.expr(f"inline(array({cells}))")).where("n > 0")
+    return long.select(key, "grp", year, *sums)
 
 
 def rollup_levels(fact: DataFrame, levels: Sequence[str] = ("uf", "mic", "mun"), sums: Sequence[str] = LIVESTOCK_SUMS,

@@ -280,6 +280,18 @@ ORACLES: dict[str, str] = {
         SELECT uf, mic, year, CAST(v AS DOUBLE) AS v, position FROM ranked WHERE position <= 3""",
     "rank_position": f"""WITH {_FACT}, t AS (SELECT uf, mun, sum(p) AS p FROM fact GROUP BY ALL)
         SELECT uf, mun, CAST(p AS DOUBLE) AS p, row_number() OVER (PARTITION BY uf ORDER BY p DESC, mun) AS position FROM t""",
+    "compat_state_yields": f"""WITH {_CLASSED},
+        t AS (SELECT uf, category, year, CAST(printf('%.2f', CAST(sum(r) AS DOUBLE) / count(r)) AS DECIMAL(18,2)) AS r
+              FROM classed WHERE kind = 'TEM' GROUP BY ALL)
+        SELECT uf, year, CAST(sum(r) AS DOUBLE) AS value FROM t GROUP BY ALL""",
+    "compat_micro_values": f"""WITH {_CLASSED}, t AS (SELECT mic, year, CAST(sum(v) AS DOUBLE) AS v FROM classed WHERE kind = 'PER' GROUP BY ALL)
+        SELECT mic, year, CAST(printf('%.1f', v) AS DOUBLE) AS value FROM t""",
+    "compat_mun_values": f"""WITH {_CLASSED}, t AS (SELECT mun, year, CAST(sum(v) AS DOUBLE) AS v FROM classed WHERE grp = 'COL' GROUP BY ALL)
+        SELECT mun, year, CAST(printf('%.1f', v) AS DOUBLE) AS value FROM t""",
+    "compat_kpis": f"""WITH {_FACT}, t AS (SELECT uf, category, {_dbl('a', 'p', 'v')} FROM fact GROUP BY ALL),
+        u AS (SELECT uf, category, CAST(printf('%.1f', a) AS DECIMAL(18,1)) AS a, CAST(printf('%.1f', p) AS DECIMAL(18,1)) AS p,
+                     CAST(printf('%.1f', v) AS DECIMAL(18,1)) AS v FROM t)
+        SELECT {_dbl('a', 'p', 'v')}, count(*) FILTER (a + p + v > 0) AS pair_count, count(DISTINCT category) FILTER (a + p + v > 0) AS crop_count FROM u""",
     "kpi_crop": f"""WITH {_FACT}, t AS (SELECT year, uf, category, sum(a) AS a, sum(p) AS p, sum(v) AS v FROM fact GROUP BY ALL)
         SELECT year, {_dbl('a', 'p', 'v')}, count(*) FILTER (a + p + v > 0) AS pair_count,
                count(DISTINCT category) FILTER (a + p + v > 0) AS crop_count FROM t GROUP BY year""",

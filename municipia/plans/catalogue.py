@@ -57,11 +57,11 @@ def groups_of(spark: SparkSession, folder: str) -> DataFrame:
     return lookups.checked_broadcast(standin.category_groups(spark, folder))
 
 
-def explorer(spark: SparkSession, folder: str, *columns: str) -> Explorer:
-    """The interactive questions over crop rows with these columns; without a chosen group no lookup is needed."""
+def explorer(spark: SparkSession, folder: str, *columns: str, groups: DataFrame | None = None) -> Explorer:
+    """The interactive questions over crop rows with these columns; only a chosen group needs the lookup."""
     places = standin.geography(spark, folder)
     return Explorer(
-        crop=standin.crop_fact(spark, folder, *columns) if columns else None,
+        crop=standin.crop_fact(spark, folder, *columns) if columns else None, groups=groups,
         livestock=standin.livestock_rows(spark, folder), states=standin.state_names(spark, folder),
         micros=places.select("mic", "mic_name", "uf").distinct(), municipalities=places, years=standin.YEARS,
         crop_units=standin.CROP_UNITS, livestock_units=standin.LIVESTOCK_UNITS,
@@ -559,6 +559,36 @@ def rank_position(spark, folder):
     return crop_amounts(rank.rank_position(by_mun, ["uf"], "p", "mun"))
 
 
+# -- the published dashboard's own arithmetic ---------------------------------------------------------------------
+
+
+@query
+def compat_state_yields(spark, folder):
+    """Rounded mean yields, added up over the categories of a group."""
+    view = explorer(spark, folder, "uf", "category", "year", "r_sum", "r_n", groups=groups_of(spark, folder))
+    return view.values(Selection(metric="r", group=fixed.TEM, compat=True), "uf", year=False)
+
+
+@query
+def compat_micro_values(spark, folder):
+    """A category that is not combine-harvested reads as its whole group below state level."""
+    view = explorer(spark, folder, "mic", "category", "year", "v", groups=groups_of(spark, folder))
+    return view.values(Selection(metric="v", group=fixed.PER, category="Brand#7", compat=True), "mic", year=False)
+
+
+@query
+def compat_mun_values(spark, folder):
+    view = explorer(spark, folder, "mun", "category", "year", "v", groups=groups_of(spark, folder))
+    return view.values(Selection(metric="v", group=fixed.COL, category="Brand#8", compat=True), "mun", year=False)
+
+
+@query
+def compat_kpis(spark, folder):
+    """Headline numbers over cells rounded first."""
+    view = explorer(spark, folder, "uf", "category", "a", "p", "v")
+    return view.kpis(Selection(compat=True))
+
+
 # -- headline numbers, maps, labels, exports -------------------------------------------------------------------
 
 

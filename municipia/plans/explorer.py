@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from municipia import fixed_values as fixed
 from municipia.functions.cleaning import round_half_even
 from municipia.functions.labels import fmt_magnitude, metric_label
-from municipia.functions.units import scaled
+from municipia.functions.units import scaled, whole_units
 from municipia.operators import kpi, rank
 from municipia.operators.choropleth import attach_values_to_features, colour_classes, features_in_scope
 from municipia.operators.classify import classify_group
@@ -76,6 +76,14 @@ class Explorer:
             return F.lit(0.0)
         return F.coalesce(yield_weighted(self._sum(sel, "p"), self._sum(sel, "a")), F.lit(0.0))
 
+    @staticmethod
+    def _sum_values(sel: Selection) -> Column:
+        """Sum of a column ``value``; rounded values are added as whole units, which is exact."""
+        if not sel.compat:
+            return F.sum("value")
+        per_one = 100 if sel.metric == "r" else 10
+        return F.sum(whole_units(F.col("value"), per_one)) / F.lit(float(per_one))
+
     def cells(self, sel: Selection, year: bool = True) -> DataFrame:
         """Value per state, category and year; with ``compat`` rounded as in the published package."""
         keys = ["uf", "category", "year"]
@@ -92,7 +100,7 @@ class Explorer:
         """Value per key of ``uf``, ``mic`` or ``mun`` (and per year if ``year`` is off)."""
         keys = [level] if year else [level, "year"]
         if sel.compat and level == "uf":
-            return self.cells(sel, year).groupBy(*keys).agg(F.sum("value").alias("value"))
+            return self.cells(sel, year).groupBy(*keys).agg(self._sum_values(sel).alias("value"))
         # Compat below state level: only combine-harvested categories exist there, and none at all for municipalities.
         use_category = True
         if sel.compat and sel.domain == "crop" and sel.category is not None:
@@ -117,7 +125,7 @@ class Explorer:
             cells = self.cells(wide)
             if sel.domain == "livestock":
                 cells = cells.join(self._rows(wide).where(F.col("kind") == sel.kind).select("category").distinct(), "category", "left_semi")
-            totals = cells.groupBy("category").agg(F.sum("value").alias("value"))
+            totals = cells.groupBy("category").agg(self._sum_values(wide).alias("value"))
         else:
             rows = self._rows(wide)
             rows = rows.where(F.col("kind") == sel.kind) if sel.domain == "livestock" else rows
@@ -162,7 +170,7 @@ class Explorer:
         else:
             rows = self._rows(sel.with_(mic=None, mun=None), year=False)
             wanted = rows.groupBy("year").agg(self._value(sel).alias("value"))
-        yearly = wanted.groupBy("year").agg(F.sum("value").alias("value"))
+        yearly = wanted.groupBy("year").agg(self._sum_values(sel).alias("value"))
         return densify(yearly, [], ["value"], self.years)
 
     def municipality_series(self, sel: Selection) -> DataFrame:
@@ -174,9 +182,9 @@ class Explorer:
             if sel.domain == "livestock":
                 present = present.where(F.col("category") == sel.category)
             if present.take(1):
-                return densify(one.groupBy("year").agg(F.sum("value").alias("value")), [], ["value"], self.years)
+                return densify(one.select("year", "value"), [], ["value"], self.years)
         state = self.values(sel.with_(mic=None, mun=None), "mun", year=False)
-        return densify(state.groupBy("year").agg(F.sum("value").alias("value")), [], ["value"], self.years)
+        return densify(state.groupBy("year").agg(self._sum_values(sel).alias("value")), [], ["value"], self.years)
 
     # -- maps, headline numbers, labels, exports ------------------------------------------------------
 
@@ -199,7 +207,8 @@ class Explorer:
         if not sel.compat:
             return scaled(kpi.kpi_crop(cells), self.crop_units)
         amounts = scaled(cells, self.crop_units)
-        return kpi.kpi_crop(amounts.withColumns({c: round_half_even(F.col(c), 1) for c in ("a", "p", "v")}))
+        tenths = amounts.withColumns({c: whole_units(round_half_even(F.col(c), 1), 10) for c in ("a", "p", "v")})
+        return scaled(kpi.kpi_crop(tenths), {"a": 10, "p": 10, "v": 10})
 
     def labelled(self, values: DataFrame, sel: Selection) -> DataFrame:
         """Values with their display text and the label of the metric."""
