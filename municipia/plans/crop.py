@@ -17,6 +17,7 @@ from municipia.operators.rollup import (
 )
 from municipia.operators.series import known_years
 from municipia.sinks import packages
+from municipia.sinks.tables import materialise
 
 MEASURES = ["a", "p", "v"]
 
@@ -58,25 +59,22 @@ class CropTables:
 def crop_tables(fact: DataFrame, groups: DataFrame, work_folder: str) -> CropTables:
     """Build the base roll-up once, as a table partitioned by year, and derive the rest from it.
 
-    ``work_folder`` must be a new folder that all executors share.
+    ``work_folder`` must be shared by all executors. A run that was cut off goes on where it stopped if
+    it is given the same folder.
     """
     spark = fact.sparkSession
     # One pass over the delimited files; all that follows reads single columns of its result.
-    clean_crop_fact(fact).write.mode("errorifexists").partitionBy("rejected").parquet(f"{work_folder}/fact")
-    kept = spark.read.parquet(f"{work_folder}/fact").where(F.col("rejected") == 0)
+    cleaned = materialise(clean_crop_fact(fact), f"{work_folder}/fact", "rejected")
+    kept = cleaned.where(F.col("rejected") == 0)
     # The rebalance hint groups rows by year for the writer and splits a year that is large.
-    rollup_base(kept).hint("rebalance", "year").write.mode("errorifexists").partitionBy("year").parquet(f"{work_folder}/base")
-    base = spark.read.parquet(f"{work_folder}/base")
-    municipality_dim(kept).write.mode("errorifexists").parquet(f"{work_folder}/municipalities")
-    micro_dim(kept).write.mode("errorifexists").parquet(f"{work_folder}/micros")
-    extend_groups(base, groups).write.mode("errorifexists").parquet(f"{work_folder}/groups")
+    base = materialise(rollup_base(kept).hint("rebalance", "year"), f"{work_folder}/base", "year")
     return CropTables(
         base=base,
-        groups=checked_broadcast(spark.read.parquet(f"{work_folder}/groups")),
+        groups=checked_broadcast(materialise(extend_groups(base, groups), f"{work_folder}/groups")),
         years=known_years(base),
         states=state_dim(base, states(spark)),
-        micros=spark.read.parquet(f"{work_folder}/micros"),
-        municipalities=spark.read.parquet(f"{work_folder}/municipalities"),
+        micros=materialise(micro_dim(kept), f"{work_folder}/micros"),
+        municipalities=materialise(municipality_dim(kept), f"{work_folder}/municipalities"),
     )
 
 

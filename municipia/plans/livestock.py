@@ -14,6 +14,7 @@ from municipia.operators.lookups import attach
 from municipia.operators.rollup import distinct_domain, rollup_levels, union_all
 from municipia.operators.series import known_years
 from municipia.sinks import files, packages
+from municipia.sinks.tables import materialise
 from municipia.sources.files import consolidate_table
 
 MEASURES = ["q", "v"]
@@ -51,13 +52,11 @@ class LivestockTables:
 
 
 def livestock_tables(wide: DataFrame, mapping: DataFrame, work_folder: str) -> LivestockTables:
-    spark = wide.sparkSession
-    clean_livestock(wide, mapping).write.mode("errorifexists").partitionBy("rejected").parquet(f"{work_folder}/livestock_fact")
-    kept = spark.read.parquet(f"{work_folder}/livestock_fact").where(F.col("rejected") == 0)
-    fine = kept.dropna(subset=["category", "year"]).groupBy("uf", "mic", "mun", "kind", "category", "year")
-    summed = fine.agg(*[F.sum(c).alias(c) for c in MEASURES])
-    summed.hint("rebalance", "year").write.mode("errorifexists").partitionBy("year").parquet(f"{work_folder}/livestock")
-    base = spark.read.parquet(f"{work_folder}/livestock")
+    """The livestock base as a table partitioned by year; resumes like the crop tables."""
+    cleaned = materialise(clean_livestock(wide, mapping), f"{work_folder}/livestock_fact", "rejected")
+    kept = cleaned.where(F.col("rejected") == 0).dropna(subset=["category", "year"])
+    summed = kept.groupBy("uf", "mic", "mun", "kind", "category", "year").agg(*[F.sum(c).alias(c) for c in MEASURES])
+    base = materialise(summed.hint("rebalance", "year"), f"{work_folder}/livestock", "year")
     return LivestockTables(base, known_years(base))
 
 

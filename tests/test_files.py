@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from municipia.operators import lookups, quality
 from municipia.sinks import files
+from municipia.sinks.tables import materialise
 from municipia.sources import api, geo
 from municipia.sources import files as sources
 from municipia.streaming import ingest
@@ -179,3 +180,13 @@ def test_newest_file_wins_within_a_batch(spark, rows):
 def test_states_are_complete(spark):
     known = lookups.states(spark)
     assert known.count() == 27 and known.select("region").distinct().count() == 5
+
+
+def test_materialise_resumes_and_rebuilds_what_was_cut_off(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first, second = spark.createDataFrame([(1, 2020)], "x int, year int"), spark.createDataFrame([(2, 2021)], "x int, year int")
+    assert materialise(first, path, "year").first().x == 1
+    assert materialise(second, path, "year").first().x == 1  # finished before: read only
+    other = str(tmp_path / "cut")
+    first.write.parquet(other)  # data without the marker, as after a lost driver
+    assert [r.x for r in materialise(second, other).collect()] == [2]
