@@ -44,12 +44,17 @@ def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years:
 
 
 def pack_series(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
-    """One array per measure, position = year index, 0 = missing."""
+    """One array per measure, position = year index, 0 = missing.
+
+    Every element is a conditional sum, so rows combine on the map side and rows of one key and year add
+    up: a fact that is not rolled up yet is packed within one shuffle.
+    """
 
     def array_of(measure: str) -> Column:
-        return F.transform(_years(years), lambda y: F.coalesce(F.try_element_at("_cells", y)[measure], F.lit(0)))
+        elements = ", ".join(f"coalesce(sum(`{measure}`) FILTER (WHERE `{year}` = {int(y)}), 0)" for y in years)
+        return F.expr(f"array({elements}) AS `{measure}`")
 
-    return _by_year(df, keys, measures, year).select(*keys, *[array_of(m).alias(m) for m in measures])
+    return df.where(F.col(year).isNotNull()).groupBy(*keys).agg(*[array_of(m) for m in measures])
 
 
 def yearly_totals(df: DataFrame, measures: Sequence[str], years: Sequence[int], year: str = "year", keys: Sequence[str] = ()) -> DataFrame:

@@ -58,11 +58,14 @@ def groups_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def explorer(spark: SparkSession, folder: str, *columns: str, groups: DataFrame | None = None) -> Explorer:
-    """The interactive questions over crop rows with these columns; only a chosen group needs the lookup."""
+    """The interactive questions over crop rows with these columns, or over livestock if none are named.
+
+    Only a chosen group needs the lookup.
+    """
     places = standin.geography(spark, folder)
     return Explorer(
         crop=standin.crop_fact(spark, folder, *columns) if columns else None, groups=groups,
-        livestock=standin.livestock_rows(spark, folder), states=standin.state_names(spark, folder),
+        livestock=None if columns else standin.livestock_rows(spark, folder), states=standin.state_names(spark, folder),
         micros=places.select("mic", "mic_name", "uf").distinct(), municipalities=places, years=standin.YEARS,
         crop_units=standin.CROP_UNITS, livestock_units=standin.LIVESTOCK_UNITS,
     )
@@ -448,17 +451,17 @@ def dense_series_mun_category(spark, folder):
 
 @query
 def packed_series(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "p"), ["mun", "category", "year"], ["p"])
-    packed = series.pack_series(crop_amounts(cells), ["mun", "category"], ["p"], standin.YEARS)
-    return packed.select("mun", "category", F.posexplode("p").alias("year_index", "p"))
+    fact = standin.crop_fact(spark, folder, "mun", "category", "year", "p")
+    packed = series.pack_series(fact, ["mun", "category"], ["p"], standin.YEARS)
+    return crop_amounts(packed.select("mun", "category", F.posexplode("p").alias("year_index", "p")))
 
 
 @query
 def value_at_year(spark, folder):
-    cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "p"), ["mun", "year"], ["p"])
-    packed = series.pack_series(crop_amounts(cells), ["mun"], ["p"], standin.YEARS)
-    wanted = {"first": cleaning.value_at(F.col("p"), 0), "last": cleaning.value_at(F.col("p"), 6), "beyond": cleaning.value_at(F.col("p"), 7)}
-    return packed.select("mun", *[c.alias(n) for n, c in wanted.items()])
+    packed = series.pack_series(standin.crop_fact(spark, folder, "mun", "year", "p"), ["mun"], ["p"], standin.YEARS)
+    wanted = {"first": 0, "last": 6, "beyond": 7}
+    values = packed.select("mun", *[cleaning.value_at(F.col("p"), i).alias(name) for name, i in wanted.items()])
+    return scaled(values, dict.fromkeys(wanted, standin.CROP_UNITS["p"]))
 
 
 @query

@@ -130,6 +130,8 @@ def test_densify_and_pack_agree(spark, rows):
         ("x", 2004, 1.0, 0.0, True), ("x", 2005, 0.0, 0.0, False), ("x", 2006, 0.0, 0.0, False), ("x", 2007, 0.0, 2.0, True)]
     packed = {r.k: (r.a, r.p) for r in series.pack_series(df, ["k"], ["a", "p"], years).collect()}
     assert packed == {"x": ([1.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, 2.0]), "y": ([0.0, 3.0, 0.0, 0.0], [0.0, 3.0, 0.0, 0.0])}
+    twice = series.pack_series(df.unionByName(df), ["k"], ["a"], years)
+    assert {r.k: r.a for r in twice.collect()} == {"x": [2.0, 0.0, 0.0, 0.0], "y": [0.0, 6.0, 0.0, 0.0]}
     assert series.known_years(df) == [2004, 2005, 2007]
     empty = series.densify(df.where("k = 'none'"), [], ["a"], years)
     assert rows(empty) == [(y, 0.0, False) for y in years]
