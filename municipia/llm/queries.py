@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from municipia.llm import media, mixing, sharding, toxicity
+from municipia.llm import media, mixing, packing, pii, sharding, simhash, toxicity
 from municipia.llm.common import read, unsigned_crc32
 
 
@@ -16,6 +16,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, count="n_replaced")
+
+
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     seen = media.with_digests(media.with_probe(media.with_media(docs)))
@@ -25,6 +35,10 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select("doc_id", n_bytes.alias("n_bytes"), "digests.*", feature.alias("feature"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), unsigned_crc32(F.col("text")).alias("text_crc32"))
@@ -40,7 +54,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_simhash": op2_simhash,
+    "op3_pseudonyms": op3_pseudonyms,
     "op4_media": op4_media,
+    "op5_packing": op5_packing,
     "op6_shards": op6_shards,
     "op10_mixing": op10_mixing,
 }
