@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from municipia.llm import media, mixing, packing, pii, sharding, simhash, toxicity
+from municipia.llm import media, mixing, packing, pii, sharding, simhash, toxicity, vectors
 from municipia.llm.common import read, unsigned_crc32
 
 
@@ -46,10 +46,14 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     plan = mixing.plan_mix(docs, ["doc_id"])
-    return plan.select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("passes", F.lit(1))["time"].alias("first_due"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
@@ -59,7 +63,48 @@ QUERIES = {
     "op4_media": op4_media,
     "op5_packing": op5_packing,
     "op6_shards": op6_shards,
+    "op8_vectors": op8_vectors,
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op8_vectors": """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+    SELECT vec_id AS id, vec_id AS other FROM usable UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+), groups AS (SELECT id, min(other) AS least FROM reach GROUP BY id)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links, coalesce(g.least, e.vec_id) AS component_id,
+    coalesce(e.vec_id = coalesce(g.least, e.vec_id), false) AS kept
+FROM embeddings e LEFT JOIN groups g ON g.id = e.vec_id
+""",
+    "op10_mixing": """
+WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM sizes),
+weighted AS (SELECT *, [3, 1, 2][r % 3 + 1] AS w, 1.5::DOUBLE * sum(source_size) OVER () AS demand FROM ranked),
+judged AS (
+    SELECT *, (demand - 2.0::DOUBLE * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w
+        > 2.0::DOUBLE * source_size * sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS is_full
+    FROM weighted WINDOW o AS (ORDER BY source_size::DOUBLE / w, r)
+),
+targets AS (
+    SELECT source, source_size, CASE WHEN is_full THEN 2.0::DOUBLE * source_size
+        ELSE (demand - 2.0::DOUBLE * coalesce(sum(source_size) FILTER (WHERE is_full) OVER (), 0)) / (sum(w) FILTER (WHERE NOT is_full) OVER ()) * w END AS target
+    FROM judged
+), goals AS (SELECT *, floor(target + 0.5)::BIGINT AS goal FROM targets),
+hashed AS (
+    SELECT d.*, source_size, target, goal, md5('7|' || doc_id) AS h,
+        ('0x' || substr(md5('7|' || doc_id), 1, 8))::BIGINT % greatest(1024, (count(*) OVER () + 65535) // 65536) AS bucket
+    FROM docs d JOIN goals t ON d.source IS NOT DISTINCT FROM t.source
+), placed AS (
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY bucket, h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins,
+        CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS rounds FROM hashed
+)
+SELECT doc_id, size, source_size, target, (rounds * size + greatest(0, least(size, goal - rounds * source_size - begins)))::BIGINT AS taken FROM placed
+""",
+}
