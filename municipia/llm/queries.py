@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from municipia.llm import media, mixing, packing, pii, sharding, simhash, toxicity, vectors
+from municipia.llm import media, mixing, packing, pii, repeats, sharding, simhash, toxicity, vectors
 from municipia.llm.common import read, unsigned_crc32
 
 
@@ -50,6 +50,12 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.without_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     plan = mixing.plan_mix(docs, ["doc_id"])
@@ -64,6 +70,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_shards": op6_shards,
     "op8_vectors": op8_vectors,
+    "op9_repeats": op9_repeats,
     "op10_mixing": op10_mixing,
 }
 
