@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from municipia.llm import media, mixing, packing, pii, repeats, sharding, simhash, toxicity, vectors
+from municipia.llm import media, mixing, packing, passages, pii, repeats, sharding, simhash, toxicity, vectors
 from municipia.llm.common import read, unsigned_crc32
 
 
@@ -46,6 +46,10 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(read(spark, sf_dir, "documents"))
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op4_media": op4_media,
     "op5_packing": op5_packing,
     "op6_shards": op6_shards,
+    "op7_passages": op7_passages,
     "op8_vectors": op8_vectors,
     "op9_repeats": op9_repeats,
     "op10_mixing": op10_mixing,
