@@ -1,8 +1,8 @@
-"""Sums that do not depend on row order.
+"""Sums that do not depend on row order, exact at any size.
 
-Amounts with a fixed number of decimals are added up as whole counts of their smallest unit (cents).
-Held as doubles these counts are exact up to 2**53 and cost what a plain double costs; decimals cost
-an order of magnitude more per row. Results are scaled back once, after the last sum.
+Amounts with a fixed number of decimals are counted in whole units (cents) as 64-bit integers. A sum adds up the units' upper and
+lower parts apart, so that neither overflows before 2**43 rows, and puts them together as a decimal: two integer sums a row, where
+a decimal sum costs an order of magnitude more. Sums of sums are rows of decimals, which are few. Results become doubles once, after the last sum.
 """
 
 from __future__ import annotations
@@ -12,10 +12,26 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LOW_BITS = 20
+
 
 def whole_units(column: Column, per_one: int = 100) -> Column:
-    """Amount as a whole number of units, ``per_one`` of them making 1."""
-    return F.rint(column * F.lit(float(per_one)))
+    """Amount as a whole number of units, ``per_one`` of them making 1. Finer decimals are rounded away, to even."""
+    return F.rint(column * F.lit(float(per_one))).cast("bigint")
+
+
+def total_sql(kind: str, name: str, condition: str = "") -> str:
+    """SQL for the sum of a column of type ``kind``, over the rows that meet ``condition``; decimal for whole units, null without values."""
+    where = f" FILTER (WHERE {condition})" if condition else ""
+    if kind not in ("bigint", "int"):
+        return f"sum(`{name}`){where}"
+    high, low = f"sum(shiftright(`{name}`, {LOW_BITS})){where}", f"sum(`{name}` & {(1 << LOW_BITS) - 1}L){where}"
+    return f"CAST({high} AS DECIMAL(31,0)) * {1 << LOW_BITS} + {low}"
+
+
+def total(df: DataFrame, name: str) -> Column:
+    """Sum of a column of ``df``, under its own name."""
+    return F.expr(total_sql(dict(df.dtypes)[name], name)).alias(name)
 
 
 def scaled(df: DataFrame, per_one: Mapping[str, int]) -> DataFrame:

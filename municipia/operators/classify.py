@@ -18,7 +18,7 @@ def flag_columns(groups: DataFrame) -> list[str]:
 
 
 def attach_type(df: DataFrame, groups: DataFrame, category: str = "category") -> DataFrame:
-    """``kind`` per row, TEM where the lookup has none. Pass a size-checked lookup for large facts."""
+    """``kind`` per row, TEM where the lookup has none."""
     return attach(df, groups, category, ["kind"], {"kind": F.lit(fixed.TEM)}, lookup_key="category")
 
 

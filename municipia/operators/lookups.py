@@ -1,8 +1,7 @@
 """Small tables and the joins that use them.
 
-Only tables of a known size are hinted for broadcast: those made from fixed values in code, and
-those whose rows were counted first. Everything else joins without a hint, so that Spark compares
-file sizes with its own threshold, re-plans at run time, and splits hot keys of a shuffled join.
+Only tables made from fixed values in code are hinted for broadcast. Everything else joins without a hint, so that Spark
+compares sizes with its own threshold, re-plans at run time, and splits hot keys of a shuffled join.
 """
 
 from __future__ import annotations
@@ -14,19 +13,6 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 
-BROADCAST_MAX_ROWS = 50_000
-BROADCAST_MAX_BYTES = 8 << 20
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint ``df`` for broadcast if its rows and the text in them are few; otherwise return it unhinted.
-
-    The measuring job stops at ``max_rows + 1`` rows.
-    """
-    text = " + ".join(f"coalesce(octet_length(cast(`{name}` AS string)), 0)" for name in df.columns)
-    measured = df.limit(max_rows + 1).agg(F.expr("count(1) AS n"), F.expr(f"coalesce(sum({text}), 0) AS size")).first()
-    return F.broadcast(df) if measured["n"] <= max_rows and measured["size"] <= max_bytes else df
-
 
 def states(spark: SparkSession) -> DataFrame:
     """The 27 states: ``uf_code, uf, uf_name, region, region_name``."""

@@ -50,6 +50,17 @@ def reject_null_category(fact: DataFrame, category: str = "category") -> tuple[D
     return fact.where(F.col(category).isNotNull()), fact.where(F.col(category).isNull())
 
 
+def mapping_report(counted: DataFrame, mapping: DataFrame, by: Sequence[str], mun: str = "mun", mic: str = "mic") -> DataFrame:
+    """Per ``by``: rows with and without a micro-region, and the micro-regions met. ``counted`` has ``rows`` per municipality; one join serves both counts."""
+    joined = counted.join(mapping.select(F.col(mun), F.col(mic)), mun, "left")
+    known = F.col(mic).isNotNull()
+    return joined.groupBy(*by).agg(
+        F.coalesce(F.sum(F.when(known, F.col("rows"))), F.lit(0)).alias("kept_rows"),
+        F.count_distinct(F.when(known, F.col(mic))).alias("micro_regions"),
+        F.coalesce(F.sum(F.when(~known, F.col("rows"))), F.lit(0)).alias("rejected_rows"),
+    )
+
+
 def group_profile(fact: DataFrame, groups: DataFrame, mun: str = "mun") -> DataFrame:
     """Municipalities per group. One row per municipality with four flags, then a plain count of flags."""
     pairs = fact.select(mun, "category").dropna().distinct()

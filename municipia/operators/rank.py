@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from municipia.session import ensure_checkpoint_dir
-
 
 def ranking_order(value: str = "value", key: str = "key") -> list[Column]:
     return [F.col(value).desc(), F.col(key).asc()]
@@ -37,19 +35,21 @@ def top_k_per_scope(df: DataFrame, scope: Sequence[str], k: int, value: str = "v
     return positive.withColumn("position", F.row_number().over(window)).where(F.col("position") <= k)
 
 
-def rank_position(df: DataFrame, scope: Sequence[str], value: str = "value", key: str = "key", partitions: int | None = None) -> DataFrame:
-    """1-based position of every row in its scope, however large one scope is.
+def rank_position(df: DataFrame, scope: Sequence[str], value: str = "value", key: str = "key", borders: int = 64) -> DataFrame:
+    """1-based position of every row in its scope, however large one scope is. Null values come last.
 
-    Rows are range-partitioned on (scope, value, key), which also cuts a large scope, and are numbered
-    inside their range; a range starts where the rows of the earlier ranges of its scope end. The ranges
-    are checkpointed, because their borders come from a sample and both uses must see the same ones.
+    A few rows of each scope, chosen by a hash, cut it into ranges of (value, key), which also cut ties. Rows are numbered inside their
+    range; a range starts where the rows of the earlier ranges end. All of it is one plan; its uses of ``df`` share their last exchange.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    borders = [*[F.col(c).asc() for c in scope], *ranking_order(value, key)]
-    ranged = df.repartitionByRange(partitions, *borders).withColumn("_range", F.spark_partition_id()).checkpoint()
+    hashed = F.xxhash64(*scope, key)
+    few = df.withColumn("_n", F.row_number().over(Window.partitionBy(*scope).orderBy(hashed, key))).where(F.col("_n") <= borders)
+    cuts = few.where(F.col(value).isNotNull()).groupBy(*scope).agg(F.collect_list(F.struct(F.col(value).alias("v"), F.col(key).alias("k"))).alias("_cuts"))
+
+    def before(cut: Column) -> Column:
+        return (cut["v"] > F.col(value)) | ((cut["v"] == F.col(value)) & (cut["k"] <= F.col(key)))
 
+    found = F.when(F.col(value).isNull(), F.lit(borders + 1)).otherwise(F.size(F.filter(F.coalesce("_cuts", F.array()), before)))
+    ranged = df.join(cuts, list(scope), "left").withColumn("_range", found).drop("_cuts")
     parts = [*scope, "_range"]
     earlier = Window.partitionBy(*scope).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_size"))

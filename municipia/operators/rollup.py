@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
-from municipia.functions.units import scaled
+from municipia.functions.units import scaled, total, total_sql
 from municipia.operators.classify import classify_group
 from municipia.operators.filters import drop_null_keys
 
@@ -37,14 +37,19 @@ def yield_weighted(p: Column | None = None, a: Column | None = None) -> Column:
     return F.try_divide(p.cast("double") * 1000, a.cast("double"))
 
 
+def _summed(df: DataFrame, name: str) -> Column:
+    """The number of yields is a count and stays one; everything else may be whole units."""
+    return F.sum(name).alias(name) if name == "r_n" else total(df, name)
+
+
 def rollup(fact: DataFrame, keys: Sequence[str], sums: Sequence[str] = CROP_SUMS) -> DataFrame:
     """Sums per key, with map-side partial aggregation; a sum of nothing but nulls stays null."""
-    return drop_null_keys(fact, keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return drop_null_keys(fact, keys).groupBy(*keys).agg(*[_summed(fact, c) for c in sums])
 
 
 def rollup_base(fact: DataFrame, keys: Sequence[str] = ("uf", "mic", "mun", "category", "year"), sums: Sequence[str] = (*CROP_SUMS, *YIELD_PARTS)) -> DataFrame:
     """The finest roll-up, from which all others follow. Only category and year must be present."""
-    return drop_null_keys(fact, ["category", "year"]).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return drop_null_keys(fact, ["category", "year"]).groupBy(*keys).agg(*[_summed(fact, c) for c in sums])
 
 
 def rollup_state_category(fact: DataFrame, uf: str = "uf", category: str = "category", year: str = "year",
@@ -84,11 +89,12 @@ def rollup_membership_wide(fact: DataFrame, groups: DataFrame, key: str = "mun",
                            year: str = "year") -> DataFrame:
     """The four fixed groups of ``rollup_membership`` in one shuffle, for keys too many to roll up twice.
 
-    Each group is a conditional sum, so no row is repeated before the shuffle. ``groups`` should be size-checked.
+    Each group is a conditional sum, so no row is repeated before the shuffle.
     """
     classified = classify_group(drop_null_keys(fact, [key, "category", year]), groups)
     parts = [F.expr(f"count(1) FILTER (WHERE {test}) AS {code}_n") for code, test in GROUP_TESTS.items()]
-    parts += [F.expr(f"sum(`{c}`) FILTER (WHERE {test}) AS `{code}_{c}`") for code, test in GROUP_TESTS.items() for c in sums]
+    kinds = dict(classified.dtypes)
+    parts += [F.expr(total_sql(kinds[c], c, test)).alias(f"{code}_{c}") for code, test in GROUP_TESTS.items() for c in sums]
     wide = classified.groupBy(key, year).agg(*parts)
     fields = {code: ", ".join(f"`{code}_{c}` AS `{c}`" for c in sums) for code in GROUP_TESTS}
     cells = ", ".join(f"struct('{code}' AS grp, {code}_n AS n, {fields[code]})" for code in GROUP_TESTS)
@@ -102,10 +108,10 @@ def rollup_levels(fact: DataFrame, levels: Sequence[str] = ("uf", "mic", "mun"),
 
     Levels are told apart by the grouping id, then each level drops its own null keys.
     """
-    fine = drop_null_keys(fact, [category, year]).groupBy(*levels, category, year).agg(*[F.sum(c).alias(c) for c in sums])
+    fine = drop_null_keys(fact, [category, year]).groupBy(*levels, category, year).agg(*[_summed(fact, c) for c in sums])
     sets = [[level, category, year] for level in levels]
     grouped = fine.groupingSets(sets, *levels, category, year).agg(
-        F.grouping_id(*levels, category, year).alias("_gid"), *[F.sum(c).alias(c) for c in sums]
+        F.grouping_id(*levels, category, year).alias("_gid"), *[total(fine, c) for c in sums]
     )
     columns = [*levels, category, year]
     ids = {level: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in (level, category, year)) for level in levels}
@@ -135,13 +141,13 @@ def pivot_variables(long: DataFrame, keys: Sequence[str], variables: Sequence[st
 
 
 def sum_active(fact: DataFrame, active: DataFrame, key: str = "uf", metric: str = "p", category: str = "category") -> DataFrame:
-    """Sum per state over an active category set. ``active`` should be size-checked."""
+    """Sum per state over an active category set."""
     chosen = fact.join(active.select(category), category, "left_semi")
-    return drop_null_keys(chosen, [key]).groupBy(key).agg(F.sum(metric).alias("value"))
+    return drop_null_keys(chosen, [key]).groupBy(key).agg(total(fact, metric).alias("value"))
 
 
 def category_totals(fact: DataFrame, metric: str = "p", category: str = "category") -> DataFrame:
-    return drop_null_keys(fact, [category]).groupBy(category).agg(F.sum(metric).alias("value"))
+    return drop_null_keys(fact, [category]).groupBy(category).agg(total(fact, metric).alias("value"))
 
 
 def distinct_domain(df: DataFrame, column: str) -> DataFrame:

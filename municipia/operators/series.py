@@ -1,7 +1,4 @@
-"""Yearly series: one value for every year, long or packed into arrays.
-
-Inputs are roll-ups with one row per (keys, year), so a group holds at most one row per year.
-"""
+"""Yearly series: one value for every year, long or packed into arrays. Rows of one key and year add up."""
 
 from __future__ import annotations
 
@@ -10,57 +7,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_YEARS = 1_000
-
+from municipia.functions.units import total_sql
 
 def known_years(df: DataFrame, year: str = "year") -> list[int]:
-    """Sorted distinct years on the driver; a list of years, checked to be short."""
-    rows = df.select(year).where(F.col(year).isNotNull()).distinct().limit(MAX_YEARS + 1).collect()
-    if len(rows) > MAX_YEARS:
-        raise ValueError(f"more than {MAX_YEARS} distinct values in {year!r}; not a year column")
-    return sorted(int(row[0]) for row in rows)
-
-
-def _years(years: Sequence[int]) -> Column:
-    return F.array(*[F.lit(int(y)) for y in years])
-
-
-def _by_year(df: DataFrame, keys: Sequence[str], measures: Sequence[str], year: str) -> DataFrame:
-    """Per key a map from year to its measures; without keys one row, also for an empty input."""
-    entry = F.struct(F.col(year).cast("int").alias("k"), F.struct(*measures).alias("m"))
-    return df.where(F.col(year).isNotNull()).groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))
+    """The years that occur, sorted: the distinct values of one integer column."""
+    return sorted(int(row[0]) for row in df.select(year).where(F.col(year).isNotNull()).distinct().collect())
 
 
-def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
-    """One row per key and year: 0 where absent, with ``is_observed`` to tell zero from missing."""
-    cells = _by_year(df, keys, measures, year).select(*keys, "_cells", F.explode(_years(years)).alias(year))
-    cell = F.try_element_at("_cells", F.col(year))
-    zero = F.lit(0)
-    return cells.select(
-        *keys, year,
-        *[F.coalesce(cell[m], zero).alias(m) for m in measures],
-        cell.isNotNull().alias("is_observed"),
-    )
+def outside_years(df: DataFrame, years: Sequence[int], year: str = "year") -> DataFrame:
+    """Rows per year that a caller's list leaves out of a series, a null year among them; no rows if the list is complete."""
+    listed = F.coalesce(F.col(year).isin(*[int(y) for y in years]), F.lit(False))
+    return df.where(~listed).groupBy(year).agg(F.count(F.lit(1)).alias("left_out"))
 
 
 def pack_series(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
     """One array per measure, position = year index, 0 = missing.
 
     Every element is a conditional sum, so rows combine on the map side and rows of one key and year add
-    up: a fact that is not rolled up yet is packed within one shuffle.
+    up: a fact that is not rolled up yet is packed within one shuffle. ``outside_years`` tells what a list leaves out.
     """
+    kinds = dict(df.dtypes)
 
     def array_of(measure: str) -> Column:
-        elements = ", ".join(f"coalesce(sum(`{measure}`) FILTER (WHERE `{year}` = {int(y)}), 0)" for y in years)
-        return F.expr(f"array({elements}) AS `{measure}`")
+        elements = ", ".join(f"coalesce({total_sql(kinds[measure], measure, f'`{year}` = {int(y)}')}, 0)" for y in years)
+        return F.expr(f"array({elements})").alias(measure)
 
     return df.where(F.col(year).isNotNull()).groupBy(*keys).agg(*[array_of(m) for m in measures])
 
 
+def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
+    """One row per key and year: 0 where absent, with ``is_observed`` to tell zero from missing.
+
+    Conditional sums and counts per year as in ``pack_series``, unfolded to rows: one shuffle, no collected lists. Without keys
+    there is one series, also for an empty input.
+    """
+    kinds, years = dict(df.dtypes), [int(y) for y in years]
+    cells = []
+    for i, y in enumerate(years):
+        cells.append(F.expr(f"count_if(`{year}` = {y})").alias(f"_n{i}"))
+        cells += [F.expr(total_sql(kinds[m], m, f"`{year}` = {y}")).alias(f"_{m}{i}") for m in measures]
+    wide = df.where(F.col(year).isNotNull()).groupBy(*keys).agg(*cells) if years else df.limit(0)
+    if not years:
+        return wide.select(*keys, F.lit(None).cast("int").alias(year), *measures, F.lit(False).alias("is_observed"))
+    fields = [", ".join([f"{y} AS `{year}`", *[f"coalesce(`_{m}{i}`, 0) AS `{m}`" for m in measures], f"`_n{i}` > 0 AS is_observed"]) for i, y in enumerate(years)]
+    return wide.select(*keys, F.expr(f"inline(array({', '.join(f'struct({f})' for f in fields)}))"))
+
+
 def yearly_totals(df: DataFrame, measures: Sequence[str], years: Sequence[int], year: str = "year", keys: Sequence[str] = ()) -> DataFrame:
     """Dense series of sums over whatever rows ``df`` holds."""
-    summed = df.where(F.col(year).isNotNull()).groupBy(*keys, year).agg(*[F.sum(m).alias(m) for m in measures])
-    return densify(summed, keys, measures, years, year)
+    return densify(df, keys, measures, years, year)
 
 
 def series_state_from_municipalities(mun_values: DataFrame, mun_dim: DataFrame, years: Sequence[int], measures: Sequence[str],

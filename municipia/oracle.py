@@ -5,7 +5,7 @@ from __future__ import annotations
 from municipia import fixed_values as fixed
 from municipia.plans import catalogue
 
-_YEARS = "years AS (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS year)"
+_YEARS = "years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)"
 
 _PLACES = """places AS (
   SELECT c_custkey AS mun, c_name AS mun_name, n_name || '-' || c_mktsegment AS mic,
@@ -53,7 +53,7 @@ wide AS (
   FROM long WHERE value IS NOT NULL GROUP BY ALL)"""
 
 _NATION_CODES = """parents AS (
-  SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS uf_code, n_name AS uf FROM nation WHERE n_regionkey <> 4)"""
+  SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS uf_code, n_name AS uf FROM nation)"""
 
 _NAMES = """names AS (
   SELECT n_name AS uf, upper(n_name[1]) || lower(n_name[2:]) AS uf_name, r_name AS region
@@ -86,7 +86,7 @@ _TARGETS = ", ".join(f"({t!r})" for t in catalogue.FLAG_TARGETS)
 _PLAIN = "trim(translate(lower({0}), '()', ''))"
 _MATCH = f"contains({_PLAIN.format('category')}, {_PLAIN.format('target')}) OR contains({_PLAIN.format('target')}, {_PLAIN.format('category')})"
 _CODED = """coded AS (
-  SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || CAST(c_custkey AS VARCHAR) AS mun,
+  SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN '99' ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END || CAST(c_custkey AS VARCHAR) AS mun,
          CASE WHEN c_mktsegment = 'BUILDING' THEN 'NATION_0' ELSE 'NATION_' || c_nationkey END AS uf_file FROM customer),
 located AS (SELECT mun, uf_file, uf FROM coded LEFT JOIN parents ON substr(mun, 1, 2) = uf_code)"""
 
@@ -127,13 +127,15 @@ ORACLES: dict[str, str] = {
     "profile": f"""WITH {_FACT}
         SELECT count(*) AS row_count, count(DISTINCT mun) AS municipalities, count(DISTINCT category) AS categories,
                count(DISTINCT uf) AS states, min(year) AS first_year, max(year) AS last_year FROM fact""",
-    "domain_years": f"WITH {_FACT} SELECT DISTINCT year FROM fact",
+    "domain_years": f"WITH {_FACT} SELECT CAST(row_number() OVER (ORDER BY year) - 1 AS INTEGER) AS position, year FROM (SELECT DISTINCT year FROM fact)",
     "domain_categories_by_kind": f"WITH {_LIVESTOCK} SELECT DISTINCT kind, category FROM rows",
     "scope_maximum": f"""WITH {_FACT}, t AS (SELECT uf, mic, year, sum(p) AS p FROM fact GROUP BY ALL)
         SELECT uf, year, greatest(CAST(max(p) AS DOUBLE), 1.0) AS scope_max FROM t GROUP BY ALL""",
     "state_dim": f"""WITH {_PLACES}, {_NAMES}
-        SELECT DISTINCT places.uf, coalesce(uf_name, places.uf) AS uf_name, coalesce(names.region, '') AS region
-        FROM places LEFT JOIN names ON places.uf = names.uf AND names.region <> 'ASIA'""",
+        SELECT DISTINCT CASE WHEN mic_name = 'BUILDING' THEN 'n/a ' || places.uf ELSE places.uf END AS uf,
+               CASE WHEN mic_name = 'BUILDING' THEN 'n/a ' || places.uf ELSE uf_name END AS uf_name,
+               CASE WHEN mic_name = 'BUILDING' THEN '' ELSE names.region END AS region
+        FROM places JOIN names ON places.uf = names.uf""",
     "micro_dim_last_wins": f"""WITH {_PLACES},
         seen AS (SELECT mic_name AS mic, uf AS mic_name, region AS uf, o_orderpriority AS meso_name, min(o_orderkey) AS first_row
                  FROM orders JOIN places ON o_custkey = mun GROUP BY ALL)
@@ -142,22 +144,23 @@ ORACLES: dict[str, str] = {
     "mun_dim_first_wins": """SELECT o_custkey AS mun, o_orderpriority AS mun_name, o_orderstatus AS uf, CAST(year(o_orderdate) AS VARCHAR) AS mic
         FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_orderpriority, o_orderstatus) = 1""",
     "attach_names": f"""WITH {_FACT}, {_NAMES}
-        SELECT fact.uf, category, CAST(sum(p) AS DOUBLE) AS p, coalesce(uf_name, fact.uf) AS uf_name
-        FROM fact LEFT JOIN names ON fact.uf = names.uf AND names.region <> 'ASIA' GROUP BY ALL""",
+        SELECT CASE WHEN category = 'Brand#1' THEN 'n/a ' || fact.uf ELSE fact.uf END AS uf, category, CAST(sum(p) AS DOUBLE) AS p,
+               CASE WHEN category = 'Brand#1' THEN 'n/a ' || fact.uf ELSE uf_name END AS uf_name
+        FROM fact JOIN names ON fact.uf = names.uf GROUP BY ALL""",
     "region_lookup": f"""WITH {_FACT}
-        SELECT uf, year, CAST(sum(p) AS DOUBLE) AS p, CASE WHEN region = 'ASIA' THEN '??' ELSE region END AS region FROM fact GROUP BY ALL""",
-    "locale_order": f"WITH {_PLACES} SELECT DISTINCT mic, mic_name FROM places",
+        SELECT CASE WHEN year % 2 = 0 THEN 'n/a ' || uf ELSE uf END AS uf, year, CAST(sum(p) AS DOUBLE) AS p,
+               CASE WHEN year % 2 = 0 THEN '??' ELSE region END AS region FROM fact GROUP BY ALL""",
+    "locale_order": f"""WITH {_PLACES} SELECT CAST(row_number() OVER (ORDER BY mic_name, mic) - 1 AS INTEGER) AS position, mic, mic_name
+        FROM (SELECT DISTINCT mic, mic_name FROM places)""",
     "parent_code_lookup": f"""WITH {_NATION_CODES}, {_CODED}
         SELECT uf, count(*) AS municipalities, max(mun) AS last_code FROM located WHERE uf IS NOT NULL GROUP BY uf""",
     "state_check": f"""WITH {_NATION_CODES}, {_CODED}
         SELECT count(*) AS row_count, count(*) FILTER (uf IS NULL) AS unmapped, count(*) FILTER (uf <> uf_file) AS disagreeing FROM located""",
-    "feature_state": f"""WITH {_NATION_CODES}, f AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS area_code FROM customer)
+    "feature_state": f"""WITH {_NATION_CODES}, f AS (SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN '99' ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END AS area_code FROM customer)
         SELECT coalesce(uf, area_code) AS uf, count(*) AS features FROM f LEFT JOIN parents ON area_code = uf_code GROUP BY 1""",
     "unmapped_rejects": f"""WITH {_PLACES}
-        SELECT event_type AS category, nullif(count(*) FILTER (mic_name <> 'BUILDING'), 0) AS kept_rows,
-               nullif(count(DISTINCT mic) FILTER (mic_name <> 'BUILDING'), 0) AS micro_regions,
-               nullif(count(*) FILTER (mic_name = 'BUILDING' OR mic_name IS NULL), 0) AS rejected_rows
-        FROM events LEFT JOIN places ON user_id = mun GROUP BY 1""",
+        SELECT event_type AS category, count(mic) AS kept_rows, count(DISTINCT mic) AS micro_regions, count(*) FILTER (mic IS NULL) AS rejected_rows
+        FROM events LEFT JOIN places ON CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) = 0 THEN -user_id ELSE user_id END = mun GROUP BY 1""",
     "unit_labels": f"""WITH {_LIVESTOCK},
         units(category, unit) AS (VALUES {', '.join(f"({c!r}, {u!r})" for c, u in catalogue.UNITS)}),
         totals AS (SELECT kind, category, CAST(sum(q) AS DOUBLE) AS value FROM rows GROUP BY ALL)
@@ -171,15 +174,14 @@ ORACLES: dict[str, str] = {
         CASE WHEN {' OR '.join(f"contains(lower(p_name || ' ' || p_type), '{k}')" for k in catalogue.KIND_KEYWORDS)}
              THEN 'PER' ELSE 'TEM' END AS kind FROM part""",
     "new_categories": f"""WITH {_FACT}, {_GROUPS}
-        SELECT DISTINCT fact.category, 'TEM' AS kind, CAST(0 AS INTEGER) AS COL FROM fact
-        WHERE fact.category NOT IN (SELECT category FROM groups WHERE n <= 20)""",
+        SELECT DISTINCT 'New ' || category AS category, 'TEM' AS kind, CAST(0 AS INTEGER) AS COL FROM fact JOIN groups USING (category) WHERE n > 20""",
     "attach_type_default": f"""WITH {_FACT}, {_GROUPS}
-        SELECT fact.category, CAST(sum(a) AS DOUBLE) AS value, coalesce(kind, 'TEM') AS kind
-        FROM fact LEFT JOIN groups ON fact.category = groups.category AND n <= 20 GROUP BY ALL""",
+        SELECT CASE WHEN n > 20 THEN 'New ' ELSE '' END || category AS category, CAST(sum(a) AS DOUBLE) AS value, CASE WHEN n > 20 THEN 'TEM' ELSE kind END AS kind
+        FROM fact JOIN groups USING (category) GROUP BY ALL""",
     "classify_groups": f"""WITH {_FACT}, {_GROUPS}
-        SELECT fact.category, year, CAST(sum(a) AS DOUBLE) AS a, coalesce(kind, 'TEM') AS kind,
-               CASE WHEN COL = 1 THEN 'COL' WHEN coalesce(kind, 'TEM') = 'TEM' THEN 'TRA' ELSE 'PER' END AS grp
-        FROM fact LEFT JOIN groups ON fact.category = groups.category AND n <= 20 GROUP BY ALL""",
+        SELECT CASE WHEN n > 20 THEN 'New ' ELSE '' END || category AS category, year, CAST(sum(a) AS DOUBLE) AS a, CASE WHEN n > 20 THEN 'TEM' ELSE kind END AS kind,
+               CASE WHEN n > 20 THEN 'TRA' WHEN COL = 1 THEN 'COL' WHEN kind = 'TEM' THEN 'TRA' ELSE 'PER' END AS grp
+        FROM fact JOIN groups USING (category) GROUP BY ALL""",
     "set_difference_tra": f"WITH {_CLASSED} SELECT DISTINCT category FROM classed WHERE kind = 'TEM' EXCEPT SELECT category FROM groups WHERE COL = 1",
     "set_intersect_col": f"WITH {_FACT}, {_GROUPS} SELECT category FROM groups WHERE COL = 1 INTERSECT SELECT category FROM fact",
     "group_profile": f"""WITH {_CLASSED}
@@ -214,8 +216,8 @@ ORACLES: dict[str, str] = {
     "json_decode": """SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS n,
         CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM events GROUP BY 1""",
     "missing_slices": f"""WITH {_LIVESTOCK},
-        kinds(category) AS (VALUES ('click'), ('view'), ('error'), ('purchase'), ('signup')),
-        days AS (SELECT CAST(unnest(range(1, 31)) AS INTEGER) AS year)
+        kinds AS (SELECT DISTINCT event_type AS category FROM events),
+        days AS (SELECT CAST(unnest(range(min(day(ts)), max(day(ts)) + 1)) AS INTEGER) AS year FROM events)
         SELECT n_name AS uf, category, year FROM nation CROSS JOIN kinds CROSS JOIN days
         EXCEPT SELECT uf, category, year FROM rows""",
     "scope_filter": f"""WITH {_CLASSED}
@@ -229,10 +231,11 @@ ORACLES: dict[str, str] = {
         SELECT mun, category, year, coalesce(a, 0) AS a, coalesce(p, 0) AS p, coalesce(v, 0) AS v, a IS NOT NULL AS is_observed
         FROM grid LEFT JOIN cells USING (mun, category, year)""",
     "packed_series": f"""{_DENSE_MUN}
-        SELECT mun, category, CAST(year - 1995 AS INTEGER) AS year_index, coalesce(p, 0) AS p FROM grid LEFT JOIN cells USING (mun, category, year)""",
+        SELECT mun, category, CAST(i AS INTEGER) AS year_index, coalesce(p, 0) AS p FROM grid LEFT JOIN cells USING (mun, category, year)
+        JOIN (SELECT year, row_number() OVER (ORDER BY year) - 1 AS i FROM years) USING (year)""",
     "value_at_year": f"""WITH {_FACT}
-        SELECT mun, coalesce(CAST(sum(p) FILTER (year = 1995) AS DOUBLE), 0) AS first,
-               coalesce(CAST(sum(p) FILTER (year = 2001) AS DOUBLE), 0) AS last, CAST(0 AS DOUBLE) AS beyond FROM fact GROUP BY mun""",
+        SELECT mun, coalesce(CAST(sum(p) FILTER (year = (SELECT min(year(o_orderdate)) FROM orders)) AS DOUBLE), 0) AS first,
+               coalesce(CAST(sum(p) FILTER (year = (SELECT max(year(o_orderdate)) FROM orders)) AS DOUBLE), 0) AS last, CAST(0 AS DOUBLE) AS beyond FROM fact GROUP BY mun""",
     "series_micro": f"""WITH {_FACT}, {_YEARS},
         t AS (SELECT mic, year, {_dbl('a', 'p', 'v')} FROM fact GROUP BY ALL),
         grid AS (SELECT * FROM (SELECT DISTINCT mic FROM t) CROSS JOIN years)
@@ -309,7 +312,8 @@ ORACLES: dict[str, str] = {
     "legend_steps": f"""WITH {_FACT}, t AS (SELECT uf, year, CAST(sum(p) AS DOUBLE) AS value FROM fact GROUP BY ALL),
         s AS (SELECT year, greatest(max(value), 1.0) AS scope_max FROM t GROUP BY year),
         steps AS (SELECT CAST(unnest(range(0, 7)) AS INTEGER) AS step)
-        SELECT year, step, {_palette('step', fixed.PALETTE_COUNTRY)} AS colour, scope_max * step / 6 AS linear_value FROM s CROSS JOIN steps""",
+        SELECT year, step, {_palette('step', fixed.PALETTE_COUNTRY)} AS colour, scope_max * step / 6 AS linear_value,
+               round(exp(ln(1 + scope_max) * step / 6) - 1, 2) AS log_value FROM s CROSS JOIN steps""",
     "feature_values": f"""WITH {_LIVESTOCK}, f AS (SELECT DISTINCT mic, uf FROM places), t AS (SELECT mic, CAST(sum(q) AS DOUBLE) AS value FROM rows GROUP BY mic)
         SELECT mic, uf, coalesce(value, 0) AS value FROM f LEFT JOIN t USING (mic)""",
     "features_in_scope": f"WITH {_LIVESTOCK} SELECT DISTINCT mic FROM places WHERE mic IN (SELECT mic FROM rows)",
@@ -328,4 +332,18 @@ ORACLES: dict[str, str] = {
         packed AS (SELECT uf, category, string_agg(coalesce(a, 0)::VARCHAR, ',' ORDER BY year) AS a, string_agg(coalesce(p, 0)::VARCHAR, ',' ORDER BY year) AS p
                    FROM grid LEFT JOIN t USING (uf, category, year) GROUP BY ALL)
         SELECT uf, '{{' || string_agg('"' || category || '":{{"a":[' || a || '],"p":[' || p || ']}}', ',' ORDER BY category) || '}}' AS package FROM packed GROUP BY uf""",
+    "crop_labels": f"""WITH {_FACT}, t AS (SELECT CAST(sum(a) AS DOUBLE) AS a, CAST(sum(p) AS DOUBLE) AS p, CAST(sum(v) AS DOUBLE) AS v FROM fact)
+        SELECT 'a' AS metric, a AS value, {_magnitude('a')} AS text, 'Área Colhida (ha)' AS label FROM t
+        UNION ALL SELECT 'p', p, {_magnitude('p')}, 'Produção (ton)' FROM t
+        UNION ALL SELECT 'v', v, {_magnitude('v')}, 'Valor (mil R$)' FROM t""",
+    "municipality_series": f"""WITH {_FACT}, {_YEARS}
+        SELECT 'one' AS asked, years.year, coalesce(CAST(sum(p) AS DOUBLE), 0) AS value FROM years LEFT JOIN fact ON fact.year = years.year AND mun = 7 GROUP BY ALL
+        UNION ALL SELECT 'none', years.year, coalesce(CAST(sum(p) AS DOUBLE), 0) FROM years LEFT JOIN fact ON fact.year = years.year AND uf = 'NATION_3' GROUP BY ALL""",
+    "kpi_livestock_known": f"""WITH {_LIVESTOCK}, known AS (SELECT mun AS k FROM places WHERE mic_name = 'BUILDING'),
+        t AS (SELECT category, mun, sum(q) AS q, sum(v) AS v FROM rows GROUP BY ALL)
+        SELECT category, {_dbl('q', 'v')}, count(*) FILTER (q > 0 AND mun IN (SELECT k FROM known)) AS municipalities FROM t GROUP BY category""",
+    "export_document": f"""WITH {_FACT}, t AS (SELECT uf, category, CAST(sum(a) AS DOUBLE) AS a FROM fact WHERE year = 1998 GROUP BY ALL),
+        maps AS (SELECT uf, '"' || uf || '":{{' || coalesce(string_agg('"' || category || '":' || a, ',' ORDER BY category) FILTER (a <> 0), '') || '}}' AS m
+                 FROM (SELECT DISTINCT uf FROM fact) LEFT JOIN t USING (uf) GROUP BY uf)
+        SELECT '{{"ano":1998,"metrica":"a","uf":"BR","data":{{' || string_agg(m, ',' ORDER BY uf) || '}}}}' AS document FROM maps""",
 }

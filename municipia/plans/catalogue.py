@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.functions import cleaning, labels
-from municipia.functions.units import scaled, whole_units
+from municipia.functions.units import scaled, total, whole_units
 from municipia.operators import choropleth, classify, dims, filters, kpi, lookups, quality, rank, rollup, series
 from municipia.params import Selection
 from municipia.plans import standin
@@ -53,20 +53,25 @@ def value_of(df: DataFrame, metric: str) -> DataFrame:
     return df.withColumn(metric, F.col(metric) / F.lit(float(standin.CROP_UNITS[metric]))).withColumnRenamed(metric, "value")
 
 
+def unknown_where(condition, column):
+    """A code that no lookup knows where the condition holds, so that a query shows a miss over a whole lookup."""
+    return F.when(condition, F.concat(F.lit("n/a "), column)).otherwise(column)
+
+
 def groups_of(spark: SparkSession, folder: str) -> DataFrame:
-    return lookups.checked_broadcast(standin.category_groups(spark, folder))
+    return standin.category_groups(spark, folder)
 
 
-def explorer(spark: SparkSession, folder: str, *columns: str, groups: DataFrame | None = None) -> Explorer:
-    """The interactive questions over crop rows with these columns, or over livestock if none are named.
+def explorer(spark: SparkSession, folder: str, *columns: str, groups: DataFrame | None = None, livestock: tuple[str, ...] = (), years: bool = False) -> Explorer:
+    """The interactive questions over crop rows with these columns, or over ``livestock`` rows with those.
 
-    Only a chosen group needs the lookup.
+    Only a chosen group needs the lookup, and only a series the years.
     """
     places = standin.geography(spark, folder)
     return Explorer(
         crop=standin.crop_fact(spark, folder, *columns) if columns else None, groups=groups,
-        livestock=None if columns else standin.livestock_rows(spark, folder), states=standin.state_names(spark, folder),
-        micros=places.select("mic", "mic_name", "uf").distinct(), municipalities=places, years=standin.YEARS,
+        livestock=standin.livestock_rows(spark, folder, *livestock) if livestock else None, states=standin.state_names(spark, folder),
+        micros=places.select("mic", "mic_name", "uf").distinct(), municipalities=places, years=tuple(standin.years(spark, folder)) if years else (),
         crop_units=standin.CROP_UNITS, livestock_units=standin.LIVESTOCK_UNITS,
     )
 
@@ -97,7 +102,10 @@ def mun_group_rollup(spark, folder):
 
 @query
 def base_rollup(spark, folder):
-    return crop_amounts(rollup.rollup_base(standin.crop_fact(spark, folder, "uf", "mic", "mun", "category", "year", "a", "p", "v", "r_sum", "r_n")))
+    # State and micro-region follow from the municipality: their texts join the rolled-up rows, not the lines.
+    fact = standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v", "r_sum", "r_n")
+    cells = crop_amounts(rollup.rollup_base(fact, keys=["mun", "category", "year"]))
+    return cells.join(standin.geography(spark, folder).select("mun", "mic", "uf"), "mun")
 
 
 @query
@@ -139,7 +147,7 @@ def normalise_measures(spark, folder):
 @query
 def active_set_sum(spark, folder):
     fact, groups = standin.crop_fact(spark, folder, "uf", "category", "p"), groups_of(spark, folder)
-    active = lookups.checked_broadcast(groups.where(F.col(fixed.COL) == 1).select("category"))
+    active = groups.where(F.col(fixed.COL) == 1).select("category")
     return scaled(rollup.sum_active(fact, active), {"value": standin.CROP_UNITS["p"]})
 
 
@@ -150,17 +158,25 @@ def category_totals(spark, folder):
 
 @query
 def profile(spark, folder):
-    return rollup.profile(standin.crop_fact(spark, folder, "mun", "category", "uf", "year"))
+    # Two facts with one key each, so that both shrink before they are joined.
+    by_mun = standin.crop_fact(spark, folder, "mun", "uf", "year", "n").groupBy("mun", "uf").agg(
+        F.sum("n").alias("n"), F.min("year").alias("first"), F.max("year").alias("last"))
+    categories = standin.crop_fact(spark, folder, "category").agg(F.count_distinct("category")).scalar()
+    return by_mun.agg(
+        F.sum("n").cast("bigint").alias("row_count"), F.count_distinct("mun").alias("municipalities"), F.count_distinct("uf").alias("states"),
+        F.min("first").alias("first_year"), F.max("last").alias("last_year"),
+    ).select("row_count", "municipalities", categories.alias("categories"), "states", "first_year", "last_year")
 
 
 @query
 def domain_years(spark, folder):
-    return rollup.distinct_domain(standin.crop_fact(spark, folder, "year"), "year")
+    years = rollup.distinct_domain(standin.crop_fact(spark, folder, "year"), "year")
+    return years.agg(F.array_sort(F.collect_list("year")).alias("years")).select(F.posexplode("years").alias("position", "year"))
 
 
 @query
 def domain_categories_by_kind(spark, folder):
-    rows = standin.livestock_rows(spark, folder)
+    rows = standin.livestock_rows(spark, folder, "kind", "category")
     return rows.select("kind", "category").where(F.col("category").isNotNull()).distinct().orderBy("kind", "category")
 
 
@@ -176,9 +192,8 @@ def scope_maximum(spark, folder):
 @query
 def state_dim(spark, folder):
     places = standin.geography(spark, folder)
-    # Names of one macro-region are left out, so that its states show the defaults.
-    names = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
-    return dims.state_dim(places, names)
+    coded = places.withColumn("uf", unknown_where(F.col("mic_name") == "BUILDING", F.col("uf")))
+    return dims.state_dim(coded, standin.state_names(spark, folder))
 
 
 @query
@@ -204,30 +219,38 @@ def mun_dim_first_wins(spark, folder):
 @query
 def attach_names(spark, folder):
     totals = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "p"), ["uf", "category"], ["p"])
-    names = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
-    return crop_amounts(lookups.attach_names(totals, names, "uf", "uf_name"))
+    coded = totals.withColumn("uf", unknown_where(F.col("category") == "Brand#1", F.col("uf")))
+    return crop_amounts(lookups.attach_names(coded, standin.state_names(spark, folder), "uf", "uf_name"))
 
 
 @query
 def region_lookup(spark, folder):
     totals = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"])
-    known = standin.state_names(spark, folder).where(F.col("region") != "ASIA")
-    return crop_amounts(lookups.attach_region(totals, known))
+    coded = totals.withColumn("uf", unknown_where(F.col("year") % 2 == 0, F.col("uf")))
+    return crop_amounts(lookups.attach_region(coded, standin.state_names(spark, folder)))
 
 
 @query
 def locale_order(spark, folder):
     named = standin.geography(spark, folder).select("mic", "mic_name").distinct()
-    return dims.locale_sorted(named, "mic_name", "mic")
+    listed = F.array_sort(F.collect_list(F.struct(dims.locale_key("mic_name").alias("order"), "mic", "mic_name")), lambda x, y: F.when(
+        x.order < y.order, -1).when(x.order > y.order, 1).when(x.mic < y.mic, -1).when(x.mic > y.mic, 1).otherwise(0))
+    # One row per micro-region: the list of a dimension, numbered so that the order can be compared.
+    return named.agg(listed.alias("l")).select(F.posexplode("l").alias("position", "e")).select("position", "e.mic", "e.mic_name")
+
+
+def _state_code():
+    """Two digits of the state; one segment has a code that no state has."""
+    return F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("99")).otherwise(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
 
 
 @query
 def parent_code_lookup(spark, folder):
     customer = standin.table(spark, folder, "customer")
     coded = customer.select(
-        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.col("c_custkey").cast("string")).alias("mun"), "c_acctbal",
+        F.concat(_state_code(), F.col("c_custkey").cast("string")).alias("mun"), "c_acctbal",
     )
-    nation = standin.table(spark, folder, "nation").where(F.col("n_regionkey") != 4)
+    nation = standin.table(spark, folder, "nation")
     parents = nation.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("uf_code"), F.col("n_name").alias("uf"))
     located = lookups.derive_parent_code(coded, parents)
     return filters.drop_unmapped(located).groupBy("uf").agg(F.count(F.lit(1)).alias("municipalities"), F.max("mun").alias("last_code"))
@@ -237,10 +260,10 @@ def parent_code_lookup(spark, folder):
 def state_check(spark, folder):
     customer = standin.table(spark, folder, "customer")
     coded = customer.select(
-        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.col("c_custkey").cast("string")).alias("mun"),
+        F.concat(_state_code(), F.col("c_custkey").cast("string")).alias("mun"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.lit("NATION_0")).otherwise(F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string"))).alias("uf_file"),
     )
-    nation = standin.table(spark, folder, "nation").where(F.col("n_regionkey") != 4)
+    nation = standin.table(spark, folder, "nation")
     parents = nation.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("uf_code"), F.col("n_name").alias("uf"))
     return quality.state_check(lookups.derive_parent_code(coded, parents))
 
@@ -248,25 +271,26 @@ def state_check(spark, folder):
 @query
 def feature_state(spark, folder):
     customer = standin.table(spark, folder, "customer")
-    features = customer.select(F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("area_code"))
-    nation = standin.table(spark, folder, "nation").where(F.col("n_regionkey") != 4)
+    features = customer.select(_state_code().alias("area_code"))
+    nation = standin.table(spark, folder, "nation")
     parents = nation.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("uf_code"), F.col("n_name").alias("uf"))
     return lookups.feature_state(features, parents).groupBy("uf").agg(F.count(F.lit(1)).alias("features"))
 
 
 @query
 def unmapped_rejects(spark, folder):
-    events = standin.table(spark, folder, "events").select(F.col("user_id").alias("mun"), F.col("event_type").alias("category"))
-    mapping = standin.geography(spark, folder).where(F.col("mic_name") != "BUILDING").select("mun", "mic")
-    kept, rejects = lookups.attach_microregion(events, mapping)
-    counted = kept.groupBy("category").agg(F.count(F.lit(1)).alias("kept_rows"), F.count_distinct("mic").alias("micro_regions"))
-    return counted.join(quality.reject_count(rejects, by=["category"]), "category", "full")
+    # Users of one group of events have a number that nobody has.
+    unknown = F.from_json("props", "k int")["k"] == 0
+    events = standin.table(spark, folder, "events").select(
+        F.when(unknown, -F.col("user_id")).otherwise(F.col("user_id")).alias("mun"), F.col("event_type").alias("category"))
+    counted = events.groupBy("mun", "category").agg(F.count(F.lit(1)).alias("rows"))
+    return quality.mapping_report(counted, standin.geography(spark, folder).select("mun", "mic"), by=["category"])
 
 
 @query
 def unit_labels(spark, folder):
-    rows = standin.livestock_rows(spark, folder)
-    totals = livestock_amounts(rows.groupBy("kind", "category").agg(F.sum("q").alias("q"))).withColumnRenamed("q", "value")
+    rows = standin.livestock_rows(spark, folder, "kind", "category", "q")
+    totals = livestock_amounts(rows.groupBy("kind", "category").agg(total(rows, "q"))).withColumnRenamed("q", "value")
     units = F.broadcast(spark.createDataFrame(UNITS, "category string, unit string"))  # 3 rows
     named = lookups.attach_unit(totals, units)
     herd, product = Selection("livestock", "q", kind="Rebanho"), Selection("livestock", "v", kind="Producao")
@@ -291,27 +315,27 @@ def bootstrap_type(spark, folder):
     return classify.bootstrap_type(names, KIND_KEYWORDS)
 
 
-def _known_groups(spark, folder):
-    """A lookup that lacks the brands of which no part is large."""
+def _with_new_categories(df: DataFrame) -> DataFrame:
+    """High brand numbers renamed, as if the lookup were older than the fact."""
     number = F.substring_index("category", "#", -1).cast("int")
-    return groups_of(spark, folder).where(number <= 20)
+    return df.withColumn("category", F.when(number > 20, F.concat(F.lit("New "), "category")).otherwise(F.col("category")))
 
 
 @query
 def new_categories(spark, folder):
-    return classify.new_categories(standin.crop_fact(spark, folder, "category"), _known_groups(spark, folder))
+    return classify.new_categories(_with_new_categories(standin.crop_fact(spark, folder, "category")), groups_of(spark, folder))
 
 
 @query
 def attach_type_default(spark, folder):
     totals = rollup.category_totals(standin.crop_fact(spark, folder, "category", "a"), "a")
-    return classify.attach_type(totals, _known_groups(spark, folder))
+    return classify.attach_type(scaled(_with_new_categories(totals), {"value": 1}), groups_of(spark, folder))
 
 
 @query
 def classify_groups(spark, folder):
     totals = rollup.rollup(standin.crop_fact(spark, folder, "category", "year", "a"), ["category", "year"], ["a"])
-    return classify.classify_group(totals, _known_groups(spark, folder))
+    return crop_amounts(classify.classify_group(_with_new_categories(totals), groups_of(spark, folder)))
 
 
 @query
@@ -343,7 +367,7 @@ def clean_numeric(spark, folder):
     cleaned = line.select("l_linenumber", "l_returnflag", cleaning.clean_numeric(text).alias("value"))
     counted = cleaned.groupBy("l_linenumber", "l_returnflag").agg(
         F.count("value").alias("numbers"), F.count_if(F.col("value").isNull()).alias("missing"),
-        F.sum(whole_units(F.col("value"))).alias("total"),
+        F.sum(whole_units(F.col("value"))).cast("double").alias("total"),
     )
     return scaled(counted, {"total": 100})
 
@@ -360,7 +384,7 @@ def exclude_total(spark, folder):
     events = standin.table(spark, folder, "events")
     renamed = events.select(F.when(F.col("event_type") == "error", "Total").otherwise(F.col("event_type")).alias("category"), whole_units(F.col("value")).alias("q"))
     kept = filters.exclude_categories(renamed, ["Total"])
-    return livestock_amounts(kept.groupBy("category").agg(F.sum("q").alias("q"), F.count(F.lit(1)).alias("n")))
+    return livestock_amounts(kept.groupBy("category").agg(total(kept, "q"), F.count(F.lit(1)).alias("n")))
 
 
 @query
@@ -404,14 +428,16 @@ def latest_period(spark, folder):
 def json_decode(spark, folder):
     events = standin.table(spark, folder, "events")
     decoded = events.select(F.from_json("props", "k int")["k"].alias("k"), whole_units(F.col("value")).alias("x"))
-    return scaled(decoded.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total")), {"total": 100})
+    return scaled(decoded.groupBy("k").agg(F.count(F.lit(1)).alias("n"), total(decoded, "x").alias("total")), {"total": 100})
 
 
 @query
 def missing_slices(spark, folder):
-    rows = standin.livestock_rows(spark, folder)
-    kinds = F.array(*[F.lit(k) for k in (*standin.HERD_TYPES, *standin.PRODUCT_TYPES)])
-    days = F.sequence(F.lit(standin.DAYS[0]), F.lit(standin.DAYS[-1]))
+    """The grid spans what occurs: all states, all event types, and the days from the first to the last."""
+    events = standin.table(spark, folder, "events").select(F.dayofmonth("ts").alias("day"), "event_type")
+    kinds = events.agg(F.collect_set("event_type")).scalar()
+    days = events.agg(F.sequence(F.min("day"), F.max("day"))).scalar()
+    rows = standin.livestock_rows(spark, folder, "uf", "category", "year")
     expected = (
         standin.state_names(spark, folder).select("uf", F.explode(kinds).alias("category"))
         .select("uf", "category", F.explode(days).alias("year"))
@@ -440,26 +466,27 @@ def _state_group_rows(spark, folder, group):
 @query
 def dense_series_state(spark, folder):
     rows = _state_group_rows(spark, folder, fixed.TEM)
-    return crop_amounts(series.yearly_totals(rows, ["p"], standin.YEARS, keys=["uf"]))
+    return crop_amounts(series.yearly_totals(rows, ["p"], standin.years(spark, folder), keys=["uf"]))
 
 
 @query
 def dense_series_mun_category(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), ["mun", "category", "year"], CROP)
-    return crop_amounts(series.densify(cells, ["mun", "category"], CROP, standin.YEARS))
+    return crop_amounts(series.densify(cells, ["mun", "category"], CROP, standin.years(spark, folder)))
 
 
 @query
 def packed_series(spark, folder):
     fact = standin.crop_fact(spark, folder, "mun", "category", "year", "p")
-    packed = series.pack_series(fact, ["mun", "category"], ["p"], standin.YEARS)
+    packed = series.pack_series(fact, ["mun", "category"], ["p"], standin.years(spark, folder))
     return crop_amounts(packed.select("mun", "category", F.posexplode("p").alias("year_index", "p")))
 
 
 @query
 def value_at_year(spark, folder):
-    packed = series.pack_series(standin.crop_fact(spark, folder, "mun", "year", "p"), ["mun"], ["p"], standin.YEARS)
-    wanted = {"first": 0, "last": 6, "beyond": 7}
+    years = standin.years(spark, folder)
+    packed = series.pack_series(standin.crop_fact(spark, folder, "mun", "year", "p"), ["mun"], ["p"], years)
+    wanted = {"first": 0, "last": len(years) - 1, "beyond": len(years)}
     values = packed.select("mun", *[cleaning.value_at(F.col("p"), i).alias(name) for name, i in wanted.items()])
     return scaled(values, dict.fromkeys(wanted, standin.CROP_UNITS["p"]))
 
@@ -467,29 +494,29 @@ def value_at_year(spark, folder):
 @query
 def series_micro(spark, folder):
     fact = standin.crop_fact(spark, folder, "mic", "year", "a", "p", "v")
-    return crop_amounts(series.yearly_totals(fact, CROP, standin.YEARS, keys=["mic"]))
+    return crop_amounts(series.yearly_totals(fact, CROP, standin.years(spark, folder), keys=["mic"]))
 
 
 @query
 def series_national(spark, folder):
-    return explorer(spark, folder, "uf", "year", "v").series(Selection(metric="v"))
+    return explorer(spark, folder, "uf", "year", "v", years=True).series(Selection(metric="v"))
 
 
 @query
 def series_municipality(spark, folder):
-    return crop_amounts(series.yearly_totals(standin.crop_fact(spark, folder, "mun", "year", "p"), ["p"], standin.YEARS, keys=["mun"]))
+    return crop_amounts(series.yearly_totals(standin.crop_fact(spark, folder, "mun", "year", "p"), ["p"], standin.years(spark, folder), keys=["mun"]))
 
 
 @query
 def series_state_from_mun(spark, folder):
     fact, places = standin.crop_fact(spark, folder, "mun", "year", "p"), standin.geography(spark, folder)
     by_mun = rollup.rollup(fact, ["mun", "year"], ["p"])
-    return crop_amounts(series.series_state_from_municipalities(by_mun, places, standin.YEARS, ["p"]))
+    return crop_amounts(series.series_state_from_municipalities(by_mun, places, standin.years(spark, folder), ["p"]))
 
 
 @query
 def series_by_scope(spark, folder):
-    view = explorer(spark, folder, "uf", "mic", "year", "p")
+    view = explorer(spark, folder, "uf", "mic", "year", "p", years=True)
     scopes = [Selection(metric="p"), Selection(metric="p", uf="NATION_3"), Selection(metric="p", uf="NATION_3", mic="NATION_7-BUILDING")]
     parts = [view.series(sel).select(F.lit(sel.scope_level()).alias("scope"), "year", "value") for sel in scopes]
     return rollup.union_all(parts)
@@ -497,7 +524,7 @@ def series_by_scope(spark, folder):
 
 @query
 def yield_series(spark, folder):
-    return explorer(spark, folder, "year", "a", "p").series(Selection(metric="r"))
+    return explorer(spark, folder, "year", "a", "p", years=True).series(Selection(metric="r"))
 
 
 # -- rankings ----------------------------------------------------------------------------------------------
@@ -521,7 +548,7 @@ def top_categories_in_state(spark, folder):
 
 @query
 def top_livestock_categories(spark, folder):
-    return explorer(spark, folder).top_categories(Selection("livestock", "q", kind="Producao"))
+    return explorer(spark, folder, livestock=("kind", "category", "q")).top_categories(Selection("livestock", "q", kind="Producao"))
 
 
 @query
@@ -533,16 +560,15 @@ def top_micros(spark, folder):
 def top_micros_zeros(spark, folder):
     # Few livestock places exist, so some micro-regions rank with 0.
     sel = Selection("livestock", "v", category="click")
-    return explorer(spark, folder).top_micros(sel, 15, keep_zeros=True)
+    return explorer(spark, folder, livestock=("mic", "category", "v")).top_micros(sel, 15, keep_zeros=True)
 
 
 @query
 def mun_ranking(spark, folder):
     by_mun = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"])
     best = rank.top_k_per_scope(by_mun, ["uf"], 100, "p", "mun")
-    # At most 100 rows per state go to the municipality names, so that these need no shuffle.
     names = standin.geography(spark, folder).select("mun", "mun_name", "mic_name")
-    return crop_amounts(names.join(F.broadcast(best), "mun"))
+    return crop_amounts(names.join(best, "mun"))
 
 
 @query
@@ -603,7 +629,7 @@ def kpi_crop(spark, folder):
 
 @query
 def kpi_livestock(spark, folder):
-    return livestock_amounts(kpi.kpi_livestock(standin.livestock_rows(spark, folder), by=["category"]))
+    return livestock_amounts(kpi.kpi_livestock(standin.livestock_rows(spark, folder, "category", "mun", "q", "v"), by=["category"]))
 
 
 @query
@@ -628,13 +654,14 @@ def value_over_scope_max(spark, folder):
 @query
 def legend_steps(spark, folder):
     values = rollup.rollup(standin.crop_fact(spark, folder, "uf", "year", "p"), ["uf", "year"], ["p"])
-    return choropleth.legend(value_of(values, "p"), by=["year"]).select("year", "step", "colour", "linear_value")
+    # The log bounds come from exp and log, whose last digits differ between engines.
+    return choropleth.legend(value_of(values, "p"), by=["year"]).withColumn("log_value", F.round("log_value", 2))
 
 
 @query
 def feature_values(spark, folder):
     features = standin.geography(spark, folder).select("mic", "uf").distinct()
-    events = standin.livestock_rows(spark, folder)
+    events = standin.livestock_rows(spark, folder, "mic", "q")
     values = livestock_amounts(rollup.rollup(events, ["mic"], ["q"])).withColumnRenamed("q", "value")
     return choropleth.attach_values_to_features(features, values, "mic")
 
@@ -642,7 +669,7 @@ def feature_values(spark, folder):
 @query
 def features_in_scope(spark, folder):
     features = standin.geography(spark, folder).select("mic").distinct()
-    active = standin.livestock_rows(spark, folder).select("mic", "uf").distinct()
+    active = standin.livestock_rows(spark, folder, "mic", "uf").distinct()
     return choropleth.features_in_scope(features, active, "mic")
 
 
@@ -652,7 +679,7 @@ def fmt_magnitude(spark, folder):
     cells = rollup.rollup(fact, ["uf", "category", "year"], CROP)
     country = rollup.rollup(cells, ["year"], CROP).withColumn("place", F.lit("country"))
     places = cells.select(F.concat_ws("/", "uf", "category").alias("place"), "year", *CROP)
-    both = crop_amounts(places.unionByName(country))
+    both = crop_amounts(places).unionByName(crop_amounts(country))
     texts = [labels.fmt_magnitude(F.col(c), c).alias(f"{c}_text") for c in CROP]
     return both.select("place", "year", *texts, labels.fmt_magnitude(F.col("a"), "r").alias("r_text"))
 
@@ -673,5 +700,40 @@ def export_nested_json(spark, folder):
 def nested_package(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "uf", "category", "year", "a", "p"), ["uf", "category", "year"], ["a", "p"])
     exact = crop_amounts(cells).withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("a", "p")})
-    packed = series.pack_series(exact, ["uf", "category"], ["a", "p"], standin.YEARS)
+    packed = series.pack_series(exact, ["uf", "category"], ["a", "p"], standin.years(spark, folder))
     return series.nest_package(packed, "uf", "category", ["a", "p"]).select("uf", F.to_json("package").alias("package"))
+
+
+@query
+def municipality_series(spark, folder):
+    """The series of one municipality, and of one without data: its state's, added up."""
+    view = explorer(spark, folder, "uf", "mun", "year", "p", years=True)
+    one, none = Selection(metric="p", mun=7), Selection(metric="p", uf="NATION_3", mun=-1)
+    return rollup.union_all([view.municipality_series(sel).select(F.lit(name).alias("asked"), "year", "value") for name, sel in (("one", one), ("none", none))])
+
+
+@query
+def crop_labels(spark, folder):
+    """Display text and label of every crop metric, for the whole country."""
+    rows = standin.crop_fact(spark, folder, "category", "a", "p", "v")
+    totals = crop_amounts(rows.agg(*[total(rows, c) for c in CROP]))
+    view = explorer(spark, folder, "category")
+    parts = []
+    for metric in CROP:
+        sel = Selection(metric=metric, category="Brand#7")
+        parts.append(view.labelled(totals.select(F.col(metric).alias("value")), sel).select(F.lit(metric).alias("metric"), "value", "text", "label"))
+    return rollup.union_all(parts)
+
+
+@query
+def kpi_livestock_known(spark, folder):
+    """Headline numbers in which only municipalities of a dimension count: those of one segment."""
+    rows = standin.livestock_rows(spark, folder, "category", "mun", "q", "v")
+    known = standin.geography(spark, folder).where(F.col("mic_name") == "BUILDING").select("mun")
+    return livestock_amounts(kpi.kpi_livestock(rows, by=["category"], known=known))
+
+
+@query
+def export_document(spark, folder):
+    """The complete export of a year as one document."""
+    return explorer(spark, folder, "uf", "category", "year", "a").export_document(Selection(metric="a", year=1998))

@@ -11,7 +11,7 @@ from municipia import fixed_values as fixed
 from municipia.operators.classify import categories_of_kind, combine_categories, extend_groups, tractor_categories
 from municipia.operators.dims import micro_dim, municipality_dim, state_dim
 from municipia.operators.filters import drop_unmapped
-from municipia.operators.lookups import checked_broadcast, derive_parent_code, states
+from municipia.operators.lookups import derive_parent_code, states
 from municipia.operators.rollup import (
     distinct_domain, rollup, rollup_base, rollup_membership, rollup_membership_wide, rollup_state_category, with_yield_parts,
 )
@@ -70,7 +70,7 @@ def crop_tables(fact: DataFrame, groups: DataFrame, work_folder: str) -> CropTab
     base = materialise(rollup_base(kept).hint("rebalance", "year"), f"{work_folder}/base", "year")
     return CropTables(
         base=base,
-        groups=checked_broadcast(materialise(extend_groups(base, groups), f"{work_folder}/groups")),
+        groups=materialise(extend_groups(base, groups), f"{work_folder}/groups"),
         years=known_years(base),
         states=state_dim(base, states(spark)),
         micros=materialise(micro_dim(kept), f"{work_folder}/micros"),

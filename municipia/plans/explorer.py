@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from municipia import fixed_values as fixed
 from municipia.functions.cleaning import round_half_even
 from municipia.functions.labels import fmt_magnitude, metric_label
-from municipia.functions.units import scaled, whole_units
+from municipia.functions.units import scaled, total, total_sql, whole_units
 from municipia.operators import kpi, rank
 from municipia.operators.choropleth import attach_values_to_features, colour_classes, features_in_scope
 from municipia.operators.classify import classify_group
@@ -35,7 +35,7 @@ def _yield_ready(fact: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Explorer:
     """``crop``: uf, mic, mun, category, year, a, p, v, and r or r_sum and r_n.
-    ``livestock``: uf, mic, mun, kind, category, year, q, v. Lookups should be size-checked."""
+    ``livestock``: uf, mic, mun, kind, category, year, q, v."""
 
     crop: DataFrame | None = None
     groups: DataFrame | None = None
@@ -65,8 +65,16 @@ class Explorer:
 
     def _sum(self, sel: Selection, measure: str) -> Column:
         """Sum of a measure as an amount."""
+        source = self.livestock if sel.domain == "livestock" else _yield_ready(self.crop)
+        summed = F.expr(total_sql(dict(source.dtypes)[measure], measure)).cast("double")
         per_one = self._units(sel).get(measure, 1)
-        return F.sum(measure) if per_one == 1 else F.sum(measure) / F.lit(float(per_one))
+        return summed if per_one == 1 else summed / F.lit(float(per_one))
+
+    @staticmethod
+    def _one_unit(sel: Selection) -> None:
+        """Livestock categories have different units: heads, litres, dozens. Only a question about one of them has a sum."""
+        if sel.domain == "livestock" and sel.category is None:
+            raise ValueError("a livestock question needs a category")
 
     def _value(self, sel: Selection, below_state: bool = False) -> Column:
         """The metric of a group of rows."""
@@ -82,7 +90,7 @@ class Explorer:
         if not sel.compat:
             return F.sum("value")
         per_one = 100 if sel.metric == "r" else 10
-        return F.sum(whole_units(F.col("value"), per_one)) / F.lit(float(per_one))
+        return F.sum(whole_units(F.col("value"), per_one)).cast("double") / F.lit(float(per_one))
 
     def cells(self, sel: Selection, year: bool = True) -> DataFrame:
         """Value per state, category and year; with ``compat`` rounded as in the published package."""
@@ -98,6 +106,7 @@ class Explorer:
 
     def values(self, sel: Selection, level: str, year: bool = True) -> DataFrame:
         """Value per key of ``uf``, ``mic`` or ``mun`` (and per year if ``year`` is off)."""
+        self._one_unit(sel)
         keys = [level] if year else [level, "year"]
         if sel.compat and level == "uf":
             return self.cells(sel, year).groupBy(*keys).agg(self._sum_values(sel).alias("value"))
@@ -150,9 +159,8 @@ class Explorer:
         """Best municipalities of the state with position and the names of municipality and micro-region."""
         values = self.values(sel.with_(mic=None, mun=None), "mun")
         best = rank.ranked_top_k(self._ranked_municipalities(sel, values), k, key="mun")
-        # At most k rows go to the dimension, which can be large; it is not shuffled for them.
-        found = self.municipalities.select("mun", "mun_name", "mic").join(F.broadcast(best.select("mun")), "mun", "left_semi")
-        named = best.join(F.broadcast(found), "mun", "left").withColumn("mun_name", F.coalesce("mun_name", F.col("mun").cast("string")))
+        found = self.municipalities.select("mun", "mun_name", "mic")
+        named = best.join(found, "mun", "left").withColumn("mun_name", F.coalesce("mun_name", F.col("mun").cast("string")))
         with_micro = attach_names(named, self.micros, "mic", "mic_name", default=F.lit(""))
         return with_micro.select("position", "mun", "mun_name", "mic_name", "value").orderBy("position")
 
@@ -163,6 +171,7 @@ class Explorer:
 
     def series(self, sel: Selection) -> DataFrame:
         """``year, value, is_observed`` of the narrowest chosen scope: micro-region, state, or country."""
+        self._one_unit(sel)
         if sel.scope_level() == "mic":
             wanted = self.values(sel.with_(uf=None, mun=None), "mic", year=False)
         elif sel.compat:
@@ -175,6 +184,7 @@ class Explorer:
 
     def municipality_series(self, sel: Selection) -> DataFrame:
         """The chosen municipality if it has data, else its state added up from its municipalities."""
+        self._one_unit(sel)
         if sel.mun is not None:
             one = self.values(sel.with_(uf=None, mic=None), "mun", year=False)
             source = self.livestock if sel.domain == "livestock" else self.crop
@@ -183,8 +193,12 @@ class Explorer:
                 present = present.where(F.col("category") == sel.category)
             if present.take(1):
                 return densify(one.select("year", "value"), [], ["value"], self.years)
-        state = self.values(sel.with_(mic=None, mun=None), "mun", year=False)
-        return densify(state.groupBy("year").agg(self._sum_values(sel).alias("value")), [], ["value"], self.years)
+        wide = sel.with_(mic=None, mun=None)
+        if sel.compat:
+            yearly = self.values(wide, "mun", year=False).groupBy("year").agg(self._sum_values(sel).alias("value"))
+        else:
+            yearly = drop_null_keys(self._rows(wide, year=False), ["mun", "year"]).groupBy("year").agg(self._value(sel).alias("value"))
+        return densify(yearly, [], ["value"], self.years)
 
     # -- maps, headline numbers, labels, exports ------------------------------------------------------
 
@@ -199,11 +213,12 @@ class Explorer:
         return colour_classes(attach_values_to_features(inside, values, level), palette=palette)
 
     def kpis(self, sel: Selection) -> DataFrame:
+        self._one_unit(sel)
         rows = self._rows(sel.with_(mic=None, mun=None))
         if sel.domain == "livestock":
             known = self.municipalities if sel.compat else None
             return scaled(kpi.kpi_livestock(rows, known=known), self.livestock_units)
-        cells = drop_null_keys(rows, ["uf"]).groupBy("uf", "category").agg(*[F.sum(c).alias(c) for c in ("a", "p", "v")])
+        cells = drop_null_keys(rows, ["uf"]).groupBy("uf", "category").agg(*[total(rows, c) for c in ("a", "p", "v")])
         if not sel.compat:
             return scaled(kpi.kpi_crop(cells), self.crop_units)
         amounts = scaled(cells, self.crop_units)
@@ -220,11 +235,14 @@ class Explorer:
         return units.select("*", fmt_magnitude(F.col("value"), sel.metric).alias("text"), label.alias("label"))
 
     def export_rows(self, sel: Selection) -> DataFrame:
+        self._one_unit(sel)
         cells = self.cells(sel.with_(mic=None, mun=None))
         return exports.export_slice_rows(cells, self.states).orderBy("uf", "category")
 
     def export_document(self, sel: Selection) -> DataFrame:
         """One JSON text. Crop exports keep states that have data in any year; livestock exports do not."""
+        self._one_unit(sel)
+        self._one_year(sel)
         scoped = sel.with_(mic=None, mun=None)
         cells = self.cells(scoped)
         if sel.domain == "crop":
@@ -235,11 +253,14 @@ class Explorer:
 
     def write_export_csv(self, sel: Selection, folder: str) -> str:
         """The export as CSV under its published name and headings; returns the path."""
+        self._one_year(sel)
         heading = "Categoria" if sel.domain == "livestock" else "Cultura"
-        label = self.labelled(self.export_rows(sel), sel).select("label").limit(1).first()
         rows = self.export_rows(sel).select("uf", "uf_name", "category", "value")
+        spark = rows.sparkSession
+        one = spark.createDataFrame([(sel.category, 0.0)], "category string, value double")
+        label = self.labelled(one, sel).first()["label"]  # from the selection alone
         path = f"{folder}/{self._export_name(sel)}_{sel.uf or 'Brasil'}.csv"
-        write_csv(rows.toDF("UF", "Estado", heading, label[0] if label else sel.metric), path)
+        write_csv(rows.toDF("UF", "Estado", heading, label), path)
         return path
 
     def write_export_json(self, sel: Selection, folder: str) -> str:
@@ -247,6 +268,11 @@ class Explorer:
         self.export_document(sel).write.text(path)
         return path
 
+    @staticmethod
+    def _one_year(sel: Selection) -> None:
+        if sel.year is None:
+            raise ValueError("an export needs a year")
+
     @staticmethod
     def _export_name(sel: Selection) -> str:
         return f"{'PPM' if sel.domain == 'livestock' else 'PAM'}_{sel.year}"

@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.functions.units import whole_units
+from municipia.operators.series import known_years
 
-YEARS = tuple(range(1995, 2002))
-DAYS = tuple(range(1, 31))
-HERD_TYPES = ("click", "view", "error")
 PRODUCT_TYPES = ("purchase", "signup")
 CROP_UNITS = {"a": 1, "p": 100, "v": 10_000, "r_sum": 100}
 LIVESTOCK_UNITS = {"q": 100, "v": 100}
@@ -66,17 +64,23 @@ PART_COLUMNS = {"category", "r_sum", "r_n"}
 PLACE_COLUMNS = {"uf", "mic", "mic_name", "mun_name"}
 
 
+def years(spark: SparkSession, folder: str) -> list[int]:
+    """The years of the orders."""
+    return known_years(table(spark, folder, "orders").select(F.year("o_orderdate").alias("year")))
+
+
 def _line_measures() -> dict[str, Column]:
     price, discount = whole_units(F.col("l_extendedprice")), whole_units(F.col("l_discount"))
-    return {"a": whole_units(F.col("l_quantity"), 1), "p": price, "v": price * (F.lit(100.0) - discount)}
+    return {"a": whole_units(F.col("l_quantity"), 1), "p": price, "v": price * (F.lit(100) - discount), "n": F.lit(1).cast("bigint")}
 
 
 def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = True) -> DataFrame:
     """Line items as crop rows with the named columns, joining only the tables these columns need.
 
-    Every line item has its part and order, and every order its customer and nation, so a join that
-    brings no column changes no row, yet would shuffle the largest table. With ``combine`` line items
-    shrink to partial sums on their join key, if they have only one: this needs no shuffle beyond the
+    Declared constraint: every line item has its part and order, and every order its customer and nation (a test checks the given
+    tables). So a join that brings no column changes no row, yet would shuffle the largest table. Prices and discounts have two
+    decimals at most; finer ones would be rounded to cents. With ``combine`` line items shrink to partial sums (``n`` counts them), or to
+    distinct keys if no measure is named, on their join key, if they have only one: this needs no shuffle beyond the
     join's own, and a hot key becomes few rows before it. Join sides carry no hint; Spark broadcasts
     them only while their files are small, and splits hot keys of a shuffled join.
     """
@@ -86,8 +90,8 @@ def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = T
     keys = [k for k, needed in (("l_partkey", needs_part), ("l_orderkey", needs_order)) if needed]
     rows = table(spark, folder, "lineitem").select(*keys, *[column.alias(name) for name, column in measures.items()])
     counts_lines = bool({"r_sum", "r_n"}.intersection(columns))
-    if combine and len(keys) == 1 and measures and not counts_lines:
-        rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
+    if combine and len(keys) == 1 and not counts_lines:
+        rows = rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures]) if measures else rows.distinct()
     if needs_part:
         part = table(spark, folder, "part").select(
             "p_partkey", F.col("p_brand").alias("category"), whole_units(F.col("p_retailprice")).alias("r_sum"),
@@ -117,14 +121,22 @@ def event_kind() -> Column:
     return F.when(F.col("event_type").isin(*PRODUCT_TYPES), F.lit("Producao")).otherwise(F.lit("Rebanho"))
 
 
-def livestock_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as livestock rows: quantity always, value only for products. Unknown users have no place."""
+LIVESTOCK_COLUMNS = ("uf", "mic", "mun", "kind", "category", "year", "q", "v")
+
+
+def livestock_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Events as livestock rows with the named columns (all by default): quantity always, value only for products.
+
+    Events shrink to sums per user and the named event columns before they meet their places. Unknown users have no place.
+    """
+    columns = columns or LIVESTOCK_COLUMNS
     events = table(spark, folder, "events")
-    places = geography(spark, folder)
     amount = whole_units(F.col("value"))
-    rows = events.select(
-        F.col("user_id"), event_kind().alias("kind"), F.col("event_type").alias("category"),
-        F.dayofmonth("ts").alias("year"), amount.alias("q"),
-        F.when(F.col("event_type").isin(*PRODUCT_TYPES), amount).otherwise(F.lit(0.0)).alias("v"),
-    )
-    return rows.join(places, rows.user_id == places.mun).select("uf", "mic", "mun", "kind", "category", "year", "q", "v")
+    made = {
+        "kind": event_kind(), "category": F.col("event_type"), "year": F.dayofmonth("ts"), "q": amount,
+        "v": F.when(F.col("event_type").isin(*PRODUCT_TYPES), amount).otherwise(F.lit(0).cast("bigint")),
+    }
+    keys, sums = (["user_id", *[c for c in made if c in columns and c not in "qv"]], [c for c in "qv" if c in columns])
+    rows = events.select("user_id", *[made[c].alias(c) for c in (*keys[1:], *sums)])
+    rows = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]) if sums else rows.distinct()
+    return rows.join(geography(spark, folder), F.col("user_id") == F.col("mun")).select(*columns)

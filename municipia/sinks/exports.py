@@ -24,10 +24,7 @@ def export_state_maps(cells: DataFrame, keep_empty: bool, by: Sequence[str] = ("
 
 
 def export_document(state_maps: DataFrame, year: Column, metric: str, uf: str | None) -> DataFrame:
-    """The whole export as one JSON text: states x categories, a short document."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col("uf").alias("k"), F.to_json("data").alias("j"))))
-    body = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(F.lit('"'), e.k, F.lit('":'), e.j)), ","), F.lit("}"))
-    head = F.concat(
-        F.lit('{"ano":'), year.cast("string"), F.lit(f',"metrica":"{metric}","uf":"{uf or "BR"}","data":'),
-    )
-    return state_maps.agg(F.concat(head, body, F.lit("}")).alias("document"))
+    """The whole export as one JSON text, for the dashboard: states x categories of one year, a short document in one row."""
+    entries = F.array_sort(F.collect_list(F.struct(F.col("uf").alias("k"), F.col("data").alias("v"))), lambda x, y: F.when(x.k < y.k, -1).when(x.k > y.k, 1).otherwise(0))
+    fields = F.struct(year.cast("int").alias("ano"), F.lit(metric).alias("metrica"), F.lit(uf or "BR").alias("uf"), F.map_from_entries(entries).alias("data"))
+    return state_maps.agg(F.to_json(fields).alias("document"))

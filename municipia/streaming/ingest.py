@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from municipia import schemas
 from municipia.functions.cleaning import clean_numeric
-from municipia.operators.lookups import checked_broadcast
 from municipia.sources.files import slice_identity
 
 SLICE = ["survey_table", "slice_year", "uf"]
@@ -17,7 +16,7 @@ def newest_file_per_slice(rows: DataFrame) -> DataFrame:
     """Of several files for one slice keep the newest; names break ties of the time."""
     arrived = F.struct("file_time", "file_name")
     files = rows.select(*SLICE, arrived.alias("_newest")).distinct()
-    newest = checked_broadcast(files.groupBy(*SLICE).agg(F.max("_newest").alias("_newest")))
+    newest = files.groupBy(*SLICE).agg(F.max("_newest").alias("_newest"))
     return rows.join(newest, SLICE).where(arrived == F.col("_newest")).drop("_newest")
 
 

@@ -100,13 +100,3 @@ def test_locale_order(spark):
     df = spark.createDataFrame([(n, str(i)) for i, n in enumerate(names)], "n string, k string")
     ordered = [r.n for r in dims.locale_sorted(df, "n", "k").collect()]
     assert ordered.index("Abaeté") < ordered.index("Acre") < ordered.index("Água") < ordered.index("Ângulo") < ordered.index("Zulmira")
-
-
-def test_checked_broadcast_measures_rows_and_text(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    small = spark.range(10)
-    assert hinted(lookups.checked_broadcast(small))
-    assert not hinted(lookups.checked_broadcast(small, max_rows=9))
-    assert not hinted(lookups.checked_broadcast(small, max_bytes=5))

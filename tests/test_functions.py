@@ -3,6 +3,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
@@ -128,3 +129,17 @@ def test_selection_scope_and_checks():
         except ValueError:
             continue
         raise AssertionError(bad)
+
+
+def test_totals_beyond_53_and_63_bits_are_exact_in_any_order(spark):
+    values = [2**62, 2**62, 2**62, 3, -5, 2**53 + 1, None, -(2**61) - 7]
+    want = sum(v for v in values if v is not None)
+    for rows in (values, values[::-1]):
+        df = spark.createDataFrame([(v,) for v in rows], "x bigint").repartition(3)
+        once = df.agg(units.total(df, "x"))
+        assert int(once.first().x) == want
+        twice = once.unionByName(once)
+        assert int(twice.agg(units.total(twice, "x")).first().x) == 2 * want
+    empty = spark.createDataFrame([], "x bigint")
+    assert empty.agg(units.total(empty, "x")).first().x is None
+    assert units.scaled(once, {"x": 100}).first().x == pytest.approx(want / 100)

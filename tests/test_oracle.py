@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from municipia.oracle import ORACLES
+from municipia.plans.catalogue import QUERIES
 from tests.oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,13 +16,13 @@ def duck():
         yield con
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, FOLDER, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):

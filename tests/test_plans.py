@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from municipia.functions.labels import EM_DASH
-from municipia.operators.lookups import checked_broadcast
 from municipia.params import Selection
 from municipia.plans import crop, livestock
 from municipia.plans.explorer import Explorer
@@ -116,7 +115,7 @@ def live_tables(spark, live_rows, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def view(tables, live_tables):
-    return Explorer(tables.base, checked_broadcast(tables.groups), live_tables.base, tables.states, tables.micros, tables.municipalities, tuple(tables.years))
+    return Explorer(tables.base, tables.groups, live_tables.base, tables.states, tables.micros, tables.municipalities, tuple(tables.years))
 
 
 def near(value):

@@ -158,12 +158,12 @@ def ranked(data, scope_of):
     return {row[1]: i for group in by_scope.values() for i, row in enumerate(sorted(group, key=lambda r: (-r[2], r[1])), 1)}
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 8])
-def test_rank_position_with_a_large_scope_and_ties(spark, partitions):
+@pytest.mark.parametrize("borders", [0, 3, 64])
+def test_rank_position_with_a_large_scope_and_ties(spark, borders):
     draw = random.Random(2)
     data = [("hot" if i % 3 else f"s{i % 30}", i, float(draw.choice([0, 1, 1, 2, draw.randint(0, 50)]))) for i in range(900)]
     df = spark.createDataFrame(data, "scope string, key int, value double").repartition(5)
-    got = {r.key: r.position for r in rank.rank_position(df, ["scope"], partitions=partitions).collect()}
+    got = {r.key: r.position for r in rank.rank_position(df, ["scope"], borders=borders).collect()}
     assert got == ranked(data, lambda r: r[0])
 
 
