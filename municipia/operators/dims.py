@@ -51,11 +51,7 @@ def municipality_dim(fact: DataFrame, order: str = "year", mun: str = "mun", nam
 
 def locale_sorted(dim: DataFrame, name: str, key: str, collation: str = "pt") -> DataFrame:
     """Portuguese order of names, code as tie-break."""
-    return dim.orderBy(F.collate(F.col(name), collation), F.col(key))
-
-
-def codepoint_sorted(df: DataFrame, column: str) -> DataFrame:
-    return df.orderBy(column)
+    return dim.orderBy(locale_key(name, collation), F.col(key))
 
 
 def locale_key(column: str, collation: str = "pt") -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
-from municipia.functions.cleaning import clean_numeric
 from municipia.params import Selection
 
 
@@ -40,6 +39,7 @@ def normalise_measures(df: DataFrame, head: str = "Efetivo_Cabecas", quantity: s
 
 
 def rename_to_group(df: DataFrame, category: str = "category", group: str = "grp") -> DataFrame:
+    """Categories that stand beside groups in one table."""
     return df.withColumnRenamed(category, group)
 
 
@@ -50,10 +50,6 @@ def latest_period(df: DataFrame, year: str = "year", value: str = "value", fallb
     return filled.agg(F.coalesce(F.max(F.col(year)), F.lit(fallback)).cast("int").alias(year))
 
 
-def readable_values(df: DataFrame, value: str = "value") -> DataFrame:
-    return df.where(clean_numeric(F.col(value)).isNotNull())
-
-
 def group_predicate(group: str) -> Column | None:
     """Condition on ``kind`` and ``grp`` for one group code; None for all categories."""
     if group == fixed.ALL:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
+from municipia.functions.cleaning import code_prefix
 
 
 def states(spark: SparkSession) -> DataFrame:
@@ -35,7 +36,7 @@ def derive_parent_code(df: DataFrame, parents: DataFrame, code: str = "mun", len
                        parent_code: str = "uf_code", parent: str = "uf", out: str | None = None) -> DataFrame:
     """Parent of each row from the first characters of its code; null where the prefix is unknown."""
     lookup = parents.select(F.col(parent_code).alias("_prefix"), F.col(parent).alias("_parent"))
-    joined = df.withColumn("_prefix", F.substring(F.col(code).cast("string"), 1, length)).join(lookup, "_prefix", "left")
+    joined = df.withColumn("_prefix", code_prefix(F.col(code), length)).join(lookup, "_prefix", "left")
     out = out or parent
     kept = [c for c in df.columns if c != out]
     return joined.select(*kept, F.col("_parent").alias(out))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
-from municipia.operators.classify import classify_group
+from municipia.operators.classify import classify_group, new_categories
 from municipia.operators.rollup import GROUP_TESTS
 
 
@@ -24,7 +24,7 @@ def state_check(df: DataFrame, uf: str = "uf", uf_file: str = "uf_file") -> Data
 
 def expected_slices(spark: SparkSession, tables: Sequence[int] = tuple(fixed.SURVEY_TABLES), first_year: int = fixed.FIRST_YEAR,
                     last_year: int = fixed.LAST_YEAR) -> DataFrame:
-    """The grid of (table, year, state) slices a complete load has."""
+    """The grid of (table, year, state) slices a complete load has, from the survey's first year to the one given."""
     listed = F.array(*[F.lit(t) for t in tables])
     years = F.sequence(F.lit(first_year), F.lit(last_year))
     ufs = F.array(*[F.lit(state[1]) for state in fixed.STATES])
@@ -45,6 +45,20 @@ def reject_count(rejects: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return rejects.groupBy(*by).agg(count) if by else rejects.agg(count)
 
 
+def crop_checks(located: DataFrame, groups: DataFrame) -> DataFrame:
+    """(name, rows) of what the crop batch leaves out or had to assume. ``located`` has uf from the code beside uf_file."""
+    known = F.col("uf").isNotNull()
+    checks = {
+        "rows": F.lit(True), "unknown_state": ~known, "state_differs_from_file": known & F.col("uf_file").isNotNull() & (F.col("uf") != F.col("uf_file")),
+        "no_category": known & F.col("category").isNull(), "no_year": known & F.col("category").isNotNull() & F.col("year").isNull(),
+    }
+    counted = located.agg(*[F.count_if(test).alias(name) for name, test in checks.items()])
+    cells = ", ".join(f"struct('{name}' AS name, `{name}` AS rows)" for name in checks)
+    long = counted.select(F.expr(f"inline(array({cells}))"))
+    fresh = new_categories(located.where(known), groups).select(F.concat(F.lit("new_category: "), "category").alias("name"), F.lit(0).cast("bigint").alias("rows"))
+    return long.unionByName(fresh)
+
+
 def reject_null_category(fact: DataFrame, category: str = "category") -> tuple[DataFrame, DataFrame]:
     """Rows with a category, and apart from them the rows without one."""
     return fact.where(F.col(category).isNotNull()), fact.where(F.col(category).isNull())

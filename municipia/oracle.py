@@ -105,6 +105,7 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT mic, grp, year, a, p, v FROM classed WHERE grp IN ('COL', 'TRA')
           UNION ALL SELECT mic, category, year, a, p, v FROM classed WHERE grp = 'COL')
         SELECT mic, grp, year, {_dbl('a', 'p', 'v')} FROM members GROUP BY ALL""",
+    "micro_crop_groups": f"WITH {_CLASSED} SELECT mic, category AS grp, year, {_dbl('a', 'p', 'v')} FROM classed WHERE grp = 'COL' GROUP BY mic, category, year",
     "mun_rollup": f"WITH {_FACT} SELECT mun, year, {_dbl('a', 'p', 'v')} FROM fact GROUP BY ALL",
     "mun_group_rollup": f"""WITH {_CLASSED},
         members AS (

@@ -90,6 +90,14 @@ def micro_membership_rollup(spark, folder):
     return crop_amounts(rollup.rollup_membership(standin.crop_fact(spark, folder, "mic", "category", "year", "a", "p", "v"), groups_of(spark, folder), "mic"))
 
 
+@query
+def micro_crop_groups(spark, folder):
+    """Combine-harvested categories per micro-region, each as a group of its own."""
+    cells = rollup.rollup(standin.crop_fact(spark, folder, "mic", "category", "year", "a", "p", "v"), ["mic", "category", "year"], CROP)
+    combine = groups_of(spark, folder).where(F.col(fixed.COL) == 1).select("category")
+    return crop_amounts(filters.rename_to_group(cells.join(combine, "category", "left_semi")))
+
+
 @query
 def mun_rollup(spark, folder):
     return crop_amounts(rollup.rollup(standin.crop_fact(spark, folder, "mun", "year", "a", "p", "v"), ["mun", "year"], CROP))

@@ -8,28 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
-from municipia.operators.classify import categories_of_kind, combine_categories, extend_groups, tractor_categories
+from municipia.functions.units import scaled, whole_units
+from municipia.operators.classify import bootstrap_groups, categories_of_kind, combine_categories, extend_groups, tractor_categories
 from municipia.operators.dims import micro_dim, municipality_dim, state_dim
-from municipia.operators.filters import drop_unmapped
 from municipia.operators.lookups import derive_parent_code, states
+from municipia.operators.quality import crop_checks
 from municipia.operators.rollup import (
     distinct_domain, rollup, rollup_base, rollup_membership, rollup_membership_wide, rollup_state_category, with_yield_parts,
 )
 from municipia.operators.series import known_years
 from municipia.sinks import packages
+from municipia.sinks.files import save_category_groups, write_csv
 from municipia.sinks.tables import materialise
 
 MEASURES = ["a", "p", "v"]
+# The survey's amounts have three decimals at most; sums of thousandths do not depend on row order.
+UNITS = dict.fromkeys([*MEASURES, "r_sum"], 1_000)
+
+
+def in_units(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: whole_units(F.col(c), n) for c, n in UNITS.items() if c in df.columns})
 
 
 def clean_crop_fact(fact: DataFrame) -> DataFrame:
-    """State from the municipality code, rows without a state dropped, yields as sum and count.
+    """State from the municipality code, yields as sum and count.
 
-    Rows without a category stay, with ``rejected`` = 1.
+    Rows without a state, category or year stay, with ``rejected`` = 1.
     """
     known = F.broadcast(states(fact.sparkSession))  # 27 rows
-    located = drop_unmapped(derive_parent_code(fact, known))
-    return with_yield_parts(located).withColumn("rejected", F.col("category").isNull().cast("int"))
+    located = derive_parent_code(fact, known)
+    lacking = F.col("uf").isNull() | F.col("category").isNull() | F.col("year").isNull()
+    return with_yield_parts(located).withColumn("rejected", lacking.cast("int"))
 
 
 @dataclass(frozen=True)
@@ -42,44 +51,53 @@ class CropTables:
     states: DataFrame
     micros: DataFrame
     municipalities: DataFrame
+    quality: DataFrame  # name, rows
 
     def state_category(self) -> DataFrame:
-        return rollup_state_category(self.base)
+        return rollup_state_category(in_units(self.base), per_one=UNITS)
 
     def micro_groups(self) -> DataFrame:
-        return rollup_membership(self.base, self.groups, "mic")
+        return scaled(rollup_membership(in_units(self.base), self.groups, "mic"), UNITS)
 
     def municipality(self) -> DataFrame:
-        return rollup(self.base, ["mun", "year"], MEASURES)
+        return scaled(rollup(in_units(self.base), ["mun", "year"], MEASURES), UNITS)
 
     def municipality_groups(self) -> DataFrame:
-        return rollup_membership_wide(self.base, self.groups, "mun", MEASURES)
+        return scaled(rollup_membership_wide(in_units(self.base), self.groups, "mun", MEASURES), UNITS)
 
 
-def crop_tables(fact: DataFrame, groups: DataFrame, work_folder: str) -> CropTables:
+def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run_id: str | None = None, groups_folder: str | None = None) -> CropTables:
     """Build the base roll-up once, as a table partitioned by year, and derive the rest from it.
 
     ``work_folder`` must be shared by all executors. A run that was cut off goes on where it stopped if
-    it is given the same folder.
+    it is given the same folder and the same input files, or the same ``run_id``. Without ``groups`` (the first run) the categories are
+    classified by keywords. ``groups_folder``, a new folder, takes the lookup with the new categories, for people to edit.
     """
     spark = fact.sparkSession
     # One pass over the delimited files; all that follows reads single columns of its result.
-    cleaned = materialise(clean_crop_fact(fact), f"{work_folder}/fact", "rejected")
+    cleaned = materialise(clean_crop_fact(fact), f"{work_folder}/fact", "rejected", run_id=run_id)
     kept = cleaned.where(F.col("rejected") == 0)
+    if groups is None:
+        groups = bootstrap_groups(kept)
     # The rebalance hint groups rows by year for the writer and splits a year that is large.
-    base = materialise(rollup_base(kept).hint("rebalance", "year"), f"{work_folder}/base", "year")
+    base = materialise(scaled(rollup_base(in_units(kept)), UNITS).hint("rebalance", "year"), f"{work_folder}/base", "year")
+    report = materialise(crop_checks(cleaned, groups), f"{work_folder}/quality")
+    extended = materialise(extend_groups(base, groups), f"{work_folder}/groups", run_id=run_id)
+    if groups_folder:
+        save_category_groups(extended, groups_folder)
     return CropTables(
         base=base,
-        groups=materialise(extend_groups(base, groups), f"{work_folder}/groups"),
+        groups=extended,
         years=known_years(base),
         states=state_dim(base, states(spark)),
         micros=materialise(micro_dim(kept), f"{work_folder}/micros"),
         municipalities=materialise(municipality_dim(kept), f"{work_folder}/municipalities"),
+        quality=report,
     )
 
 
 def write_crop_package(tables: CropTables, folder: str) -> None:
-    """The thirteen sections of the crop package."""
+    """The thirteen sections of the crop package, and the quality report beside them."""
     spark, years = tables.base.sparkSession, tables.years
     sections = {
         "anos": packages.years_section(spark, years),
@@ -99,3 +117,4 @@ def write_crop_package(tables: CropTables, folder: str) -> None:
     }
     for name, section in sections.items():
         packages.write_section(section, f"{folder}/{name}")
+    write_csv(tables.quality, f"{folder}/quality")

@@ -9,24 +9,41 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia import schemas
+from municipia.functions.units import scaled, total, whole_units
 from municipia.operators.filters import exclude_categories, normalise_measures
 from municipia.operators.lookups import attach
+from municipia.operators.quality import expected_slices, missing_slices
 from municipia.operators.rollup import distinct_domain, rollup_levels, union_all
 from municipia.operators.series import known_years
 from municipia.sinks import files, packages
 from municipia.sinks.tables import materialise
-from municipia.sources.files import consolidate_table
+from municipia.sources.files import consolidate_table, read_raw_slices, rejected_slice_rows
 
 MEASURES = ["q", "v"]
+UNITS = dict.fromkeys(MEASURES, 1_000)
 
 
-def export_consolidated(spark: SparkSession, raw_folder: str, out_folder: str, last_year: int = fixed.LAST_YEAR) -> DataFrame:
-    """Wide herd, product and combined files under the column names of the surveys."""
+def in_units(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: whole_units(F.col(c), n) for c, n in UNITS.items()})
+
+
+def export_consolidated(spark: SparkSession, raw_folder: str, out_folder: str, last_year: int | None = None) -> DataFrame:
+    """Wide herd, product and combined files under the column names of the surveys, for all landed years or up to ``last_year``.
+
+    The slices that are missing up to the newest landed year, and the rows that do not fit, are reported beside them.
+    """
     names = {name: source for source, (name, _) in schemas.LIVESTOCK_INDEX.items()}
     herd, product = (consolidate_table(spark, raw_folder, table, last_year) for table in fixed.SURVEY_TABLES)
     combined = union_all([herd, product])
     for name, frame in (("rebanho", herd), ("producao", product), ("completo", combined)):
         files.write_csv(frame.withColumnsRenamed(names), f"{out_folder}/{name}")
+    newest = combined.agg(F.max("year")).first()[0]
+    landed = union_all([
+        read_raw_slices(spark, raw_folder, table, last_year).select(F.lit(table).alias("survey_table"), "year", "uf") for table in fixed.SURVEY_TABLES])
+    if newest is not None:
+        missing = missing_slices(expected_slices(spark, last_year=newest), landed)
+        files.write_csv(missing, f"{out_folder}/missing_slices")
+    files.write_csv(union_all([rejected_slice_rows(spark, raw_folder, table)for table in fixed.SURVEY_TABLES]), f"{out_folder}/rejected_rows")
     return combined
 
 
@@ -43,25 +60,30 @@ def clean_livestock(wide: DataFrame, mapping: DataFrame) -> DataFrame:
 class LivestockTables:
     base: DataFrame  # uf, mic, mun, kind, category, year, q, v
     years: list[int]
+    quality: DataFrame  # category, rows, rejected_rows
 
     def levels(self) -> DataFrame:
-        return rollup_levels(self.base)
+        return scaled(rollup_levels(in_units(self.base)), UNITS)
 
     def categories(self, kind: str) -> DataFrame:
         return distinct_domain(self.base.where(F.col("kind") == kind), "category")
 
 
-def livestock_tables(wide: DataFrame, mapping: DataFrame, work_folder: str) -> LivestockTables:
+def livestock_tables(wide: DataFrame, mapping: DataFrame, work_folder: str, run_id: str | None = None) -> LivestockTables:
     """The livestock base as a table partitioned by year; resumes like the crop tables."""
-    cleaned = materialise(clean_livestock(wide, mapping), f"{work_folder}/livestock_fact", "rejected")
+    cleaned = materialise(clean_livestock(wide, mapping), f"{work_folder}/livestock_fact", "rejected", run_id=run_id)
     kept = cleaned.where(F.col("rejected") == 0).dropna(subset=["category", "year"])
-    summed = kept.groupBy("uf", "mic", "mun", "kind", "category", "year").agg(*[F.sum(c).alias(c) for c in MEASURES])
+    keys = ["uf", "mic", "mun", "kind", "category", "year"]
+    units = in_units(kept)
+    summed = scaled(units.groupBy(*keys).agg(*[total(units, c) for c in MEASURES]), UNITS)
+    report = cleaned.groupBy("category").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected") == 1).alias("rejected_rows"))
     base = materialise(summed.hint("rebalance", "year"), f"{work_folder}/livestock", "year")
-    return LivestockTables(base, known_years(base))
+    return LivestockTables(base, known_years(base), materialise(report, f"{work_folder}/quality"))
 
 
 def write_livestock_package(tables: LivestockTables, folder: str) -> None:
-    """The six sections of the livestock package."""
+    """The six sections of the livestock package, and the quality report beside them."""
+    files.write_csv(tables.quality, f"{folder}/quality")
     spark, years = tables.base.sparkSession, tables.years
     packages.write_section(packages.years_section(spark, years), f"{folder}/anos")
     packages.write_section(packages.list_section(tables.categories("Rebanho"), "category"), f"{folder}/rebanho_categorias")

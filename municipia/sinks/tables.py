@@ -4,18 +4,40 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def materialise(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back; if an earlier run finished this table, only read it.
+def input_fingerprint(df: DataFrame) -> str | None:
+    """A digest of the names, sizes and times of the files behind ``df``; None if it reads no files."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    listed = df.sparkSession.read.format("binaryFile").load(files).select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+    count, total = listed.agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    return f"{count}:{total}"
 
-    A marker beside the table is written last, so a table left half-written is built again. The folder
-    belongs to one state of the input: new input needs a new folder.
+
+def _finished(df: DataFrame, marker: str) -> str | None:
+    """The fingerprint an earlier run has left in the marker, if it came to its end."""
+    try:
+        row = df.sparkSession.read.schema("fingerprint string").parquet(marker).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return row and row["fingerprint"]
+
+
+def materialise(df: DataFrame, path: str, *partition_by: str, run_id: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet and read it back; if an earlier run finished this table from the same input, only read it.
+
+    The same input means the same files with the same sizes and times, or the caller's ``run_id``; a frame that has neither is written
+    anew every time. The marker beside the table holds the fingerprint and is written last, so a table left half-written is built again.
     """
     spark, marker = df.sparkSession, f"{path}.done"
-    try:
-        spark.read.parquet(marker)
-    except AnalysisException:
+    wanted = run_id or input_fingerprint(df)
+    if wanted is None or _finished(df, marker) != wanted:
+        spark.createDataFrame([], "fingerprint string").write.mode("overwrite").parquet(marker)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        spark.range(1).write.mode("overwrite").parquet(marker)
+        spark.createDataFrame([(wanted or "",)], "fingerprint string").write.mode("overwrite").parquet(marker)
     return spark.read.parquet(path)

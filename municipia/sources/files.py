@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from municipia import fixed_values as fixed
 from municipia import schemas
@@ -18,10 +19,18 @@ def _read_text_columns(spark: SparkSession, path: str | list[str], sep: str) ->
     return spark.read.option("sep", sep).option("header", True).option("enforceSchema", False).csv(path)
 
 
+def as_kind(column: Column, kind: str) -> Column:
+    """Text as ``kind``, null if it is none. A whole number may be written as 2020 or 2020.0."""
+    if kind != "int":
+        return column.try_cast(kind)
+    number = column.try_cast("double")
+    return F.when(number == F.floor(number), number).try_cast("int")
+
+
 def _canonical(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> list:
     """Columns by name, in any order; an absent one is null."""
     return [
-        (F.col(f"`{source}`").try_cast(kind) if source in df.columns else F.lit(None).cast(kind)).alias(name)
+        (as_kind(F.col(f"`{source}`"), kind) if source in df.columns else F.lit(None).cast(kind)).alias(name)
         for source, (name, kind) in columns.items()
     ]
 
@@ -57,22 +66,40 @@ def slice_identity(name: str) -> list:
     ]
 
 
-def read_raw_slices(spark: SparkSession, folder: str, table: int, last_year: int = fixed.LAST_YEAR,
-                    first_year: int = fixed.FIRST_YEAR) -> DataFrame:
-    """All raw slices of one survey table, long; empty and unreadable files add nothing."""
-    raw = (
-        spark.read.schema(schemas.RAW_SLICE_SCHEMA)
-        .option("sep", ";").option("header", True).option("mode", "DROPMALFORMED")
-        .option("ignoreCorruptFiles", True).option("pathGlobFilter", f"ppm_{table}_*.csv")
+def _raw_slices(spark: SparkSession, folder: str, table: int) -> DataFrame:
+    """Rows of all raw slices of a table, those that don't fit kept in ``_bad``. A file whose header differs from the schema stops the job."""
+    columns = T.StructType([*schemas.RAW_SLICE_SCHEMA.fields, T.StructField("_bad", T.StringType())])
+    return (
+        spark.read.schema(columns)
+        .option("sep", ";").option("header", True).option("enforceSchema", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("columnPruning", False).option("pathGlobFilter", f"ppm_{table}_*.csv")
         .csv(folder)
+        .select("*", F.col("_metadata.file_name").alias("_file"))
+        # Spark refuses plans that need no column but the bad row's text, such as a count; this test, true of all text files, needs one.
+        .where(F.coalesce(F.col(schemas.RAW_SLICE_SCHEMA[0].name), F.lit("")) != "\u0001")
     )
-    named = raw.select(*raw.columns, F.col("_metadata.file_name").alias("_file"))
-    named = named.withColumn("_year", F.regexp_extract("_file", r"_(\d{4})[^_]*\.csv$", 1).try_cast("int"))
-    wanted = named.where(F.col("_year").between(first_year, last_year))
-    return wanted.select(*_canonical(wanted, schemas.LIVESTOCK_LONG))
 
 
-def consolidate_table(spark: SparkSession, folder: str, table: int, last_year: int = fixed.LAST_YEAR) -> DataFrame:
+def read_raw_slices(spark: SparkSession, folder: str, table: int, last_year: int | None = None, first_year: int | None = None) -> DataFrame:
+    """All raw slices of one survey table, long; empty files add nothing, and rows that do not fit go to ``rejected_slice_rows``.
+
+    All landed years unless the caller names bounds.
+    """
+    raw = _raw_slices(spark, folder, table)
+    year = F.regexp_extract("_file", r"_(\d{4})[^_]*\.csv$", 1).try_cast("int")
+    kept = raw.where(F.col("_bad").isNull())
+    for bound in ([year >= first_year] if first_year is not None else []) + ([year <= last_year] if last_year is not None else []):
+        kept = kept.where(bound)
+    return kept.select(*_canonical(kept, schemas.LIVESTOCK_LONG))
+
+
+def rejected_slice_rows(spark: SparkSession, folder: str, table: int) -> DataFrame:
+    """File and text of the rows that have too few or too many fields, and what was read as their first column."""
+    raw = _raw_slices(spark, folder, table)
+    return raw.where(F.col("_bad").isNotNull()).select(F.col("_file").alias("file"), F.col("_bad").alias("row"), F.col(raw.columns[0]).alias("mun"))
+
+
+def consolidate_table(spark: SparkSession, folder: str, table: int, last_year: int | None = None) -> DataFrame:
     """One survey table, wide: raw slices, then one row per municipality, category and year."""
     variables = list(fixed.SURVEY_TABLES[table]["variables"].values())
     keys = [name for name, _ in schemas.LIVESTOCK_INDEX.values()]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import schemas
 from municipia.functions.cleaning import clean_numeric
-from municipia.sources.files import slice_identity
+from municipia.session import ensure_checkpoint_dir
+from municipia.sources.files import as_kind, slice_identity
 
 SLICE = ["survey_table", "slice_year", "uf"]
 
@@ -20,22 +22,36 @@ def newest_file_per_slice(rows: DataFrame) -> DataFrame:
     return rows.join(newest, SLICE).where(arrived == F.col("_newest")).drop("_newest")
 
 
-def ingest_new_slices(spark: SparkSession, folder: str, table_path: str, checkpoint: str, pattern: str = "ppm_*.csv",
-                      files_per_slice: int = 4) -> None:
+def _newer_than_table(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
+    """Rows of files that are newer than what the table holds for their slice."""
+    try:
+        held = spark.read.parquet(table_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    ensure_checkpoint_dir(spark)
+    # One row per slice, cut off from the table, as the table is about to be overwritten.
+    held = held.groupBy(*SLICE).agg(F.max(F.struct("file_time", "file_name")).alias("_held")).checkpoint()
+    arrived = F.struct("file_time", "file_name")
+    return rows.join(held, SLICE, "left").where(F.col("_held").isNull() | (arrived > F.col("_held"))).drop("_held")
+
+
+def ingest_new_slices(spark: SparkSession, folder: str, table_path: str, checkpoint: str, pattern: str = "ppm_*.csv") -> None:
     """Read files not read before, write them into ``table_path``, stop.
 
-    The table is partitioned by slice and a batch overwrites just the partitions it holds. So a batch
+    The table is partitioned by slice (survey table, year, state) and a batch overwrites just the partitions it holds. So a batch
     that runs again after a failure changes nothing, and a corrected slice that lands under a new name
-    replaces its old rows. A file rewritten under its old name is not read again. The rows of a slice
-    are spread over up to ``files_per_slice`` tasks by municipality, so a large slice is not one task.
+    replaces its old rows; a state that a corrected file lacks keeps its rows. Rows keep their file's name and time: an older file that arrives late
+    replaces nothing. A file rewritten under its old name is not read again, and a file with another header stops the load. The rebalance
+    hint gives a slice as many tasks as its size needs.
     """
 
     def write_batch(batch: DataFrame, _: int) -> None:
         batch = batch.persist()
-        newest = newest_file_per_slice(batch).drop("file_time", "file_name")
-        spread = F.pmod(F.xxhash64("mun"), F.lit(files_per_slice))
+        newest = _newer_than_table(spark, newest_file_per_slice(batch), table_path)
         (
-            newest.repartition(*SLICE, spread)
+            newest.hint("rebalance", *SLICE)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*SLICE).parquet(table_path)
         )
@@ -43,11 +59,11 @@ def ingest_new_slices(spark: SparkSession, folder: str, table_path: str, checkpo
 
     landed = (
         spark.readStream.schema(schemas.RAW_SLICE_SCHEMA)
-        .option("sep", ";").option("header", True).option("pathGlobFilter", pattern)
+        .option("sep", ";").option("header", True).option("enforceSchema", False).option("pathGlobFilter", pattern)
         .csv(folder)
     )
     columns = [
-        F.col(source).try_cast(kind).alias(name) if name != "value" else clean_numeric(F.col(source)).alias(name)
+        as_kind(F.col(source), kind).alias(name) if name != "value" else clean_numeric(F.col(source)).alias(name)
         for source, (name, kind) in schemas.LIVESTOCK_LONG.items()
     ]
     stamped = landed.select(

@@ -1,6 +1,7 @@
 """Readers, writers and incremental loading on landed files."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ def slice_text(value, mun="3550308", uf="SP", variable="Quantidade", year=2020,
     return BOM + HEAD + f"{mun};X;{uf};Sudeste;{year};Producao;2682;{category};{variable};{value}\n"
 
 
-def test_raw_slices_skip_empty_files_and_other_years(spark, tmp_path, rows):
+def test_raw_slices_of_all_years_without_empty_files(spark, tmp_path, rows):
     folder = tmp_path / "raw"
     write(folder / "ppm_74_2020.csv", slice_text("5.0") + "3550308;X;SP;Sudeste;2020;Producao;2682;Leite;Valor_mil_reais;7.5\n")
     write(folder / "ppm_74_2021.csv", "\n")
@@ -70,12 +71,31 @@ def test_raw_slices_skip_empty_files_and_other_years(spark, tmp_path, rows):
     write(folder / "ppm_3939_2020.csv", slice_text("1.0", variable="Efetivo_Cabecas"))
     write(folder / "other.csv", "junk\n")
     long = sources.read_raw_slices(spark, str(folder), 74)
-    assert rows(long.select("mun", "year", "variable", "value")) == [("3550308", 2020, "Quantidade", 5.0), ("3550308", 2020, "Valor_mil_reais", 7.5)]
-    wide = sources.consolidate_table(spark, str(folder), 74).first()
+    every = [("3550308", 2020, "Quantidade", 5.0), ("3550308", 2020, "Valor_mil_reais", 7.5), ("3550308", 2030, "Quantidade", 9.0)]
+    assert rows(long.select("mun", "year", "variable", "value")) == every
+    assert rows(sources.read_raw_slices(spark, str(folder), 74, last_year=2029).select("mun", "year", "variable", "value")) == every[:2]
+    wide = sources.consolidate_table(spark, str(folder), 74).where("year = 2020").first()
     assert (wide.Quantidade, wide.Valor_mil_reais) == (5.0, 7.5)
     assert sources.consolidate_table(spark, str(folder), 3939).count() == 1
 
 
+def test_raw_slices_keep_bad_rows_apart_and_refuse_other_headers(spark, tmp_path, rows):
+    folder = tmp_path / "raw"
+    write(folder / "ppm_74_2020.csv", slice_text("5.0") + "3550308;X;SP;Sudeste;2020.0;Producao;2682;Leite;Valor_mil_reais;7.5\n1;too;few\n" + slice_text("1;2").split("\n")[1] + "\n")
+    got = sources.read_raw_slices(spark, str(folder), 74).select("mun", "year", "value")
+    assert rows(got) == [("3550308", 2020, 5.0), ("3550308", 2020, 7.5)] and got.count() == 2
+    assert sorted(r.row for r in sources.rejected_slice_rows(spark, str(folder), 74).collect()) == ["1;too;few", "3550308;X;SP;Sudeste;2020;Producao;2682;Leite;Quantidade;1;2"]
+    swapped = tmp_path / "swapped"
+    write(swapped / "ppm_74_2020.csv", slice_text("5.0").replace("Cod_Municipio;Municipio", "Municipio;Cod_Municipio"))
+    with pytest.raises(Exception, match="header"):
+        sources.read_raw_slices(spark, str(swapped), 74).collect()
+
+
+def test_whole_years_written_as_decimals(spark, tmp_path):
+    path = write(tmp_path / "crop.csv", "Cod_Municipio;Ano\n1100015;2020.0\n1100023;2020.5\n1100031;n\n")
+    assert [r.year for r in sources.read_crop_fact(spark, path).orderBy("mun").collect()] == [2020, None, None]
+
+
 LABELS = {"D1C": "Município (Código)", "D1N": "Município (Nome)", "D2C": "Variável (Código)", "D2N": "Variável",
           "D3C": "Ano (Código)", "D3N": "Ano (Nome)", "D4C": "Tipo de rebanho (Código)", "D4N": "Tipo de rebanho (Nome)", "V": "Valor"}
 
@@ -166,6 +186,10 @@ def test_ingest_new_corrected_and_empty_slices(spark, tmp_path, rows):
     write(landing / "ppm_74_2020_b.csv", slice_text("6.0") + slice_text("8.0", mun="3509502").split("\n")[1] + "\n")
     assert load() == sorted([(74, 2020, "RJ", "3304557", 1000.0), (74, 2020, "SP", "3550308", 6.0), (74, 2020, "SP", "3509502", 8.0),
                              (74, 2022, "SP", "3550308", None)], key=repr)
+    # An older file that arrives late replaces nothing.
+    write(landing / "ppm_74_2020_late.csv", slice_text("1.0"))
+    os.utime(landing / "ppm_74_2020_late.csv", (1, 1))
+    assert (74, 2020, "SP", "3550308", 6.0) in load() and (74, 2020, "SP", "3550308", 1.0) not in load()
     landed = ingest.landed_slices(spark, table)
     missing = quality.missing_slices(quality.expected_slices(spark, tables=[74], first_year=2020, last_year=2022), landed)
     assert missing.count() == 3 * 27 - 3
@@ -185,8 +209,20 @@ def test_states_are_complete(spark):
 def test_materialise_resumes_and_rebuilds_what_was_cut_off(spark, tmp_path):
     path = str(tmp_path / "t")
     first, second = spark.createDataFrame([(1, 2020)], "x int, year int"), spark.createDataFrame([(2, 2021)], "x int, year int")
-    assert materialise(first, path, "year").first().x == 1
-    assert materialise(second, path, "year").first().x == 1  # finished before: read only
+    assert materialise(first, path, "year", run_id="one").first().x == 1
+    assert materialise(second, path, "year", run_id="one").first().x == 1  # the same run, finished before: read only
+    assert materialise(second, path, "year", run_id="two").first().x == 2
+    assert materialise(first, path, "year").first().x == 1  # neither files nor a run: written anew
     other = str(tmp_path / "cut")
     first.write.parquet(other)  # data without the marker, as after a lost driver
-    assert [r.x for r in materialise(second, other).collect()] == [2]
+    assert [r.x for r in materialise(second, other, run_id="one").collect()] == [2]
+
+
+def test_materialise_follows_its_input_files(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "t")
+    spark.range(3).write.parquet(source)
+    built = materialise(spark.read.parquet(source), path)
+    before = sorted(built.inputFiles())
+    assert sorted(materialise(spark.read.parquet(source), path).inputFiles()) == before  # unchanged: read only
+    spark.range(3, 9).write.mode("append").parquet(source)
+    assert materialise(spark.read.parquet(source), path).count() == 9

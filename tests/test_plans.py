@@ -12,6 +12,7 @@ from municipia.functions.labels import EM_DASH
 from municipia.params import Selection
 from municipia.plans import crop, livestock
 from municipia.plans.explorer import Explorer
+from municipia.sources.files import read_category_groups
 
 KINDS = {"Soja": ("TEM", 1), "Milho": ("TEM", 1), "Alho": ("TEM", 0), "Uva": ("PER", 0), "Café": ("PER", 0)}
 CROPS = [*KINDS, "Kiwi"]  # Kiwi is not in the lookup
@@ -130,7 +131,25 @@ def test_tables_and_rejects(spark, tables, model):
     assert tables.base.where(F.col("category").isNull()).count() == 0
     folder = tables.base.inputFiles()[0].split("/base/")[0]
     rejects = spark.read.parquet(f"{folder}/fact").where("rejected = 1")
-    assert [(r.mun, r.uf) for r in rejects.collect()] == [("3500001", "SP")]
+    assert sorted((r.mun, r.uf) for r in rejects.collect()) == [("3500001", "SP"), ("9900001", None)]
+    report = {r["name"]: r["rows"] for r in tables.quality.collect()}
+    assert (report["unknown_state"], report["no_category"], report["no_year"]) == (1, 1, 0)
+    assert {n.removeprefix("new_category: ") for n in report if n.startswith("new_category")} == set(CROPS) - set(KINDS)
+
+
+def test_first_run_classifies_and_writes_the_lookup(spark, data, tmp_path):
+    made = crop.crop_tables(spark.createDataFrame(data, FACT), None, str(tmp_path / "work"), groups_folder=str(tmp_path / "groups"))
+    lookup = {r.category: r.kind for r in read_category_groups(spark, str(tmp_path / "groups")).collect()}
+    assert lookup == {r.category: r.kind for r in made.groups.collect()} and set(lookup) == set(CROPS)
+
+
+def test_questions_that_would_mix_units_or_years_are_refused(view):
+    live = Selection("livestock", "q", kind="Rebanho", year=YEARS[0])
+    for ask in (view.kpis, view.export_rows, view.series, view.top_states, view.top_micros):
+        with pytest.raises(ValueError, match="category"):
+            ask(live)
+    with pytest.raises(ValueError, match="year"):
+        view.export_document(Selection(metric="a"))
 
 
 def read_section(spark, folder, name):
