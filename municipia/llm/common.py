@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +23,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def table(df: DataFrame) -> DataFrame:
+    """The rows as Parquet in the shared checkpoint folder, read again. Shuffle files of the job that made them go at its end.
+
+    For intermediate results that several later steps read and that are large: compressed, they take a fraction of a checkpoint.
+    """
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name starting with ``stem`` that ``df`` does not have, whatever its case."""
     taken = {c.lower() for c in df.columns}

@@ -22,6 +22,8 @@ import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from municipia.llm.common import table
+
 LENGTH, GRAM, HOT, BLOCK = 100, 24, 4_096, 1 << 20
 REMOVED = "removed array<struct<begin: long, end: long>>, kept binary"
 FACTOR, MIX = 0x100000001B3, 0x9E3779B97F4A7C15
@@ -198,7 +200,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     packed = docs.select("doc", F.pandas_udf(_packed, "binary")("text").alias("packed"))
     known = docs.filter(F.col("doc").isNotNull())
     again = known.select("text").mapInArrow(_hashes_only, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    runs = known.mapInArrow(_runs, "anchor long, digest long, doc long, at long").join(again, "anchor", "left_semi")
+    runs = table(known.mapInArrow(_runs, "anchor long, digest long, doc long, at long").join(again, "anchor", "left_semi"))
     first = runs.groupBy("anchor", "digest").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("copies"))
     whole = runs.join(first.filter("copies > 1").drop("copies"), ["anchor", "digest"]).filter(F.struct("doc", "at") != F.col("first"))
     whole = whole.select("doc", F.shiftright("at", 8).alias("start"), F.col("at").bitwiseAND(F.lit(255)).alias("count"))
@@ -212,7 +214,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     strings = content.filter(F.col("runs") > HOT).mapInArrow(_string_digests, "high long, low long, doc long, start long")
     earliest = strings.groupBy("high", "low").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
     many = strings.join(earliest, ["high", "low"]).filter(F.struct("doc", "start") != F.col("first")).select("doc", "start", F.lit(1).cast("long").alias("count"))
-    return packed, whole.unionByName(few).unionByName(many)
+    return packed, table(whole.unionByName(few).unionByName(many))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
