@@ -337,6 +337,15 @@ ORACLES: dict[str, str] = {
         SELECT 'a' AS metric, a AS value, {_magnitude('a')} AS text, 'Área Colhida (ha)' AS label FROM t
         UNION ALL SELECT 'p', p, {_magnitude('p')}, 'Produção (ton)' FROM t
         UNION ALL SELECT 'v', v, {_magnitude('v')}, 'Valor (mil R$)' FROM t""",
+    "api_payload_rows": """WITH t AS (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
+        SELECT CASE event_type WHEN 'click' THEN 'SP' WHEN 'view' THEN 'RJ' END AS uf, CASE WHEN event_type IN ('click', 'view') THEN 'Sudeste' ELSE '??' END AS region,
+               'Rebanho' AS kind, CAST(year(ts) AS INTEGER) AS year, event_type AS category, CASE WHEN k % 2 = 0 THEN 'Efetivo_Cabecas' ELSE '999' END AS variable,
+               count(*) AS rows, count(*) FILTER (k <> 3 AND value IS NOT NULL) AS numbers, CAST(sum(CAST(value AS DECIMAL(12,2))) FILTER (k <> 3) AS DOUBLE) AS total FROM t GROUP BY ALL""",
+    "geo_feature_rows": f"""WITH codes(code, uf) AS (VALUES {', '.join(f"({s[0]!r}, {s[1]!r})" for s in fixed.STATES)}),
+        t AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN '0' ELSE '' END || (c_nationkey + 11) AS codarea, CAST(c_nationkey + 11 AS VARCHAR) AS code FROM customer)
+        SELECT codarea, coalesce(uf, code) AS uf, '{{"type":"Polygon","coordinates":[]}}' AS geometry, count(*) AS n FROM t LEFT JOIN codes USING (code) GROUP BY ALL""",
+    "category_flags_parse": f"""WITH {_GROUPS} SELECT category, CASE WHEN n % 2 = 1 THEN 'PER' END AS kind,
+        CAST(CASE WHEN n % 4 < 2 THEN 1 ELSE 0 END AS INTEGER) AS COL, CAST(0 AS INTEGER) AS XYZ FROM groups""",
     "municipality_series": f"""WITH {_FACT}, {_YEARS}
         SELECT 'one' AS asked, years.year, coalesce(CAST(sum(p) AS DOUBLE), 0) AS value FROM years LEFT JOIN fact ON fact.year = years.year AND mun = 7 GROUP BY ALL
         UNION ALL SELECT 'none', years.year, coalesce(CAST(sum(p) AS DOUBLE), 0) FROM years LEFT JOIN fact ON fact.year = years.year AND uf = 'NATION_3' GROUP BY ALL""",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
+from municipia import schemas
 from municipia.functions import cleaning, labels
 from municipia.functions.units import scaled, total, whole_units
 from municipia.operators import choropleth, classify, dims, filters, kpi, lookups, quality, rank, rollup, series
@@ -20,6 +21,8 @@ from municipia.plans import standin
 from municipia.plans.explorer import Explorer
 from municipia.session import tune
 from municipia.sinks import exports, files
+from municipia.sources import api, geo
+from municipia.sources import files as sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -712,6 +715,47 @@ def nested_package(spark, folder):
     return series.nest_package(packed, "uf", "category", ["a", "p"]).select("uf", F.to_json("package").alias("package"))
 
 
+@query
+def api_payload_rows(spark, folder):
+    """Events as responses of the statistics service (a header and a row each), parsed and counted."""
+    event = standin.table(spark, folder, "events").withColumn("k", F.from_json("props", "k int")["k"])
+    labels_of = {"D1C": "Município (Código)", "D1N": "Município (Nome)", "D2C": "Variável (Código)", "D3N": "Ano (Nome)",
+                 "D4C": "Tipo de rebanho (Código)", "D4N": "Tipo de rebanho (Nome)", "V": "Valor"}
+    row = {
+        "D1C": F.col("user_id").cast("string"), "D1N": F.lit("x"), "D2C": F.when(F.col("k") % 2 == 0, "105").otherwise("999"),
+        "D3N": F.date_format("ts", "yyyy"), "D4C": F.col("k").cast("string"), "D4N": F.col("event_type"),
+        "V": F.when(F.col("k") == 3, "...").otherwise(F.format_number("value", 2)),
+    }
+    as_map = lambda cells: F.create_map(*[x for key, cell in cells.items() for x in (F.lit(key), cell)])
+    code = F.when(F.col("event_type") == "click", "35").when(F.col("event_type") == "view", "33").otherwise("99")
+    responses = event.select(code.alias("uf_code"), F.to_json(F.array(as_map({k: F.lit(v) for k, v in labels_of.items()}), as_map(row))).alias("value"))
+    rows = api.parse_stat_api(responses, 3939).withColumn("units", whole_units(F.col("value")))
+    counted = rows.groupBy("uf", "region", "kind", "year", "category", "variable").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("numbers"), total(rows, "units").alias("total"))
+    return scaled(counted, {"total": 100})
+
+
+@query
+def geo_feature_rows(spark, folder):
+    """Customers as map features, one collection each, counted by the state their code names."""
+    customer = standin.table(spark, folder, "customer")
+    code = F.when(F.col("c_mktsegment") == "BUILDING", "0").otherwise("")
+    text = F.concat(F.lit('{"features":[{"type":"Feature","properties":{"codarea":"'), code, (F.col("c_nationkey") + 11).cast("string"),
+                    F.lit('"},"geometry":{"type":"Polygon","coordinates":[]}}]}'))
+    parsed = customer.select(F.from_json(text, schemas.GEO_SCHEMA)["features"].alias("features"))
+    return geo.features_of(parsed, "uf").groupBy("codarea", "uf", "geometry").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def category_flags_parse(spark, folder):
+    """Brands as a lookup file's text columns, flags written in the ways that occur."""
+    number = F.substring_index("p_brand", "#", -1).cast("int")
+    flag = F.when(number % 4 == 0, "1").when(number % 4 == 1, "1.0").when(number % 4 == 2, "x")
+    brands = standin.table(spark, folder, "part").select("p_brand").distinct()
+    raw = brands.select(F.col("p_brand").alias("cultura"), F.when(number % 2 == 1, "PER").alias("tipo"), flag.alias("COL"), F.lit("0").alias("XYZ"))
+    return sources.parse_category_groups(raw)
+
+
 @query
 def municipality_series(spark, folder):
     """The series of one municipality, and of one without data: its state's, added up."""

@@ -46,15 +46,17 @@ def read_stat_api_json(spark: SparkSession, folder: str, table: int) -> DataFram
     Each file is one response of the service, which limits a response's size, so a file is read whole:
     its first element is the header that names the columns of all others.
     """
-    config = fixed.SURVEY_TABLES[table]
     files = (
         spark.read.option("wholetext", True).option("pathGlobFilter", f"ppm_{table}_*.json").text(folder)
-        .select("value", F.col("_metadata.file_name").alias("_file"))
-    )
-    parsed = files.select(
-        F.regexp_extract("_file", r"^ppm_\d+_\d{4}_(\d{2})", 1).alias("uf_code"),
-        F.from_json("value", schemas.API_PAYLOAD).alias("_payload"),
+        .select("value", F.regexp_extract("_metadata.file_name", r"^ppm_\d+_\d{4}_(\d{2})", 1).alias("uf_code"))
     )
+    return parse_stat_api(files, table)
+
+
+def parse_stat_api(responses: DataFrame, table: int) -> DataFrame:
+    """Responses (``uf_code``, ``value`` as JSON text) of one survey table as long rows."""
+    spark, config = responses.sparkSession, fixed.SURVEY_TABLES[table]
+    parsed = responses.select("uf_code", F.from_json("value", schemas.API_PAYLOAD).alias("_payload"))
     header = F.try_element_at("_payload", F.lit(1))
     keyed = parsed.select(
         "uf_code", "_payload", *[_header_key(header, target).alias(f"_k_{target}") for target in HEADER_WORDS],

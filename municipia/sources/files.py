@@ -51,7 +51,11 @@ def read_livestock_fact(spark: SparkSession, path: str | list[str]) -> DataFrame
 
 def read_category_groups(spark: SparkSession, path: str) -> DataFrame:
     """Category lookup ``category, kind`` and any number of integer flag columns, null flags 0."""
-    raw = _read_text_columns(spark, path, ",")
+    return parse_category_groups(_read_text_columns(spark, path, ","))
+
+
+def parse_category_groups(raw: DataFrame) -> DataFrame:
+    """The lookup from text columns ``cultura``, ``tipo`` and flags."""
     flags = [c for c in raw.columns if c not in ("cultura", "tipo")]
     # A flag may be written "1" or, where some are missing, "1.0".
     as_flag = [F.coalesce(F.col(f"`{c}`").try_cast("double").cast("int"), F.lit(0)).alias(c) for c in flags]
