@@ -24,7 +24,8 @@ KINDS = (
     ("date", r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})", r"(?<![0-9/.-])", r"(?![0-9/-]|\.[0-9])"),
     ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])", r"(?![0-9-])"),
     ("phone", r"(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5})", r"(?<![0-9+])", r"(?![0-9])"),
-    ("card", r"[0-9](?:[ -]?[0-9]){12,18}", r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"),
+    # Digits in one piece, or in the groups that cards show; a number after a blank is no part of a card in one piece.
+    ("card", r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}(?: [0-9]{3})?|[0-9]{4}(?:-[0-9]{4}){3}(?:-[0-9]{3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})", r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"),
 )
 DATE_LAYOUTS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy", "MM.dd.yyyy")
 

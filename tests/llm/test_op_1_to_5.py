@@ -139,6 +139,13 @@ def test_pseudonyms_keep_formats_and_link_equal_values(spark):
     assert changed(spark, values, key=2) != changed(spark, values, key=1) == changed(spark, values, key=1)
 
 
+def test_neighbouring_numbers_do_not_hide_a_value(spark):
+    card = next(v for v in (f"404189497460879{d}" for d in range(10)) if luhn(v))
+    for text in (f"{card} 27", f"27 {card}", f"+1 (269) 555-3296 {card}", f"70.1.2.3 {card}.", f"{card},{card}"):
+        out = changed(spark, [text])[0]
+        assert card not in out and "555-3296" not in out and "70.1.2.3" not in out and len(out) >= len(text) - 6
+
+
 def test_pseudonyms_of_different_values_differ(spark):
     cards = [c for c in (f"41111111111{n:05d}" for n in range(4_000)) if luhn(c)]
     days = [str(d) for d in np.arange("1930-01-01", "1934-01-01", dtype="datetime64[D]")] + [str(d) for d in np.arange("1790-01-01", "1792-01-01", dtype="datetime64[D]")]
