@@ -11,9 +11,10 @@ Training takes a bounded sample of the labelled rows (``Bounds``), chosen by a h
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -29,8 +30,8 @@ WINDOW, STRIDE = 96, 72
 class Bounds:
     """What training may take: labelled documents of each class, and the longest text among them in characters."""
 
-    toxic: int = 4_000
-    ordinary: int = 10_000
+    toxic: int = 3_000
+    ordinary: int = 6_000
     longest: int = 20_000
 
 
@@ -140,11 +141,18 @@ def fit(train: list[tuple[str, int]], calibrate: list[tuple[str, int]], tail: in
     def mixed(items: list[bytes], most: int) -> list[bytes]:
         return [items[i] for i in rng.permutation(len(items))[:most]]
 
-    windows = [t[s : s + 32] for t in ordinary for s in range(0, max(1, len(t) - 31), 16)]
+    ends = np.cumsum([max(1, (len(t) - 16) // 16) for t in ordinary])
+
+    def windows(most: int) -> list[bytes]:
+        """Windows of 32 bytes, 16 apart, drawn from all ordinary texts."""
+        drawn = rng.permutation(int(ends[-1]))[:most]
+        texts = np.searchsorted(ends, drawn, "right")
+        return [ordinary[t][16 * s : 16 * s + 32] for t, s in zip(texts.tolist(), (drawn - np.append(0, ends)[texts]).tolist(), strict=True)]
+
     words = mixed(_telling_words(toxic, ordinary), 1 << 20)
     phrases = [b" " + b"  ".join(words[i : i + 6]) + b" " for i in range(0, len(words), 6)]
-    shared = _trained(mixed(windows, 60_000), tail)
-    toxic_bytes, ordinary_bytes = _trained(phrases, head) + shared, _trained(mixed(windows, 60_000), head) + shared
+    shared = _trained(windows(60_000), tail)
+    toxic_bytes, ordinary_bytes = _trained(phrases, head) + shared, _trained(windows(60_000), head) + shared
     saved = [(differences(normal(t), toxic_bytes, ordinary_bytes), y) for t, y in calibrate]
     threshold = float(np.quantile(np.concatenate([d for d, y in saved if y == 0]), 0.99))
     x = np.array([features(d, threshold) for d, _ in saved])
@@ -187,7 +195,12 @@ def train_model(docs: DataFrame, labels: DataFrame, bounds: Bounds | None = None
     rows = texts.withColumn("_part", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     pick = lambda *parts: [(r["text"], r["toxic"]) for r in rows if r["_part"] in parts]
-    return fit(pick(0, 1), pick(3))
+    model = fit(pick(0, 1), pick(3))
+    if model is None:
+        return None
+    # The classes are sampled at different rates; a probability has to follow their true shares.
+    labelled, taken = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}, Counter(r["toxic"] for r in rows)
+    return replace(model, intercept=model.intercept + math.log(labelled[1] / taken[1]) - math.log(labelled[0] / taken[0]))
 
 
 def with_score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "score") -> DataFrame:
