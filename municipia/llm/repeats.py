@@ -102,17 +102,31 @@ def _unpacked(data: bytes) -> bytes:
     return zs.ZstdDecompressor().decompress(data)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for steps that unfold a row to many."""
+    for batch in batches:
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows)
+
+
+def _lists(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Lengths of a column of lists of structs, null lists being empty, and the structs' fields end to end."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten()
+    return lengths, [flat.field(flat.type.get_field_index(f)).to_numpy(zero_copy_only=False).astype(np.int64) for f in fields]
+
+
 def _bytes_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the runs that ``wanted`` lists for each document."""
-    for batch in batches:
-        out = {"anchor": [], "runs": [], "doc": [], "at": [], "content": []}
-        for doc, packed, wanted in zip(batch.column("doc").to_pylist(), batch.column("packed").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+    for batch in _slices(batches):
+        lengths, (anchor, runs, at) = _lists(batch.column("wanted"), "anchor", "runs", "at")
+        content, begin = [], 0
+        for packed, n in zip(batch.column("packed").to_pylist(), lengths.tolist(), strict=True):
             data = _unpacked(packed)
-            for w in wanted:
-                start, count = w["at"] >> 8, w["at"] & 255
-                for name, value in (("anchor", w["anchor"]), ("runs", w["runs"]), ("doc", doc), ("at", w["at"]), ("content", data[start : start + count + LENGTH - 1])):
-                    out[name].append(value)
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("anchor", pa.int64()), ("runs", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("content", pa.binary())]))
+            content += [data[x >> 8 : (x >> 8) + (x & 255) + LENGTH - 1] for x in at[begin : begin + n].tolist()]
+            begin += n
+        doc = np.repeat(batch.column("doc").to_numpy(), lengths)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (anchor, runs, doc, at)), pa.array(content, pa.binary())], ["anchor", "runs", "doc", "at", "content"])
 
 
 def _strings(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,15 +192,16 @@ def _string_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        removed, kept = [], []
-        for packed, spans in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+    for batch in _slices(batches):
+        removed, kept, begin = [], [], 0
+        lengths, (start, count) = _lists(batch.column("spans"), "start", "count")
+        for packed, n in zip(batch.column("packed").to_pylist(), lengths.tolist(), strict=True):
             data = _unpacked(packed)
             gone = np.zeros(len(data) + 1, np.int64)
-            for s in spans or ():
-                if s["start"] < len(data):
-                    gone[s["start"]] += 1
-                    gone[min(len(data), s["start"] + s["count"] + LENGTH - 1)] -= 1
+            first, last = start[begin : begin + n], start[begin : begin + n] + count[begin : begin + n] + LENGTH - 1
+            begin += n
+            np.add.at(gone, first[first < len(data)], 1)
+            np.add.at(gone, np.minimum(last, len(data))[first < len(data)], -1)
             mask = np.cumsum(gone) > 0
             edges = np.flatnonzero(np.diff(np.concatenate(([False], mask)).astype(np.int8))).tolist()
             removed.append([{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2], strict=True)])
