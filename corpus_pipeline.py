@@ -16,7 +16,7 @@ from municipia.llm import mixing, packing, pii, simhash, toxicity
 from municipia.llm.common import free_name, read
 from municipia.session import ensure_checkpoint_dir
 
-REJECTED = 0.5
+REJECTED = toxicity.TOXIC
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train_model(docs, read(spark, sf_dir, "labels"))
     scored = toxicity.with_score(docs, model)
-    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

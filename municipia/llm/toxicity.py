@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, STRIDE = 96, 72
+TOXIC = 0.3  # the probability from which a document counts as toxic
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from tests.llm.conftest import DOCS, SF
 from tests.llm.test_op_1_to_5 import check_pieces, plain_components, plain_fingerprint
 
 import corpus_pipeline
-from municipia.llm import mixing, pii, toxicity
+from municipia.llm import mixing, pii, queries, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +36,12 @@ def test_toxic_documents_go(spark, stages):
     assert {r["doc_id"] for r in stages["toxicity"].collect()} == want
 
 
+def test_the_stage_rejects_what_the_query_predicts(spark, stages):
+    toxic = {r["doc_id"] for r in queries.op1_toxicity(spark, SF).collect() if r["predicted"]}
+    left = {r["doc_id"] for r in stages["toxicity"].collect()}
+    assert toxic and not toxic & left and toxic | left == {r["doc_id"] for r in stages["documents"].collect()}
+
+
 def test_one_document_of_each_group_stays(stages):
     prints = {r["doc_id"]: plain_fingerprint(r["text"]) for r in stages["toxicity"].collect()}
     groups = plain_components(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
