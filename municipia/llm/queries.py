@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from municipia.llm import media, mixing, packing, passages, pii, repeats, sharding, simhash, toxicity, vectors
+from municipia.llm import bpe, codes, media, mixing, negatives, packing, passages, pii, repeats, sharding, simhash, toxicity, vectors
 from municipia.llm.common import read, unsigned_crc32
 
 
@@ -66,6 +68,27 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text")).alias("ids"))
+    both = docs.withColumn("decoded", bpe.decoded(F.col("ids")))
+    digits = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors_ = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    found, books = codes.coded(vectors_)
+    summed = codes.with_group_error(found.drop("embedding"), "label", "error", "label_error")
+    digest = hashlib.sha256(codes.books_text(books).encode()).hexdigest()
+    return summed.select("vec_id", "code", F.expr("try_cast(error AS bigint)").alias("error"), F.expr("try_cast(label_error AS bigint)").alias("label_error"), F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -77,8 +100,33 @@ QUERIES = {
     "op8_vectors": op8_vectors,
     "op9_repeats": op9_repeats,
     "op10_mixing": op10_mixing,
+    "op11_negatives": op11_negatives,
+    "op12_bpe": op12_bpe,
+    "op13_codes": op13_codes,
 }
 
+def _codes_sql(rounds: int = codes.ROUNDS) -> str:
+    """Lloyd's rounds written out one after the other, over components as rows."""
+    nearest = """
+dist{n} AS (SELECT p.vec_id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS far FROM points p JOIN book{n} b USING (part, place) GROUP BY ALL),
+near{n} AS (SELECT vec_id, part, entry, far FROM dist{n} QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY far, entry) = 1)"""
+    moved = """
+sums{n} AS (SELECT p.part, n.entry, p.place, sum(p.x) AS s, count(*) AS c FROM points p JOIN near{n} n USING (vec_id, part) GROUP BY ALL),
+book{m} AS (SELECT b.part, b.entry, b.place, CASE WHEN c IS NULL THEN b.x ELSE (s - ((s % c) + c) % c) // c END AS x FROM book{n} b LEFT JOIN sums{n} USING (part, entry, place))"""
+    steps = [nearest.format(n=n) + "," + moved.format(n=n, m=n + 1) for n in range(rounds)] + [nearest.format(n=rounds)]
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS (
+    SELECT vec_id, (i - 1) // (len(v) // 8) AS part, (i - 1) % (len(v) // 8) AS place, floor(4096 * v[i])::HUGEINT AS x FROM (SELECT vec_id, v, unnest(range(1, len(v) + 1)) AS i FROM kept)
+), firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < 16),
+book0 AS (SELECT part, entry, place, x FROM points JOIN firsts USING (vec_id)),{",".join(steps)},
+codes AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM near{rounds} GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM codes JOIN kept USING (vec_id) CROSS JOIN digest
+"""
+
+
 ORACLES = {
     "op8_vectors": """
 WITH RECURSIVE usable AS (
@@ -119,4 +167,22 @@ hashed AS (
 )
 SELECT doc_id, size, source_size, target, (rounds * size + greatest(0, least(size, goal - rounds * source_size - begins)))::BIGINT AS taken FROM placed
 """,
+    "op11_negatives": """
+WITH items AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id AS other_id, b.label AS other_label, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM items a JOIN items b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS n FROM scored WHERE anchor_label = other_label
+), found AS (
+    SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND s.other_label <> s.anchor_label AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+    WHERE p.n <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+""",
+    "op13_codes": _codes_sql(),
 }
