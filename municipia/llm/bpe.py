@@ -173,15 +173,18 @@ def vocabulary(name: str) -> Vocabulary:
     return Vocabulary(name)
 
 
+def _ids(texts: pa.Array, words: Vocabulary) -> pa.ListArray:
+    lists = [words.encode(t.as_py() or "") for t in texts]
+    bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *lists])))
+
+
 def encoded(text: Column, name: str = VOCABULARY) -> Column:
     """Ids of each text, ``array<int>``. Null and empty texts have none. ``name``: a file, or a public tokenizer's name."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        words = vocabulary(name)
-        lists = [words.encode(t.as_py() or "") for t in texts]
-        bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
-        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *lists])))
+        return _ids(texts, vocabulary(name))
 
     return encode(text)
 
@@ -194,3 +197,15 @@ def decoded(ids: Column, name: str = VOCABULARY) -> Column:
         return vocabulary(name).decode(lists)
 
     return decode(ids)
+
+
+def round_trip(text: Column, name: str = VOCABULARY) -> Column:
+    """``ids`` and ``decoded`` of each text as a struct. Spark would encode twice for a column of ids and one decoded from it."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def there_and_back(texts: pa.Array) -> pa.Array:
+        words = vocabulary(name)
+        ids = _ids(texts, words)
+        return pa.StructArray.from_arrays([ids, words.decode(ids)], ["ids", "decoded"])
+
+    return there_and_back(text)

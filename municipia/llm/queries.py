@@ -75,10 +75,9 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text")).alias("ids"))
-    both = docs.withColumn("decoded", bpe.decoded(F.col("ids")))
-    digits = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text")).alias("t"))
+    digits = F.array_join(F.col("t.ids").cast("array<string>"), " ")
+    return docs.select("doc_id", F.size("t.ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("t.decoded", 256).alias("decoded_sha256"))
 
 
 def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
