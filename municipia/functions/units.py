@@ -15,9 +15,28 @@ from pyspark.sql import functions as F
 LOW_BITS = 20
 
 
+# Why an amount is no whole number of units. Beyond MOST_UNITS a double no longer tells units apart.
+NAN, INFINITE, TOO_LARGE, FINER = "nan", "infinite", "too_large", "finer_than_unit"
+MOST_UNITS = float(1 << 53)
+
+
 def whole_units(column: Column, per_one: int = 100) -> Column:
-    """Amount as a whole number of units, ``per_one`` of them making 1. Finer decimals are rounded away, to even."""
-    return F.rint(column * F.lit(float(per_one))).cast("bigint")
+    """Amount as a whole number of units, ``per_one`` of them making 1; null where there is none that fits a long. Finer decimals are rounded away, to even."""
+    return F.rint(column * F.lit(float(per_one))).try_cast("bigint")
+
+
+def fits_units(amount: Column, per_one: int = 100) -> Column:
+    """A finite amount of at most MOST_UNITS units."""
+    return ~F.isnan(amount) & (F.abs(amount * F.lit(float(per_one))) <= MOST_UNITS)
+
+
+def unit_problem(amount: Column, per_one: int = 100) -> Column:
+    """What keeps a double from being a whole number of units, null if nothing does."""
+    nearest = F.rint(amount * F.lit(float(per_one))) / F.lit(float(per_one))
+    return (
+        F.when(F.isnan(amount), NAN).when(F.abs(amount) == F.lit(float("inf")), INFINITE)
+        .when(~fits_units(amount, per_one), TOO_LARGE).when(nearest != amount, FINER)
+    )
 
 
 def total_sql(kind: str, name: str, condition: str = "") -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.functions.units import scaled, total, total_sql
+from municipia.operators.cells import SUFFIX
 from municipia.operators.classify import classify_group
 from municipia.operators.filters import drop_null_keys
 
@@ -38,8 +39,8 @@ def yield_weighted(p: Column | None = None, a: Column | None = None) -> Column:
 
 
 def _summed(df: DataFrame, name: str) -> Column:
-    """The number of yields is a count and stays one; everything else may be whole units."""
-    return F.sum(name).alias(name) if name == "r_n" else total(df, name)
+    """Numbers of yields and of bad cells are counts and stay so; everything else may be whole units."""
+    return F.sum(name).alias(name) if name == "r_n" or name.endswith(SUFFIX) else total(df, name)
 
 
 def rollup(fact: DataFrame, keys: Sequence[str], sums: Sequence[str] = CROP_SUMS) -> DataFrame:
@@ -53,12 +54,12 @@ def rollup_base(fact: DataFrame, keys: Sequence[str] = ("uf", "mic", "mun", "cat
 
 
 def rollup_state_category(fact: DataFrame, uf: str = "uf", category: str = "category", year: str = "year",
-                          per_one: Mapping[str, int] | None = None) -> DataFrame:
+                          per_one: Mapping[str, int] | None = None, counts: Sequence[str] = ()) -> DataFrame:
     """Per state, category and year: sums, the plain mean of yields, and the area-weighted yield.
 
-    ``per_one`` names the units of measures that are whole counts; the sums are then amounts.
+    ``per_one`` names the units of measures that are whole counts; the sums are then amounts. ``counts`` are added up beside them.
     """
-    summed = scaled(rollup(fact, [uf, category, year], (*CROP_SUMS, *YIELD_PARTS)), per_one or {})
+    summed = scaled(rollup(fact, [uf, category, year], (*CROP_SUMS, *YIELD_PARTS, *counts)), per_one or {})
     return summed.withColumns({"r_mean": yield_mean(), "r_weighted": yield_weighted()})
 
 
@@ -111,7 +112,7 @@ def rollup_levels(fact: DataFrame, levels: Sequence[str] = ("uf", "mic", "mun"),
     fine = drop_null_keys(fact, [category, year]).groupBy(*levels, category, year).agg(*[_summed(fact, c) for c in sums])
     sets = [[level, category, year] for level in levels]
     grouped = fine.groupingSets(sets, *levels, category, year).agg(
-        F.grouping_id(*levels, category, year).alias("_gid"), *[total(fine, c) for c in sums]
+        F.grouping_id(*levels, category, year).alias("_gid"), *[_summed(fine, c) for c in sums]
     )
     columns = [*levels, category, year]
     ids = {level: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in (level, category, year)) for level in levels}

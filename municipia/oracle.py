@@ -357,3 +357,52 @@ ORACLES: dict[str, str] = {
                  FROM (SELECT DISTINCT uf FROM fact) LEFT JOIN t USING (uf) GROUP BY uf)
         SELECT '{{"ano":1998,"metrica":"a","uf":"BR","data":{{' || string_agg(m, ',' ORDER BY uf) || '}}}}' AS document FROM maps""",
 }
+
+_STATE_CODES = ", ".join(f"({n}, '{s[0]}', '{s[1]}')" for n, s in enumerate(fixed.STATES))
+_CROP_FILE = f"""codes(n, uf_code, uf) AS (VALUES {_STATE_CODES}), {_GROUPS},
+lines AS (
+  SELECT uf, uf || '-' || c_mktsegment AS mic, uf_code || c_custkey AS mun, p_brand AS category, year(o_orderdate) AS year, c_custkey % 97 = 5 AS a_bad,
+         c_custkey % 89 = 7 AS p_bad, c_custkey % 13 = 2 AS v_nan, false AS v_bad, CAST(l_quantity AS DECIMAL(12,2)) AS a, CAST(l_extendedprice AS DECIMAL(12,2)) AS p,
+         CASE WHEN c_custkey % 13 <> 2 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS v, CAST(p_retailprice AS DECIMAL(12,2)) AS r
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN codes ON c_nationkey = n),
+classed AS (SELECT lines.*, kind, CASE WHEN COL = 1 THEN 'COL' WHEN kind = 'TEM' THEN 'TRA' ELSE 'PER' END AS grp FROM lines JOIN groups USING (category)),
+years AS (SELECT year, CAST(row_number() OVER (ORDER BY year) - 1 AS INTEGER) AS position FROM (SELECT DISTINCT year FROM lines))"""
+
+
+def _published(measure: str) -> str:
+    return f"CAST(printf('%.1f', CASE WHEN bool_or({measure}_bad) THEN 0 ELSE coalesce(CAST(sum({measure}) AS DOUBLE), 0) END) AS DOUBLE)"
+
+
+def _section(name: str, source: str, key: str, member: str, yields: str = "CAST(NULL AS DOUBLE)") -> str:
+    """Dense series of one section: every key and member in every year."""
+    r = "coalesce(r, 0)" if name == "est_data" else "r"
+    return f"""SELECT '{name}' AS section, g.key, g.member, position, coalesce(a, 0) AS a, coalesce(p, 0) AS p, coalesce(v, 0) AS v, {r} AS r, CAST(NULL AS VARCHAR) AS entry
+        FROM (SELECT DISTINCT {key} AS key, {member} AS member FROM {source}) g CROSS JOIN years y LEFT JOIN (
+          SELECT {key} AS key, {member} AS member, year, {', '.join(f'{_published(m)} AS {m}' for m in 'apv')}, {yields} AS r FROM {source} GROUP BY 1, 2, 3
+        ) c ON c.key = g.key AND c.member IS NOT DISTINCT FROM g.member AND c.year = y.year"""
+
+
+def _list(name: str, condition: str) -> str:
+    return f"""SELECT '{name}', NULL, NULL, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER), NULL, NULL, NULL, NULL, category
+        FROM (SELECT DISTINCT category FROM classed WHERE {condition})"""
+
+
+ORACLES["crop_package"] = f"""WITH {_CROP_FILE},
+members AS (
+  SELECT *, 'ALL' AS member FROM classed UNION ALL SELECT *, kind FROM classed UNION ALL SELECT *, grp FROM classed WHERE grp IN ('COL', 'TRA')
+  UNION ALL SELECT *, category FROM classed WHERE grp = 'COL'),
+fixed_groups AS (SELECT * FROM members WHERE member IN ('TEM', 'PER', 'COL', 'TRA'))
+{_section("est_data", "classed", "uf", "category", "CAST(printf('%.2f', CAST(sum(r) AS DOUBLE) / count(r)) AS DOUBLE)")}
+UNION ALL {_section("mic_data", "members", "mic", "member")}
+UNION ALL {_section("mun_data", "classed", "mun", "CAST(NULL AS VARCHAR)")}
+UNION ALL {_section("mun_grp_data", "fixed_groups", "mun", "member")}
+UNION ALL {_list("culturas", "true")} UNION ALL {_list("colheitadeiras", "grp = 'COL'")} UNION ALL {_list("tratores", "kind = 'TEM' AND grp <> 'COL'")}
+UNION ALL {_list("permanentes", "kind = 'PER'")} UNION ALL {_list("temporarias", "kind = 'TEM'")}
+UNION ALL SELECT 'anos', NULL, NULL, position, NULL, NULL, NULL, NULL, CAST(year AS VARCHAR) FROM years"""
+
+ORACLES["rejected_crop_cells"] = f"""WITH {_CROP_FILE},
+cells AS (
+  SELECT 'a' AS measure, 'infinite' AS problem, 'Infinity' AS value, mun FROM lines WHERE a_bad
+  UNION ALL SELECT 'p', 'too_large', '1.0E300', mun FROM lines WHERE p_bad UNION ALL SELECT 'v', 'nan', 'NaN', mun FROM lines WHERE v_nan)
+SELECT measure, problem, value, count(*) AS rows, count(DISTINCT mun) AS municipalities FROM cells GROUP BY ALL
+UNION ALL SELECT NULL, NULL, 'cell ' || problem || ': ' || measure, count(*), NULL FROM cells GROUP BY measure, problem"""

@@ -17,7 +17,7 @@ from municipia.functions import cleaning, labels
 from municipia.functions.units import scaled, total, whole_units
 from municipia.operators import choropleth, classify, dims, filters, kpi, lookups, quality, rank, rollup, series
 from municipia.params import Selection
-from municipia.plans import standin
+from municipia.plans import roundtrips, standin
 from municipia.plans.explorer import Explorer
 from municipia.session import tune
 from municipia.sinks import exports, files
@@ -789,3 +789,18 @@ def kpi_livestock_known(spark, folder):
 def export_document(spark, folder):
     """The complete export of a year as one document."""
     return explorer(spark, folder, "uf", "category", "year", "a").export_document(Selection(metric="a", year=1998))
+
+
+# -- batches from file to file --------------------------------------------------------------------------------
+
+
+@query
+def crop_package(spark, folder):
+    """The published crop package of the line items, some cells of which are no usable numbers."""
+    return roundtrips.crop_package(spark, folder)
+
+
+@query
+def rejected_crop_cells(spark, folder):
+    """What the crop batch keeps out of its sums."""
+    return roundtrips.rejected_crop_cells(spark, folder)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.functions.units import scaled, whole_units
+from municipia.operators.cells import bad_counts, cell_report, fit_cells, poisoned, unfit_cells
 from municipia.operators.classify import bootstrap_groups, categories_of_kind, combine_categories, extend_groups, tractor_categories
 from municipia.operators.dims import micro_dim, municipality_dim, state_dim
 from municipia.operators.lookups import derive_parent_code, states
@@ -24,19 +25,28 @@ from municipia.sinks.tables import materialise
 MEASURES = ["a", "p", "v"]
 # The survey's amounts have three decimals at most; sums of thousandths do not depend on row order.
 UNITS = dict.fromkeys([*MEASURES, "r_sum"], 1_000)
+BAD = bad_counts([*MEASURES, "r"])
+# Published measures and what they are made of.
+MADE_OF = {m: [m] for m in MEASURES}
 
 
 def in_units(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: whole_units(F.col(c), n) for c, n in UNITS.items() if c in df.columns})
+    """Amounts as thousandths. A sum too large for that counts as a bad cell."""
+    columns = {}
+    for c, n in UNITS.items():
+        units = whole_units(F.col(c), n)
+        bad = f"{c.removesuffix('_sum')}_bad"
+        columns |= {c: units, bad: F.coalesce(F.col(bad), F.lit(0)) + F.when(F.col(c).isNotNull() & units.isNull(), 1).otherwise(0)}
+    return df.withColumns(columns)
 
 
 def clean_crop_fact(fact: DataFrame) -> DataFrame:
-    """State from the municipality code, yields as sum and count.
+    """State from the municipality code, yields as sum and count, and only cells that can be summed.
 
-    Rows without a state, category or year stay, with ``rejected`` = 1.
+    Rows without a state, category or year stay, with ``rejected`` = 1. ``bad_cells`` lists the cells that are no numbers, or not as they were.
     """
     known = F.broadcast(states(fact.sparkSession))  # 27 rows
-    located = derive_parent_code(fact, known)
+    located = derive_parent_code(fit_cells(fact, dict.fromkeys([*MEASURES, "r"], UNITS["a"])), known)
     lacking = F.col("uf").isNull() | F.col("category").isNull() | F.col("year").isNull()
     return with_yield_parts(located).withColumn("rejected", lacking.cast("int"))
 
@@ -45,25 +55,29 @@ def clean_crop_fact(fact: DataFrame) -> DataFrame:
 class CropTables:
     """Everything the crop package and the interactive questions read."""
 
-    base: DataFrame  # uf, mic, mun, category, year, a, p, v, r_sum, r_n
+    base: DataFrame  # uf, mic, mun, category, year, a, p, v, r_sum, r_n, and the number of bad cells in each
     groups: DataFrame
     years: list[int]
     states: DataFrame
     micros: DataFrame
     municipalities: DataFrame
     quality: DataFrame  # name, rows
+    rejected_cells: DataFrame  # mun, uf, category, year, measure, problem, value
+
+    sums = (*MEASURES, *bad_counts(MEASURES))
 
     def state_category(self) -> DataFrame:
-        return rollup_state_category(in_units(self.base), per_one=UNITS)
+        cells = rollup_state_category(in_units(self.base), per_one=UNITS, counts=BAD)
+        return poisoned(cells, {**MADE_OF, "r_mean": ["r"], "r_weighted": ["p", "a"]})
 
     def micro_groups(self) -> DataFrame:
-        return scaled(rollup_membership(in_units(self.base), self.groups, "mic"), UNITS)
+        return poisoned(scaled(rollup_membership(in_units(self.base), self.groups, "mic", sums=self.sums), UNITS), MADE_OF)
 
     def municipality(self) -> DataFrame:
-        return scaled(rollup(in_units(self.base), ["mun", "year"], MEASURES), UNITS)
+        return poisoned(scaled(rollup(in_units(self.base), ["mun", "year"], self.sums), UNITS), MADE_OF)
 
     def municipality_groups(self) -> DataFrame:
-        return scaled(rollup_membership_wide(in_units(self.base), self.groups, "mun", MEASURES), UNITS)
+        return poisoned(scaled(rollup_membership_wide(in_units(self.base), self.groups, "mun", self.sums), UNITS), MADE_OF)
 
 
 def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run_id: str | None = None, groups_folder: str | None = None) -> CropTables:
@@ -80,8 +94,10 @@ def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run
     if groups is None:
         groups = bootstrap_groups(kept)
     # The rebalance hint groups rows by year for the writer and splits a year that is large.
-    base = materialise(scaled(rollup_base(in_units(kept)), UNITS).hint("rebalance", "year"), f"{work_folder}/base", "year")
-    report = materialise(crop_checks(cleaned, groups), f"{work_folder}/quality")
+    sums = (*MEASURES, "r_sum", "r_n", *BAD)
+    base = materialise(scaled(rollup_base(in_units(kept), sums=sums), UNITS).hint("rebalance", "year"), f"{work_folder}/base", "year")
+    unfit = materialise(unfit_cells(cleaned, ["mun", "uf", "category", "year"]), f"{work_folder}/rejected_cells")
+    report = materialise(crop_checks(cleaned, groups).unionByName(cell_report(unfit)), f"{work_folder}/quality")
     extended = materialise(extend_groups(base, groups), f"{work_folder}/groups", run_id=run_id)
     if groups_folder:
         save_category_groups(extended, groups_folder)
@@ -93,11 +109,12 @@ def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run
         micros=materialise(micro_dim(kept), f"{work_folder}/micros"),
         municipalities=materialise(municipality_dim(kept), f"{work_folder}/municipalities"),
         quality=report,
+        rejected_cells=unfit,
     )
 
 
 def write_crop_package(tables: CropTables, folder: str) -> None:
-    """The thirteen sections of the crop package, and the quality report beside them."""
+    """The thirteen sections of the crop package, and beside them the quality report and the cells that were left out or rounded."""
     spark, years = tables.base.sparkSession, tables.years
     sections = {
         "anos": packages.years_section(spark, years),
@@ -118,3 +135,4 @@ def write_crop_package(tables: CropTables, folder: str) -> None:
     for name, section in sections.items():
         packages.write_section(section, f"{folder}/{name}")
     write_csv(tables.quality, f"{folder}/quality")
+    write_csv(tables.rejected_cells, f"{folder}/rejected_cells")

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia import schemas
-from municipia.functions.units import scaled, total, whole_units
+from municipia.functions.units import scaled, whole_units
+from municipia.operators.cells import bad_counts, cell_report, fit_cells, poisoned, unfit_cells
 from municipia.operators.filters import exclude_categories, normalise_measures
 from municipia.operators.lookups import attach
 from municipia.operators.quality import expected_slices, missing_slices
-from municipia.operators.rollup import distinct_domain, rollup_levels, union_all
+from municipia.operators.rollup import distinct_domain, rollup_base, rollup_levels, union_all
 from municipia.operators.series import known_years
 from municipia.sinks import files, packages
 from municipia.sinks.tables import materialise
@@ -21,10 +22,16 @@ from municipia.sources.files import consolidate_table, read_raw_slices, rejected
 
 MEASURES = ["q", "v"]
 UNITS = dict.fromkeys(MEASURES, 1_000)
+SUMS = (*MEASURES, *bad_counts(MEASURES))
 
 
 def in_units(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: whole_units(F.col(c), n) for c, n in UNITS.items()})
+    """Amounts as thousandths. A sum too large for that counts as a bad cell."""
+    columns = {}
+    for c, n in UNITS.items():
+        units = whole_units(F.col(c), n)
+        columns |= {c: units, f"{c}_bad": F.coalesce(F.col(f"{c}_bad"), F.lit(0)) + F.when(F.col(c).isNotNull() & units.isNull(), 1).otherwise(0)}
+    return df.withColumns(columns)
 
 
 def export_consolidated(spark: SparkSession, raw_folder: str, out_folder: str, last_year: int | None = None) -> DataFrame:
@@ -50,20 +57,28 @@ def export_consolidated(spark: SparkSession, raw_folder: str, out_folder: str, l
 def clean_livestock(wide: DataFrame, mapping: DataFrame) -> DataFrame:
     """One (q, v) pair per row with its micro-region; totals over mixed units go.
 
-    Rows whose municipality has no micro-region stay, with ``rejected`` = 1.
+    Rows whose municipality has no micro-region stay, with ``rejected`` = 1. NaN cells are missing, so a quantity takes the place of such a head-count; an infinite
+    or too large head-count keeps its place. ``bad_cells`` lists them all.
     """
-    pairs = normalise_measures(exclude_categories(wide, ["Total"]))
+    measures = [c for c in schemas.LIVESTOCK_MEASURES if c in wide.columns]
+    fitted = fit_cells(exclude_categories(wide, ["Total"]), dict.fromkeys(measures, UNITS["q"]))
+    lacking = F.lit(0).cast("bigint")
+    head, quantity, value = (F.col(f"{c}_bad") if c in measures else lacking for c in schemas.LIVESTOCK_MEASURES)
+    no_head = F.col(schemas.LIVESTOCK_MEASURES[0]).isNull() if schemas.LIVESTOCK_MEASURES[0] in measures else F.lit(True)
+    counted = fitted.withColumns({"q_bad": F.when(head > 0, head).when(no_head, quantity).otherwise(lacking), "v_bad": value})
+    pairs = normalise_measures(counted.drop(*bad_counts(measures))).withColumn("q", F.when(F.col("q_bad") == 0, F.col("q")))
     return attach(pairs, mapping, "mun", ["mic"]).withColumn("rejected", F.col("mic").isNull().cast("int"))
 
 
 @dataclass(frozen=True)
 class LivestockTables:
-    base: DataFrame  # uf, mic, mun, kind, category, year, q, v
+    base: DataFrame  # uf, mic, mun, kind, category, year, q, v, and the number of bad cells in each
     years: list[int]
     quality: DataFrame  # category, rows, rejected_rows
+    rejected_cells: DataFrame  # mun, category, year, measure, problem, value
 
     def levels(self) -> DataFrame:
-        return scaled(rollup_levels(in_units(self.base)), UNITS)
+        return poisoned(scaled(rollup_levels(in_units(self.base), sums=SUMS), UNITS), {m: [m] for m in MEASURES})
 
     def categories(self, kind: str) -> DataFrame:
         return distinct_domain(self.base.where(F.col("kind") == kind), "category")
@@ -74,16 +89,18 @@ def livestock_tables(wide: DataFrame, mapping: DataFrame, work_folder: str, run_
     cleaned = materialise(clean_livestock(wide, mapping), f"{work_folder}/livestock_fact", "rejected", run_id=run_id)
     kept = cleaned.where(F.col("rejected") == 0).dropna(subset=["category", "year"])
     keys = ["uf", "mic", "mun", "kind", "category", "year"]
-    units = in_units(kept)
-    summed = scaled(units.groupBy(*keys).agg(*[total(units, c) for c in MEASURES]), UNITS)
+    summed = scaled(rollup_base(in_units(kept), keys, SUMS), UNITS)
+    unfit = materialise(unfit_cells(cleaned, ["mun", "category", "year"]), f"{work_folder}/rejected_cells")
     report = cleaned.groupBy("category").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected") == 1).alias("rejected_rows"))
     base = materialise(summed.hint("rebalance", "year"), f"{work_folder}/livestock", "year")
-    return LivestockTables(base, known_years(base), materialise(report, f"{work_folder}/quality"))
+    return LivestockTables(base, known_years(base), materialise(report, f"{work_folder}/quality"), unfit)
 
 
 def write_livestock_package(tables: LivestockTables, folder: str) -> None:
-    """The six sections of the livestock package, and the quality report beside them."""
+    """The six sections of the livestock package, and beside them the quality report and the cells that were left out or rounded."""
     files.write_csv(tables.quality, f"{folder}/quality")
+    files.write_csv(tables.rejected_cells, f"{folder}/rejected_cells")
+    files.write_csv(cell_report(tables.rejected_cells), f"{folder}/quality_cells")
     spark, years = tables.base.sparkSession, tables.years
     packages.write_section(packages.years_section(spark, years), f"{folder}/anos")
     packages.write_section(packages.list_section(tables.categories("Rebanho"), "category"), f"{folder}/rebanho_categorias")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,7 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
+    elif context.master == "local" or context.master.startswith("local["):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="municipia-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def run_folder(spark: SparkSession, stem: str) -> str:
+    """A folder of its own for one run, in the folder all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{stem}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia.operators.series import nest_package, pack_series
-from municipia.sinks.files import round_measures
+from municipia.sinks.files import round_measures, sanitize_measures
 
 
 def write_section(section: DataFrame, path: str) -> None:
@@ -21,13 +21,13 @@ def write_section(section: DataFrame, path: str) -> None:
 
 def nested_section(rollup: DataFrame, key: str, member: str, measures: Sequence[str], years: Sequence[int]) -> DataFrame:
     """key -> member -> measure -> array of yearly values, rounded for publication."""
-    packed = pack_series(round_measures(rollup), [key, member], measures, years)
+    packed = pack_series(round_measures(sanitize_measures(rollup)), [key, member], measures, years)
     return nest_package(packed, key, member, measures).select(F.col(key).cast("string").alias("key"), F.col("package").alias("value"))
 
 
 def flat_section(rollup: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int]) -> DataFrame:
     """Key columns -> measure -> array. Several key columns make the key a structure."""
-    packed = pack_series(round_measures(rollup), keys, measures, years)
+    packed = pack_series(round_measures(sanitize_measures(rollup)), keys, measures, years)
     key = F.col(keys[0]).cast("string") if len(keys) == 1 else F.struct(*keys)
     return packed.select(key.alias("key"), F.struct(*measures).alias("value"))
 

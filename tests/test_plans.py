@@ -389,3 +389,51 @@ def test_sections_cover_every_key_once(spark, tables, tmp_path):
     for row in spark.read.text(f"{tmp_path}/mun_data").collect():
         counts[json.loads(row.value)["key"]] += 1
     assert set(counts.values()) == {1} and len(counts) == 18
+
+
+UNFIT = [float("nan"), float("inf"), float("-inf"), 1e300, 0.1234]
+
+
+def test_bad_cells_are_left_out_counted_and_published_as_0(spark, tmp_path):
+    """Every kind of bad cell in every measure: NaN is missing, an infinite or too large cell makes its sums 0, finer ones are rounded."""
+    rows, expected = [], {}
+    for i, value in enumerate(UNFIT):
+        for j, measure in enumerate("apvr"):
+            mun, cell = f"35{i}{j:04d}", [1.0, 2.0, 3.0, 4.0]
+            cell[j] = value
+            rows.append((mun, "SP", f"35{i}", "m", "m", "m", 2020, f"C{j}", *cell, "x"))
+            rows.append((mun, "SP", f"35{i}", "m", "m", "m", 2021, f"C{j}", 1.0, 2.0, 3.0, 4.0, "x"))
+            expected[mun] = {m: [round(cell["apvr".index(m)], 1) if abs(cell["apvr".index(m)]) < 1e9 else 0.0, [1.0, 2.0, 3.0][k]] for k, m in enumerate("apv")}
+    rows.append(("3599999", "SP", "35z", "m", "m", "m", 2020, "C0", 5.0, 5.0, 5.0, None, "x"))  # a good cell of the same state and category
+    lookup = spark.createDataFrame([(f"C{j}", "TEM", j % 2) for j in range(4)], "category string, kind string, COL int")
+    made = crop.crop_tables(spark.createDataFrame(rows, FACT), lookup, str(tmp_path / "work"))
+    report = {r["name"]: r["rows"] for r in made.quality.collect()}
+    for measure in "apvr":
+        assert [report[f"cell {p}: {measure}"] for p in ("nan", "infinite", "too_large", "finer_than_unit")] == [1, 2, 1, 1]
+    cells = made.rejected_cells.collect()
+    assert len(cells) == 20 and {c.value for c in cells} == {"NaN", "Infinity", "-Infinity", "1.0E300", "0.1234"}
+    crop.write_crop_package(made, str(tmp_path / "package"))
+    muns = read_section(spark, tmp_path / "package", "mun_data")
+    assert {k: v for k, v in muns.items() if k != "3599999"} == expected and muns["3599999"]["a"] == [5.0, 0.0]
+    state = read_section(spark, tmp_path / "package", "est_data")["SP"]
+    assert [state["C0"][m][0] for m in "apvr"] == [0, 15.0, 20.0, 4.0]  # an infinite area among the state's; the yields' mean
+    assert state["C0"]["a"][1] == 5.0 and state["C3"]["r"] == [0, 4.0] and state["C3"]["a"] == [5.0, 5.0]
+    for section, key in (("mic_data", "351"), ("mun_grp_data", json.dumps({"grp": "TEM", "mun": "3510000"}))):
+        value = read_section(spark, tmp_path / "package", section)[key]
+        assert (value["ALL"] if section == "mic_data" else value)["a"][0] == 0
+
+
+def test_bad_livestock_cells(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    cells = [(nan, 7.0, 1.0), (inf, 7.0, 1.0), (None, 1e300, nan), (3.0, inf, -inf), (None, None, 0.00051)]
+    rows = [(f"35{i:05d}", "M", "SP", "R", 2020, "Rebanho", "1", "Bovino", *c) for i, c in enumerate(cells)]
+    mapping = spark.createDataFrame([(r[0], "35001") for r in rows], "mun string, mic string")
+    made = livestock.livestock_tables(spark.createDataFrame(rows, LIVE), mapping, str(tmp_path / "work"))
+    livestock.write_livestock_package(made, str(tmp_path / "package"))
+    muns = {k: (v["Bovino"]["q"][0], v["Bovino"]["v"][0]) for k, v in read_section(spark, tmp_path / "package", "mun_data").items()}
+    assert [muns[r[0]] for r in rows] == [(7.0, 1.0), (0.0, 1.0), (0.0, 0.0), (3.0, 0.0), (0.0, 0.0)]
+    assert read_section(spark, tmp_path / "package", "est_data")["SP"]["Bovino"] == {"q": [0.0], "v": [0.0]}
+    assert made.rejected_cells.count() == 7
+    # Columns that a file lacks are no cells.
+    narrow = spark.createDataFrame(rows, LIVE).drop("Efetivo_Cabecas", "Valor_mil_reais")
+    assert livestock.clean_livestock(narrow, mapping).agg(F.sum("q"), F.sum("q_bad"), F.sum("v_bad")).first()[:] == (14.0, 2, 0)
