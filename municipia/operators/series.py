@@ -20,28 +20,75 @@ def outside_years(df: DataFrame, years: Sequence[int], year: str = "year") -> Da
     return df.where(~listed).groupBy(year).agg(F.count(F.lit(1)).alias("left_out"))
 
 
+# An aggregate of more fields than this leaves Spark's generated code (spark.sql.codegen.maxFields is 100).
+FIELDS = 90
+MASK_BITS = 63
+
+
+def _slot_width(years: Sequence[int], keys: Sequence[str], per_year: int) -> int:
+    """How many calendar years share a row of slots: all of them while the aggregate stays narrow, else as many as fit, 8 at most."""
+    if not years or len(years) * per_year + len(keys) <= FIELDS:
+        return 0
+    return max(1, min(8, (FIELDS - len(keys) - 1) // per_year))
+
+
+def _slot_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str, width: int) -> DataFrame:
+    """Per key and block of ``width`` calendar years a sum and a row count for every slot, in one narrow aggregate. Years outside the list are block -1."""
+    kinds, first = dict(df.dtypes), min(years)
+    listed = F.col(year).isin(*years)
+    placed = df.where(F.col(year).isNotNull()).withColumns({
+        "_block": F.when(listed, F.expr(f"CAST((`{year}` - {first}) div {width} AS INT)")).otherwise(-1),
+        "_slot": F.when(listed, F.expr(f"CAST((`{year}` - {first}) % {width} AS INT)"))})
+    cells = []
+    for i in range(width):
+        cells.append(F.expr(f"count_if(_slot = {i})").alias(f"_n{i}"))
+        cells += [F.expr(total_sql(kinds[m], m, f"_slot = {i}")).alias(f"_{m}{i}") for m in measures]
+    return placed.groupBy(*keys, "_block").agg(*cells)
+
+
 def pack_series(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
     """One array per measure, position = year index, 0 = missing.
 
     Every element is a conditional sum, so rows combine on the map side and rows of one key and year add
-    up: a fact that is not rolled up yet is packed within one shuffle. ``outside_years`` tells what a list leaves out.
+    up: a fact that is not rolled up yet is packed within one shuffle. ``outside_years`` tells what a list leaves out. Where years and measures are too many for
+    one aggregate, rows are packed into blocks of years first, and a key's few blocks are put together in a second step.
     """
-    kinds = dict(df.dtypes)
+    kinds, years = dict(df.dtypes), [int(y) for y in years]
+    width = _slot_width(years, keys, 2 * len(measures) + 1)
+    if width:
+        return _pack_blocks(df, keys, measures, years, year, width)
 
     def array_of(measure: str) -> Column:
-        elements = ", ".join(f"coalesce({total_sql(kinds[measure], measure, f'`{year}` = {int(y)}')}, 0)" for y in years)
+        elements = ", ".join(f"coalesce({total_sql(kinds[measure], measure, f'`{year}` = {y}')}, 0)" for y in years)
         return F.expr(f"array({elements})").alias(measure)
 
     return df.where(F.col(year).isNotNull()).groupBy(*keys).agg(*[array_of(m) for m in measures])
 
 
+def _pack_blocks(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str, width: int) -> DataFrame:
+    first = min(years)
+    slots = _slot_sums(df, keys, measures, years, year, width)
+    arrays = [F.expr(f"array({', '.join(f'coalesce(`_{m}{i}`, 0)' for i in range(width))})").alias(m) for m in measures]
+    blocks = slots.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_block", F.struct(*arrays)))).alias("_blocks"))
+    places = F.array(*[F.struct(F.lit((y - first) // width).alias("b"), F.lit((y - first) % width + 1).alias("s")) for y in years])
+
+    def array_of(measure: str) -> Column:
+        zero = F.lit(0).cast(dict(slots.dtypes)[f"_{measure}0"])
+        return F.transform(places, lambda p: F.coalesce(F.try_element_at(F.try_element_at("_blocks", p["b"])[measure], p["s"]), zero)).alias(measure)
+
+    return blocks.select(*keys, *[array_of(m) for m in measures])
+
+
 def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
     """One row per key and year: 0 where absent, with ``is_observed`` to tell zero from missing.
 
     Conditional sums and counts per year as in ``pack_series``, unfolded to rows: one shuffle, no collected lists. Without keys
-    there is one series, also for an empty input.
+    there is one series, also for an empty input. Too many years for one aggregate are summed in blocks; a mask of each key's blocks, the only thing
+    shuffled again, tells which are missing.
     """
     kinds, years = dict(df.dtypes), [int(y) for y in years]
+    if width := _slot_width(years, keys, 2 * len(measures) + 1):
+        return _densify_blocks(df, keys, measures, years, year, width)
     cells = []
     for i, y in enumerate(years):
         cells.append(F.expr(f"count_if(`{year}` = {y})").alias(f"_n{i}"))
@@ -53,6 +100,22 @@ def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years:
     return wide.select(*keys, F.expr(f"inline(array({', '.join(f'struct({f})' for f in fields)}))"))
 
 
+def _densify_blocks(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str, width: int) -> DataFrame:
+    first = min(years)
+    wanted = sorted({(y - first) // width for y in years})
+    slots = _slot_sums(df, keys, measures, years, year, width)
+    fields = [", ".join([f"{first} + _block * {width} + {i} AS `{year}`", *[f"coalesce(`_{m}{i}`, 0) AS `{m}`" for m in measures], f"`_n{i}` > 0 AS is_observed"]) for i in range(width)]
+    seen = slots.where("_block >= 0").select(*keys, F.expr(f"inline(array({', '.join(f'struct({f})' for f in fields)}))"))
+    masks = [F.expr(f"coalesce(bit_or(CASE WHEN _block >= 0 AND _block div {MASK_BITS} = {j} THEN shiftleft(1L, _block % {MASK_BITS}) END), 0L)").alias(f"_mask{j}")
+             for j in range(max(wanted) // MASK_BITS + 1)]
+    held = slots.groupBy(*keys).agg(*masks)
+    tests = " + ".join(f"CASE WHEN b div {MASK_BITS} = {j} THEN shiftright(_mask{j}, b % {MASK_BITS}) & 1 ELSE 0 END" for j in range(len(masks)))
+    missing = f"filter(array({', '.join(map(str, wanted))}), b -> ({tests}) = 0)"
+    empty = held.select(*keys, F.expr(f"explode({missing})").alias("_block")).select(*keys, F.expr(f"explode(sequence({first} + _block * {width}, {first} + _block * {width} + {width - 1}))").alias(year))
+    zeros = [F.lit(0).cast(dict(seen.dtypes)[m]).alias(m) for m in measures]
+    return seen.unionByName(empty.select(*keys, year, *zeros, F.lit(False).alias("is_observed"))).where(F.col(year).isin(*years))
+
+
 def yearly_totals(df: DataFrame, measures: Sequence[str], years: Sequence[int], year: str = "year", keys: Sequence[str] = ()) -> DataFrame:
     """Dense series of sums over whatever rows ``df`` holds."""
     return densify(df, keys, measures, years, year)

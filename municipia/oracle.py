@@ -406,3 +406,17 @@ cells AS (
   UNION ALL SELECT 'p', 'too_large', '1.0E300', mun FROM lines WHERE p_bad UNION ALL SELECT 'v', 'nan', 'NaN', mun FROM lines WHERE v_nan)
 SELECT measure, problem, value, count(*) AS rows, count(DISTINCT mun) AS municipalities FROM cells GROUP BY ALL
 UNION ALL SELECT NULL, NULL, 'cell ' || problem || ': ' || measure, count(*), NULL FROM cells GROUP BY measure, problem"""
+
+_QUARTERS = f"""{_FACT},
+quarterly AS (
+  SELECT mic, n_name AS uf, p_brand AS category, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS INTEGER) AS quarter, CAST(l_quantity AS DECIMAL(12,2)) AS a,
+         CAST(l_extendedprice AS DECIMAL(12,2)) AS p, CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS v
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN places ON o_custkey = mun JOIN nation ON n_name = uf),
+quarters AS (SELECT DISTINCT CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS INTEGER) AS quarter FROM orders)"""
+_ZEROED = ", ".join(f"coalesce({m}, 0) AS {m}" for m in "apv")
+
+ORACLES["dense_quarters"] = f"""WITH {_QUARTERS}, cells AS (SELECT mic, quarter, {_dbl('a', 'p', 'v')}, count(*) AS n FROM quarterly GROUP BY ALL)
+SELECT mic, quarter, {_ZEROED}, n IS NOT NULL AS is_observed FROM (SELECT DISTINCT mic FROM cells) CROSS JOIN quarters LEFT JOIN cells USING (mic, quarter)"""
+ORACLES["packed_quarters"] = f"""WITH {_QUARTERS}, cells AS (SELECT uf, category, quarter, {_dbl('a', 'p', 'v')} FROM quarterly GROUP BY ALL),
+numbered AS (SELECT quarter, CAST(row_number() OVER (ORDER BY quarter) - 1 AS INTEGER) AS period FROM quarters)
+SELECT uf, category, period, {_ZEROED} FROM (SELECT DISTINCT uf, category FROM cells) CROSS JOIN numbered LEFT JOIN cells USING (uf, category, quarter)"""

@@ -493,6 +493,20 @@ def packed_series(spark, folder):
     return crop_amounts(packed.select("mun", "category", F.posexplode("p").alias("year_index", "p")))
 
 
+@query
+def dense_quarters(spark, folder):
+    """Quarters as periods: a list too long for one aggregate, summed in blocks."""
+    fact = standin.crop_fact(spark, folder, "mic", "quarter", "a", "p", "v")
+    return crop_amounts(series.densify(fact, ["mic"], CROP, standin.quarters(spark, folder), year="quarter"))
+
+
+@query
+def packed_quarters(spark, folder):
+    fact = standin.crop_fact(spark, folder, "uf", "category", "quarter", "a", "p", "v")
+    packed = series.pack_series(fact, ["uf", "category"], CROP, standin.quarters(spark, folder), year="quarter")
+    return crop_amounts(packed.select("uf", "category", F.posexplode(F.arrays_zip(*CROP)).alias("period", "x")).select("uf", "category", "period", "x.*"))
+
+
 @query
 def value_at_year(spark, folder):
     years = standin.years(spark, folder)

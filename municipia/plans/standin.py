@@ -69,6 +69,11 @@ def years(spark: SparkSession, folder: str) -> list[int]:
     return known_years(table(spark, folder, "orders").select(F.year("o_orderdate").alias("year")))
 
 
+def quarters(spark: SparkSession, folder: str) -> list[int]:
+    """The quarters of the orders, counted from the year 0."""
+    return known_years(table(spark, folder, "orders").select((F.year("o_orderdate") * 4 + F.quarter("o_orderdate") - 1).alias("year")))
+
+
 def _line_measures() -> dict[str, Column]:
     price, discount = whole_units(F.col("l_extendedprice")), whole_units(F.col("l_discount"))
     return {"a": whole_units(F.col("l_quantity"), 1), "p": price, "v": price * (F.lit(100) - discount), "n": F.lit(1).cast("bigint")}
@@ -85,7 +90,7 @@ def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = T
     them only while their files are small, and splits hot keys of a shuffled join.
     """
     needs_part = bool(PART_COLUMNS.intersection(columns))
-    needs_order = bool({"year", "mun", *PLACE_COLUMNS}.intersection(columns))
+    needs_order = bool({"year", "quarter", "mun", *PLACE_COLUMNS}.intersection(columns))
     measures = {name: column for name, column in _line_measures().items() if name in columns}
     keys = [k for k, needed in (("l_partkey", needs_part), ("l_orderkey", needs_order)) if needed]
     rows = table(spark, folder, "lineitem").select(*keys, *[column.alias(name) for name, column in measures.items()])
@@ -99,7 +104,8 @@ def crop_fact(spark: SparkSession, folder: str, *columns: str, combine: bool = T
         )
         rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
     if needs_order:
-        bought = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("mun"), F.year("o_orderdate").alias("year"))
+        quarter = F.year("o_orderdate") * 4 + F.quarter("o_orderdate") - 1
+        bought = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("mun"), F.year("o_orderdate").alias("year"), quarter.alias("quarter"))
         if PLACE_COLUMNS.intersection(columns):
             bought = bought.join(geography(spark, folder), "mun")
         rows = rows.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))

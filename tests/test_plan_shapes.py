@@ -103,3 +103,21 @@ def test_wide_membership_needs_one_shuffle_after_the_joins(large):
     lines = plan(large, "mun_group_rollup").splitlines()
     join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
     assert sum("Exchange hashpartitioning" in line for line in lines[:join]) == 1
+
+
+@pytest.mark.parametrize("span", [7, 21, 40, 200])
+def test_series_aggregates_run_in_generated_code(spark, span):
+    """However many years there are: wide lists are summed in blocks of years."""
+    from municipia.operators import series
+
+    years = list(range(1900, 1900 + span))
+    df = spark.range(100).selectExpr("id % 7 AS mun", "'c' AS category", "CAST(1900 + id % 50 AS INT) AS year", "id AS a", "id AS p", "id AS v")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for made in (series.densify(df, ["mun", "category"], ["a", "p", "v"], years), series.pack_series(df, ["mun", "category"], ["a", "p", "v"], years)):
+            lines = [x for x in made._jdf.queryExecution().executedPlan().toString().splitlines() if " HashAggregate(" in x]
+            assert len(lines) >= 2 and all("*(" in x for x in lines), lines
+            assert not made._jdf.queryExecution().executedPlan().toString().count("SortAggregate")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

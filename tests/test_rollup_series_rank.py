@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,13 +158,29 @@ def ranked(data, scope_of):
     return {row[1]: i for group in by_scope.values() for i, row in enumerate(sorted(group, key=lambda r: (-r[2], r[1])), 1)}
 
 
-@pytest.mark.parametrize("borders", [0, 3, 64])
-def test_rank_position_with_a_large_scope_and_ties(spark, borders):
+@pytest.mark.parametrize(("per_range", "sample", "one_in"), [(65_536, 4_096, 16), (100, 4_096, 16), (2, 4_096, 1), (10, 5, 2), (7, 500, 3)])
+def test_rank_position_with_a_large_scope_and_ties(spark, per_range, sample, one_in):
     draw = random.Random(2)
     data = [("hot" if i % 3 else f"s{i % 30}", i, float(draw.choice([0, 1, 1, 2, draw.randint(0, 50)]))) for i in range(900)]
     df = spark.createDataFrame(data, "scope string, key int, value double").repartition(5)
-    got = {r.key: r.position for r in rank.rank_position(df, ["scope"], borders=borders).collect()}
+    got = {r.key: r.position for r in rank.rank_position(df, ["scope"], per_range=per_range, sample=sample, one_in=one_in).collect()}
     assert got == ranked(data, lambda r: r[0])
+    gaps = df.withColumn("value", F.when(F.col("key") % 7 != 0, F.col("value")))
+    spots = {r.key: (r.scope, r.position) for r in rank.rank_position(gaps, ["scope"], per_range=per_range, sample=sample, one_in=one_in).collect()}
+    absent = [(scope, spots[key][1]) for scope, key, _ in data if key % 7 == 0]
+    sizes = Counter(scope for scope, _, _ in data)
+    assert len(set(spots.values())) == 900 and sorted(absent) == sorted((s, sizes[s] - i) for s, n in Counter(a[0] for a in absent).items() for i in range(n))
+
+
+def test_rank_ranges_follow_the_rows_of_a_scope(spark):
+    """One scope of equal values and 200,000 rows falls into even ranges; a small one is not cut."""
+    df = spark.range(200_000).selectExpr("'one' AS scope", "id AS key", "0.0D AS value").unionByName(spark.range(9).selectExpr("'two' AS scope", "id AS key", "1.0D AS value"))
+    cuts = {r.scope: r._cuts for r in rank._cut_points(df, ["scope"], "value", "key", 4_000, 4_096, 16).collect()}
+    places = [-1, *(c.k for c in cuts["one"]), 199_999]
+    widths = [b - a for a, b in zip(places, places[1:])]
+    assert list(cuts) == ["one"] and len(widths) == 50 and max(widths) < 3 * 4_000
+    ranked_rows = rank.rank_position(df, ["scope"], per_range=4_000)
+    assert ranked_rows.where("position <> key + 1").count() == 0 and ranked_rows.count() == 200_009
 
 
 def test_top_k_variants(spark, rows):
@@ -218,3 +234,31 @@ def test_missing_slices(spark):
     assert quality.missing_slices(expected, landed).count() == 2 * 21 * 27 - 1
     kept, rejects = quality.reject_null_category(spark.createDataFrame([("a",), (None,)], "category string"))
     assert (kept.count(), rejects.count()) == (1, 1)
+
+
+@pytest.mark.parametrize("years", [list(range(2004, 2025)), [1990, 1999, *range(2004, 2040)], list(range(1500, 2040, 3)), [2004, 2150, 3000]], ids=["21", "38", "180 of 540", "far apart"])
+def test_many_years_in_blocks(spark, years):
+    """Series over more years than one aggregate holds, against a restatement: gaps, keys with other years only, null keys, sums of nothing."""
+    draw = random.Random(3)
+    data = [(draw.choice(["x", "y", None]), draw.choice([*years, 1234]), *(draw.choice([None, draw.randint(0, 99)]) for _ in range(3))) for _ in range(300)]
+    data += [("outside", 1234, 1, 1, 1), ("late", years[-1], 7, None, 0), ("none", None, 1, 1, 1)]
+    df = spark.createDataFrame(data, "k string, year int, a long, p long, v long").withColumn("v", F.col("v").cast("double")).repartition(3)
+    want = {}
+    for k, y, *cells in data:
+        if y is not None:
+            row = want.setdefault(k, {m: [0] * len(years) for m in "apvn"})
+            if y in years:
+                for m, x in zip("apvn", [*cells, 1], strict=True):
+                    row[m][years.index(y)] += x or 0
+    packed = {r.k: r for r in series.pack_series(df, ["k"], ["a", "p", "v"], years).collect()}
+    assert set(packed) == set(want)
+    assert all([float(x) for x in packed[k][m]] == want[k][m] for k in want for m in "apv")
+    long = series.densify(df, ["k"], ["a", "p", "v"], years).collect()
+    assert len(long) == len(want) * len(years)
+    got = {(r.k, r.year): (float(r.a), float(r.p), float(r.v), r.is_observed) for r in long}
+    assert got == {(k, y): (*(float(w[m][i]) for m in "apv"), w["n"][i] > 0) for k, w in want.items() for i, y in enumerate(years)}
+    whole = series.densify(df, [], ["a", "p", "v"], years).orderBy("year").collect()
+    assert [r.a for r in whole] == [sum(w["a"][i] for w in want.values()) for i in range(len(years))]
+    empty = series.densify(df.limit(0), [], ["a", "p", "v"], years).collect()
+    assert sorted(r.year for r in empty) == years and not any(r.is_observed or r.a or r.v for r in empty)
+    assert series.pack_series(df.limit(0), ["k"], ["a", "p", "v"], years).count() == 0
