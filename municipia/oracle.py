@@ -420,3 +420,19 @@ SELECT mic, quarter, {_ZEROED}, n IS NOT NULL AS is_observed FROM (SELECT DISTIN
 ORACLES["packed_quarters"] = f"""WITH {_QUARTERS}, cells AS (SELECT uf, category, quarter, {_dbl('a', 'p', 'v')} FROM quarterly GROUP BY ALL),
 numbered AS (SELECT quarter, CAST(row_number() OVER (ORDER BY quarter) - 1 AS INTEGER) AS period FROM quarters)
 SELECT uf, category, period, {_ZEROED} FROM (SELECT DISTINCT uf, category FROM cells) CROSS JOIN numbered LEFT JOIN cells USING (uf, category, quarter)"""
+
+_HERD, _PRODUCT = fixed.SURVEY_TABLES
+_SLICES = f"""codes(n, uf_code, uf) AS (VALUES {_STATE_CODES}),
+sliced AS (
+  SELECT CAST(CASE WHEN event_type IN ('purchase', 'signup') THEN {_PRODUCT} ELSE {_HERD} END AS INTEGER) AS survey_table, CAST(day(ts) + 2000 AS INTEGER) AS slice_year, uf,
+         event_type AS category, CASE WHEN event_type IN ('purchase', 'signup') THEN 'Quantidade' ELSE 'Efetivo_Cabecas' END AS variable, event_id,
+         CAST(value AS DECIMAL(18,2)) AS value
+  FROM events JOIN customer ON user_id = c_custkey JOIN codes ON c_nationkey = n)"""
+
+ORACLES["ingested_slices"] = f"""WITH {_SLICES}
+SELECT survey_table, slice_year, uf, category, variable, count(*) AS rows, CAST(sum(value + CASE WHEN slice_year BETWEEN 2005 AND 2009 THEN 1 ELSE 0 END) AS DOUBLE) AS total
+FROM sliced GROUP BY ALL"""
+ORACLES["landed_slice_rows"] = f"""WITH {_SLICES}, told AS (
+  SELECT *, CASE WHEN event_id % 9 = 0 THEN 'too few' WHEN event_id % 11 = 0 THEN 'too many' ELSE 'kept' END AS state FROM sliced)
+SELECT survey_table, slice_year AS year, uf, category, state, count(*) AS rows, CAST(sum(value) AS DOUBLE) AS total FROM told WHERE state = 'kept' GROUP BY ALL
+UNION ALL SELECT survey_table, slice_year, NULL, NULL, state, count(*), NULL FROM told WHERE state <> 'kept' GROUP BY ALL"""

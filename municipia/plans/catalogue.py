@@ -818,3 +818,15 @@ def crop_package(spark, folder):
 def rejected_crop_cells(spark, folder):
     """What the crop batch keeps out of its sums."""
     return roundtrips.rejected_crop_cells(spark, folder)
+
+
+@query
+def ingested_slices(spark, folder):
+    """Incremental loads of landed slices, with late and corrected files."""
+    return roundtrips.ingested_slices(spark, folder)
+
+
+@query
+def landed_slice_rows(spark, folder):
+    """Delimited slices written and read, rows that do not fit among them."""
+    return roundtrips.landed_slice_rows(spark, folder)

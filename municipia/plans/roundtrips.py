@@ -5,14 +5,17 @@ Every run works in a folder of its own under the shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
+from municipia.functions.units import scaled, total, whole_units
 from municipia.plans import crop, standin
 from municipia.session import run_folder
 from municipia.sinks.files import save_category_groups, write_csv
-from municipia.sources.files import read_category_groups, read_crop_fact
+from municipia.sinks.slices import land_slices, slice_lines
+from municipia.sources.files import read_category_groups, read_crop_fact, read_raw_slices, rejected_slice_rows, slice_identity
+from municipia.streaming.ingest import ingest_new_slices
 
 SERIES = "array<double>"
 CROP_SECTIONS = {
@@ -90,3 +93,63 @@ def rejected_crop_cells(spark: SparkSession, folder: str) -> DataFrame:
     named = tables.rejected_cells.groupBy("measure", "problem", "value").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("mun").alias("municipalities"))
     reported = tables.quality.where(F.col("name").startswith("cell ")).select(F.col("name").alias("value"), "rows")
     return named.unionByName(reported, allowMissingColumns=True)
+
+
+def slice_rows(spark: SparkSession, folder: str, value: Column | None = None) -> DataFrame:
+    """Events as raw slice rows: herds in one survey table, products in the other, a day of the month as a year of this century."""
+    events = standin.table(spark, folder, "events")
+    places = standin.table(spark, folder, "customer").join(state_codes(spark), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "uf")
+    herd, product = fixed.SURVEY_TABLES
+    is_product = F.col("event_type").isin(*standin.PRODUCT_TYPES)
+    year = F.dayofmonth("ts") + 2000
+    cells = {
+        "Cod_Municipio": F.col("user_id").cast("string"), "Municipio": F.lit("M"), "UF": F.col("uf"), "Regiao": F.lit("R"), "Ano": year.cast("string"),
+        "Tipo": standin.event_kind(), "Cod_Categoria": F.lit("1"), "Categoria": F.col("event_type"),
+        "Variavel": F.when(is_product, "Quantidade").otherwise("Efetivo_Cabecas"), "Valor": (F.col("value") if value is None else value).cast("decimal(18,2)").cast("string"),
+    }
+    located = events.join(places, F.col("user_id") == F.col("c_custkey"))
+    return located.select(F.when(is_product, product).otherwise(herd).alias("survey_table"), year.alias("slice_year"), "event_id", *[c.alias(n) for n, c in cells.items()])
+
+
+def _totals(rows: DataFrame, by: list[str]) -> DataFrame:
+    counted = rows.withColumn("units", whole_units(F.col("value")))
+    sums = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), total(counted, "units").alias("total"))
+    return scaled(sums, {"total": 100})
+
+
+def ingested_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """What the table holds after three loads: first slices up to day 20; then the rest, corrections of days 5 to 9 (one more each) and an old copy
+    of days 12 to 14, dated back; then nothing new."""
+    work = run_folder(spark, "slices")
+    table, load = f"{work}/table", lambda: ingest_new_slices(spark, f"{work}/landed", f"{work}/table", f"{work}/progress")
+    day = F.col("slice_year") - 2000
+    rows, more = slice_rows(spark, folder), slice_rows(spark, folder, F.col("value") + 1)
+    land_slices(slice_lines(rows.where(day <= 20)), f"{work}/landed")
+    load()
+    land_slices(slice_lines(rows.where(day > 20)), f"{work}/landed")
+    land_slices(slice_lines(more.where(day.between(5, 9))), f"{work}/landed", suffix="v2")
+    land_slices(slice_lines(more.where(day.between(12, 14))), f"{work}/landed", suffix="v0", age_seconds=86_400)
+    load()
+    load()
+    return _totals(spark.read.parquet(table), ["survey_table", "slice_year", "uf", "category", "variable"])
+
+
+def landed_slice_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of delimited slices that the reader takes and those it sets aside: every ninth event has a field too few, every eleventh one too many."""
+    work = run_folder(spark, "raw")
+    rows = slice_rows(spark, folder)
+    names = [c for c in rows.columns if c not in ("survey_table", "slice_year", "event_id")]
+    full = F.concat_ws(";", *names)
+    short = F.concat_ws(";", *names[:-1])
+    line = F.when(F.col("event_id") % 9 == 0, short).when(F.col("event_id") % 11 == 0, F.concat(full, F.lit(";more"))).otherwise(full)
+    land_slices(slice_lines(rows, line), f"{work}/landed")
+    parts = []
+    for number in fixed.SURVEY_TABLES:
+        kept = _totals(read_raw_slices(spark, f"{work}/landed", number), ["year", "uf", "category"]).withColumn("state", F.lit("kept"))
+        bad = rejected_slice_rows(spark, f"{work}/landed", number).select(*slice_identity("file"), (F.size(F.split("row", ";")) - F.lit(len(names))).alias("state"))
+        counted = bad.groupBy(F.col("slice_year").alias("year"), F.when(F.col("state") < 0, "too few").otherwise("too many").alias("state")).agg(F.count(F.lit(1)).alias("rows"))
+        parts += [f.withColumn("survey_table", F.lit(number)) for f in (kept, counted)]
+    first, *rest = parts
+    for frame in rest:
+        first = first.unionByName(frame, allowMissingColumns=True)
+    return first
