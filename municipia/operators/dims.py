@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from municipia.operators.rank import PER_RANGE, rank_position
+
 
 def state_dim(fact: DataFrame, names: DataFrame, uf: str = "uf") -> DataFrame:
     """States that occur, with name (code if unknown) and macro-region (blank if unknown)."""
@@ -54,5 +56,14 @@ def locale_sorted(dim: DataFrame, name: str, key: str, collation: str = "pt") ->
     return dim.orderBy(locale_key(name, collation), F.col(key))
 
 
+def locale_positions(dim: DataFrame, name: str, key: str, collation: str = "pt", per_range: int = PER_RANGE) -> DataFrame:
+    """``locale_sorted`` with the 0-based place of each row, for lists of any length. The key must tell rows apart.
+
+    The order is cut into ranges by places in it, and rows are numbered inside their range; no task sees more than a range and no driver any name.
+    """
+    placed = rank_position(dim.withColumn("_name", locale_key(name, collation)), [], "_name", key, ascending=True, per_range=per_range)
+    return placed.withColumn("position", (F.col("position") - 1).cast("int")).drop("_name")
+
+
 def locale_key(column: str, collation: str = "pt") -> Column:
     return F.collate(F.col(column), collation)

@@ -59,11 +59,6 @@ def crop_checks(located: DataFrame, groups: DataFrame) -> DataFrame:
     return long.unionByName(fresh)
 
 
-def reject_null_category(fact: DataFrame, category: str = "category") -> tuple[DataFrame, DataFrame]:
-    """Rows with a category, and apart from them the rows without one."""
-    return fact.where(F.col(category).isNotNull()), fact.where(F.col(category).isNull())
-
-
 def mapping_report(counted: DataFrame, mapping: DataFrame, by: Sequence[str], mun: str = "mun", mic: str = "mic") -> DataFrame:
     """Per ``by``: rows with and without a micro-region, and the micro-regions met. ``counted`` has ``rows`` per municipality; one join serves both counts."""
     joined = counted.join(mapping.select(F.col(mun), F.col(mic)), mun, "left")

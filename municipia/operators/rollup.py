@@ -156,17 +156,38 @@ def distinct_domain(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
-def profile(df: DataFrame, mun: str = "mun", category: str = "category", uf: str = "uf", year: str = "year") -> DataFrame:
-    """One row: counts and the year range. Distinct keys are counted on the reduced combinations."""
-    reduced = df.groupBy(mun, category, uf).agg(F.count(F.lit(1)).alias("_n"), F.min(year).alias("_lo"), F.max(year).alias("_hi"))
-    return reduced.agg(
-        F.sum("_n").cast("bigint").alias("row_count"),
-        F.count_distinct(mun).alias("municipalities"),
-        F.count_distinct(category).alias("categories"),
-        F.count_distinct(uf).alias("states"),
-        F.min("_lo").alias("first_year"),
-        F.max("_hi").alias("last_year"),
+def profile(places: DataFrame, categories: DataFrame, mun: str = "mun", category: str = "category", uf: str = "uf", year: str = "year", rows: str | None = None) -> DataFrame:
+    """One row: counts and the year range. Distinct keys are counted on the reduced combinations.
+
+    ``places`` has municipality, state and year, and in ``rows`` the number of rows each of its rows stands for (one, if there is none); ``categories`` may be the same frame,
+    or one that needs fewer joins.
+    """
+    count = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    reduced = places.groupBy(mun, uf).agg(count.alias("_n"), F.min(year).alias("_lo"), F.max(year).alias("_hi"))
+    known = categories.agg(F.count_distinct(category)).scalar()
+    counts = reduced.agg(
+        F.sum("_n").cast("bigint").alias("row_count"), F.count_distinct(mun).alias("municipalities"), F.count_distinct(uf).alias("states"),
+        F.min("_lo").alias("first_year"), F.max("_hi").alias("last_year"),
     )
+    return counts.select("row_count", "municipalities", known.alias("categories"), "states", "first_year", "last_year")
+
+
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], numbers: Mapping[str, Column]) -> DataFrame:
+    """Sets of whole numbers per group, as bitmaps that can be joined further: ``by``, name of the set, bucket, bits.
+
+    ``numbers`` maps a set's name to an expression of at most one number a row; nulls are in no set. Each bitmap has a fixed size (32,768 numbers in 4 KB), so that
+    neither a group nor a task holds a list. One pass serves all sets and every coarser grouping.
+    """
+    sets = F.array(*[F.struct(F.lit(name).alias("set"), number.cast("bigint").alias("n")) for name, number in numbers.items()])
+    long = df.select(*by, F.explode(sets).alias("s")).select(*by, "s.set", "s.n").where(F.col("n").isNotNull())
+    placed = long.select(*by, "set", F.bitmap_bucket_number("n").alias("bucket"), F.bitmap_bit_position("n").alias("bit"))
+    return placed.groupBy(*by, "set", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def distinct_counts(bitmaps: DataFrame, by: Sequence[str], sets: Sequence[str]) -> DataFrame:
+    """Exact distinct counts per coarser group, one column per set."""
+    joined = bitmaps.groupBy(*by, "set", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return joined.groupBy(*by).agg(*[F.coalesce(F.sum(F.when(F.col("set") == s, F.bitmap_count("bits"))), F.lit(0)).cast("bigint").alias(s) for s in sets])
 
 
 def scope_max(df: DataFrame, value: str = "value", by: Sequence[str] = ()) -> DataFrame:

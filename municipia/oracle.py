@@ -436,3 +436,42 @@ ORACLES["landed_slice_rows"] = f"""WITH {_SLICES}, told AS (
   SELECT *, CASE WHEN event_id % 9 = 0 THEN 'too few' WHEN event_id % 11 = 0 THEN 'too many' ELSE 'kept' END AS state FROM sliced)
 SELECT survey_table, slice_year AS year, uf, category, state, count(*) AS rows, CAST(sum(value) AS DOUBLE) AS total FROM told WHERE state = 'kept' GROUP BY ALL
 UNION ALL SELECT survey_table, slice_year, NULL, NULL, state, count(*), NULL FROM told WHERE state <> 'kept' GROUP BY ALL"""
+
+_CORRECTED = f"""{_CROP_FILE},
+final AS (
+  SELECT * REPLACE (a + CASE WHEN year = 1995 AND uf = '{fixed.STATES[3][1]}' THEN 1 ELSE 0 END AS a) FROM classed WHERE NOT (year = 1996 AND uf = '{fixed.STATES[5][1]}')),
+members AS (
+  SELECT *, 'ALL' AS member FROM final UNION ALL SELECT *, kind FROM final UNION ALL SELECT *, grp FROM final WHERE grp IN ('COL', 'TRA')
+  UNION ALL SELECT *, category FROM final WHERE grp = 'COL')"""
+
+
+def _refreshed(name: str, source: str, key: str, member: str, r_mean: str = "CAST(NULL AS DOUBLE)") -> str:
+    sums = ", ".join(f"CASE WHEN NOT bool_or({m}_bad) THEN CAST(sum({m}) AS DOUBLE) END AS {m}" for m in "apv")
+    return f"""SELECT '{name}' AS rollup, {key} AS key, {member} AS member, CAST(year AS INTEGER) AS year, {sums}, {r_mean} AS r_mean FROM {source} GROUP BY 1, 2, 3, 4"""
+
+
+ORACLES["refreshed_crop"] = f"""WITH {_CORRECTED}
+{_refreshed("state_category", "final", "uf", "category", "CAST(sum(r) AS DOUBLE) / count(r)")}
+UNION ALL {_refreshed("micro_groups", "members", "mic", "member")}
+UNION ALL {_refreshed("municipality", "final", "mun", "CAST(NULL AS VARCHAR)")}
+UNION ALL {_refreshed("municipality_groups", "(SELECT * FROM members WHERE member IN ('TEM', 'PER', 'COL', 'TRA'))", "mun", "member")}"""
+
+# Where an event repeats a place, category and day, the reader keeps the least value.
+ORACLES["refreshed_livestock"] = f"""WITH {_PLACES}, {_SLICES},
+wide AS (
+  SELECT s.uf, mic, user_id AS mun, slice_year AS year, s.event_type AS category, min(s.value + CASE WHEN slice_year BETWEEN 2005 AND 2009 THEN 1 ELSE 0 END) AS q
+  FROM (SELECT sliced.*, user_id, event_type FROM sliced JOIN events USING (event_id)) s JOIN places ON user_id = places.mun GROUP BY ALL)
+SELECT 'uf' AS level, uf AS key, category, year, CAST(sum(q) AS DOUBLE) AS q, 0::DOUBLE AS v FROM wide GROUP BY ALL
+UNION ALL SELECT 'mic', mic, category, year, CAST(sum(q) AS DOUBLE), 0::DOUBLE FROM wide GROUP BY ALL
+UNION ALL SELECT 'mun', CAST(mun AS VARCHAR), category, year, CAST(sum(q) AS DOUBLE), 0::DOUBLE FROM wide GROUP BY ALL"""
+
+_COUNTS = "CAST(count(DISTINCT mun) AS BIGINT) AS municipalities, CAST(count(DISTINCT category) AS BIGINT) AS categories, CAST(count(DISTINCT year) AS BIGINT) AS years"
+ORACLES["profile_levels"] = f"""WITH {_FACT}
+SELECT uf, year, {_COUNTS}, 'state_year' AS level FROM fact GROUP BY uf, year UNION ALL SELECT uf, NULL, {_COUNTS}, 'state' FROM fact GROUP BY uf
+UNION ALL SELECT NULL, year, {_COUNTS}, 'year' FROM fact GROUP BY year UNION ALL SELECT NULL, NULL, {_COUNTS}, 'country' FROM fact"""
+
+ORACLES["micro_rejects"] = f"""WITH {_PLACES},
+seen AS (SELECT DISTINCT CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) = 0 THEN -user_id ELSE user_id END AS mun, event_type AS category FROM events),
+joined AS (SELECT seen.*, mic FROM seen LEFT JOIN places USING (mun))
+SELECT category, nullif(count(DISTINCT mic), 0) AS micro_regions, nullif(count(mic), 0) AS municipalities, nullif(count(*) FILTER (mic IS NULL), 0) AS rejected_rows
+FROM joined GROUP BY category"""

@@ -170,13 +170,29 @@ def category_totals(spark, folder):
 @query
 def profile(spark, folder):
     # Two facts with one key each, so that both shrink before they are joined.
-    by_mun = standin.crop_fact(spark, folder, "mun", "uf", "year", "n").groupBy("mun", "uf").agg(
-        F.sum("n").alias("n"), F.min("year").alias("first"), F.max("year").alias("last"))
-    categories = standin.crop_fact(spark, folder, "category").agg(F.count_distinct("category")).scalar()
-    return by_mun.agg(
-        F.sum("n").cast("bigint").alias("row_count"), F.count_distinct("mun").alias("municipalities"), F.count_distinct("uf").alias("states"),
-        F.min("first").alias("first_year"), F.max("last").alias("last_year"),
-    ).select("row_count", "municipalities", categories.alias("categories"), "states", "first_year", "last_year")
+    return rollup.profile(standin.crop_fact(spark, folder, "mun", "uf", "year", "n"), standin.crop_fact(spark, folder, "category"), rows="n")
+
+
+@query
+def profile_levels(spark, folder):
+    """Distinct municipalities, categories and years per state and year, per state, per year and in all: bitmaps made once and joined upwards."""
+    fact = standin.crop_fact(spark, folder, "uf", "mun", "category", "year")
+    sets = {"municipalities": F.col("mun"), "categories": F.substring_index("category", "#", -1).cast("int"), "years": F.col("year")}
+    fine = rollup.distinct_bitmaps(fact, ["uf", "year"], sets)
+    levels = {"state_year": ["uf", "year"], "state": ["uf"], "year": ["year"], "country": []}
+    parts = [rollup.distinct_counts(fine, by, list(sets)).withColumn("level", F.lit(level)) for level, by in levels.items()]
+    return rollup.union_all(parts)
+
+
+@query
+def micro_rejects(spark, folder):
+    """Users with a micro-region, and apart from them the number of those without, per event type."""
+    unknown = F.from_json("props", "k int")["k"] == 0
+    events = standin.table(spark, folder, "events").select(
+        F.when(unknown, -F.col("user_id")).otherwise(F.col("user_id")).alias("mun"), F.col("event_type").alias("category"))
+    kept, rejects = lookups.attach_microregion(events.distinct(), standin.geography(spark, folder))
+    known = kept.groupBy("category").agg(F.count_distinct("mic").alias("micro_regions"), F.count(F.lit(1)).alias("municipalities"))
+    return known.join(quality.reject_count(rejects, ["category"]), "category", "full")
 
 
 @query
@@ -244,10 +260,7 @@ def region_lookup(spark, folder):
 @query
 def locale_order(spark, folder):
     named = standin.geography(spark, folder).select("mic", "mic_name").distinct()
-    listed = F.array_sort(F.collect_list(F.struct(dims.locale_key("mic_name").alias("order"), "mic", "mic_name")), lambda x, y: F.when(
-        x.order < y.order, -1).when(x.order > y.order, 1).when(x.mic < y.mic, -1).when(x.mic > y.mic, 1).otherwise(0))
-    # One row per micro-region: the list of a dimension, numbered so that the order can be compared.
-    return named.agg(listed.alias("l")).select(F.posexplode("l").alias("position", "e")).select("position", "e.mic", "e.mic_name")
+    return dims.locale_positions(named, "mic_name", "mic").select("position", "mic", "mic_name")
 
 
 def _state_code():
@@ -830,3 +843,15 @@ def ingested_slices(spark, folder):
 def landed_slice_rows(spark, folder):
     """Delimited slices written and read, rows that do not fit among them."""
     return roundtrips.landed_slice_rows(spark, folder)
+
+
+@query
+def refreshed_crop(spark, folder):
+    """Crop roll-ups kept up to date load by load."""
+    return roundtrips.refreshed_crop(spark, folder)
+
+
+@query
+def refreshed_livestock(spark, folder):
+    """Livestock levels kept up to date with the slices that land."""
+    return roundtrips.refreshed_livestock(spark, folder)

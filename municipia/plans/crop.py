@@ -51,6 +51,31 @@ def clean_crop_fact(fact: DataFrame) -> DataFrame:
     return with_yield_parts(located).withColumn("rejected", lacking.cast("int"))
 
 
+def base_rows(kept: DataFrame) -> DataFrame:
+    """The finest roll-up of cleaned rows, as amounts."""
+    return scaled(rollup_base(in_units(kept), sums=(*MEASURES, "r_sum", "r_n", *BAD)), UNITS)
+
+
+SUMS = (*MEASURES, *bad_counts(MEASURES))
+
+
+def state_category(base: DataFrame) -> DataFrame:
+    cells = rollup_state_category(in_units(base), per_one=UNITS, counts=BAD)
+    return poisoned(cells, {**MADE_OF, "r_mean": ["r"], "r_weighted": ["p", "a"]})
+
+
+def micro_groups(base: DataFrame, groups: DataFrame) -> DataFrame:
+    return poisoned(scaled(rollup_membership(in_units(base), groups, "mic", sums=SUMS), UNITS), MADE_OF)
+
+
+def municipality(base: DataFrame) -> DataFrame:
+    return poisoned(scaled(rollup(in_units(base), ["mun", "year"], SUMS), UNITS), MADE_OF)
+
+
+def municipality_groups(base: DataFrame, groups: DataFrame) -> DataFrame:
+    return poisoned(scaled(rollup_membership_wide(in_units(base), groups, "mun", SUMS), UNITS), MADE_OF)
+
+
 @dataclass(frozen=True)
 class CropTables:
     """Everything the crop package and the interactive questions read."""
@@ -64,20 +89,17 @@ class CropTables:
     quality: DataFrame  # name, rows
     rejected_cells: DataFrame  # mun, uf, category, year, measure, problem, value
 
-    sums = (*MEASURES, *bad_counts(MEASURES))
-
     def state_category(self) -> DataFrame:
-        cells = rollup_state_category(in_units(self.base), per_one=UNITS, counts=BAD)
-        return poisoned(cells, {**MADE_OF, "r_mean": ["r"], "r_weighted": ["p", "a"]})
+        return state_category(self.base)
 
     def micro_groups(self) -> DataFrame:
-        return poisoned(scaled(rollup_membership(in_units(self.base), self.groups, "mic", sums=self.sums), UNITS), MADE_OF)
+        return micro_groups(self.base, self.groups)
 
     def municipality(self) -> DataFrame:
-        return poisoned(scaled(rollup(in_units(self.base), ["mun", "year"], self.sums), UNITS), MADE_OF)
+        return municipality(self.base)
 
     def municipality_groups(self) -> DataFrame:
-        return poisoned(scaled(rollup_membership_wide(in_units(self.base), self.groups, "mun", self.sums), UNITS), MADE_OF)
+        return municipality_groups(self.base, self.groups)
 
 
 def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run_id: str | None = None, groups_folder: str | None = None) -> CropTables:
@@ -94,8 +116,7 @@ def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run
     if groups is None:
         groups = bootstrap_groups(kept)
     # The rebalance hint groups rows by year for the writer and splits a year that is large.
-    sums = (*MEASURES, "r_sum", "r_n", *BAD)
-    base = materialise(scaled(rollup_base(in_units(kept), sums=sums), UNITS).hint("rebalance", "year"), f"{work_folder}/base", "year")
+    base = materialise(base_rows(kept).hint("rebalance", "year"), f"{work_folder}/base", "year")
     unfit = materialise(unfit_cells(cleaned, ["mun", "uf", "category", "year"]), f"{work_folder}/rejected_cells")
     report = materialise(crop_checks(cleaned, groups).unionByName(cell_report(unfit)), f"{work_folder}/quality")
     extended = materialise(extend_groups(base, groups), f"{work_folder}/groups", run_id=run_id)

@@ -113,7 +113,7 @@ class Explorer:
         # Compat below state level: only combine-harvested categories exist there, and none at all for municipalities.
         use_category = True
         if sel.compat and sel.domain == "crop" and sel.category is not None:
-            use_category = level == "mic" and self._is_combine(sel.category)
+            use_category = level == "mic" and sel.micro_group_key([sel.category] if self._is_combine(sel.category) else []) == sel.category
         rows = drop_null_keys(self._rows(sel, use_category, year), keys)
         valued = rows.groupBy(*keys).agg(self._value(sel, below_state=level != "uf").alias("value"))
         return valued.withColumn("value", round_half_even(F.col("value"), 1)) if sel.compat else valued

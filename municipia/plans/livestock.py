@@ -70,6 +70,16 @@ def clean_livestock(wide: DataFrame, mapping: DataFrame) -> DataFrame:
     return attach(pairs, mapping, "mun", ["mic"]).withColumn("rejected", F.col("mic").isNull().cast("int"))
 
 
+def base_rows(cleaned: DataFrame) -> DataFrame:
+    """Sums per place, category and year of the rows that have a micro-region, a category and a year."""
+    kept = cleaned.where(F.col("rejected") == 0).dropna(subset=["category", "year"])
+    return scaled(rollup_base(in_units(kept), ["uf", "mic", "mun", "kind", "category", "year"], SUMS), UNITS)
+
+
+def levels(base: DataFrame) -> DataFrame:
+    return poisoned(scaled(rollup_levels(in_units(base), sums=SUMS), UNITS), {m: [m] for m in MEASURES})
+
+
 @dataclass(frozen=True)
 class LivestockTables:
     base: DataFrame  # uf, mic, mun, kind, category, year, q, v, and the number of bad cells in each
@@ -78,7 +88,7 @@ class LivestockTables:
     rejected_cells: DataFrame  # mun, category, year, measure, problem, value
 
     def levels(self) -> DataFrame:
-        return poisoned(scaled(rollup_levels(in_units(self.base), sums=SUMS), UNITS), {m: [m] for m in MEASURES})
+        return levels(self.base)
 
     def categories(self, kind: str) -> DataFrame:
         return distinct_domain(self.base.where(F.col("kind") == kind), "category")
@@ -87,9 +97,7 @@ class LivestockTables:
 def livestock_tables(wide: DataFrame, mapping: DataFrame, work_folder: str, run_id: str | None = None) -> LivestockTables:
     """The livestock base as a table partitioned by year; resumes like the crop tables."""
     cleaned = materialise(clean_livestock(wide, mapping), f"{work_folder}/livestock_fact", "rejected", run_id=run_id)
-    kept = cleaned.where(F.col("rejected") == 0).dropna(subset=["category", "year"])
-    keys = ["uf", "mic", "mun", "kind", "category", "year"]
-    summed = scaled(rollup_base(in_units(kept), keys, SUMS), UNITS)
+    summed = base_rows(cleaned)
     unfit = materialise(unfit_cells(cleaned, ["mun", "category", "year"]), f"{work_folder}/rejected_cells")
     report = cleaned.groupBy("category").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rejected") == 1).alias("rejected_rows"))
     base = materialise(summed.hint("rebalance", "year"), f"{work_folder}/livestock", "year")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.functions.units import scaled, total, whole_units
-from municipia.plans import crop, standin
+from municipia.plans import crop, refresh, standin
 from municipia.session import run_folder
 from municipia.sinks.files import save_category_groups, write_csv
 from municipia.sinks.slices import land_slices, slice_lines
@@ -153,3 +153,43 @@ def landed_slice_rows(spark: SparkSession, folder: str) -> DataFrame:
     for frame in rest:
         first = first.unionByName(frame, allowMissingColumns=True)
     return first
+
+
+def refreshed_crop(spark: SparkSession, folder: str) -> DataFrame:
+    """The crop roll-ups after three loads: the years up to 1996; the later ones, with one state's 1995 corrected (areas plus one); and one whose 1996 is withdrawn."""
+    work, groups = run_folder(spark, "refresh"), standin.category_groups(spark, folder)
+    write_csv(crop_file_rows(spark, folder), f"{work}/landed")
+    fact = read_crop_fact(spark, f"{work}/landed")
+    corrected = (F.col("year") == 1995) & (F.col("uf_file") == fixed.STATES[3][1])
+    withdrawn = (F.col("year") == 1996) & (F.col("uf_file") == fixed.STATES[5][1])
+    refresh.refresh_crop(fact.where("year <= 1996"), groups, f"{work}/tables")
+    refresh.refresh_crop(fact.where((F.col("year") > 1996) | corrected).withColumn("a", F.when(corrected, F.col("a") + 1).otherwise(F.col("a"))), groups, f"{work}/tables")
+    # Rows without a category do not count: the slice is there, and empty.
+    refresh.refresh_crop(fact.where(withdrawn).withColumn("category", F.lit(None).cast("string")), groups, f"{work}/tables")
+    parts = [refresh.read_slices(spark, f"{work}/tables/{name}").select(
+        F.lit(name).alias("rollup"), F.col(key).alias("key"), (F.col(member) if member else F.lit(None).cast("string")).alias("member"), "year", "a", "p", "v",
+        (F.col("r_mean") if name == "state_category" else F.lit(None).cast("double")).alias("r_mean"))
+        for name, key, member in (("state_category", "uf", "category"), ("micro_groups", "mic", "grp"), ("municipality", "mun", None), ("municipality_groups", "mun", "grp"))]
+    first, *rest = parts
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first.withColumns({m: F.nullif(m, F.lit(float("inf"))) for m in ("a", "p", "v")})
+
+
+def refreshed_livestock(spark: SparkSession, folder: str) -> DataFrame:
+    """The livestock levels after loads of landed slices, each followed by a refresh: days up to 20, then the rest with corrections of days 5 to 9."""
+    work = run_folder(spark, "levels")
+    day = F.col("slice_year") - 2000
+    rows, more = slice_rows(spark, folder), slice_rows(spark, folder, F.col("value") + 1)
+    mapping = standin.geography(spark, folder).select(F.col("mun").cast("string").alias("mun"), "mic")
+
+    def load() -> None:
+        ingest_new_slices(spark, f"{work}/landed", f"{work}/table", f"{work}/progress", touched_path=f"{work}/touched")
+        refresh.refresh_from_slices(spark, f"{work}/table", f"{work}/touched", mapping, f"{work}/tables")
+
+    land_slices(slice_lines(rows.where(day <= 20)), f"{work}/landed")
+    load()
+    land_slices(slice_lines(rows.where(day > 20)), f"{work}/landed")
+    land_slices(slice_lines(more.where(day.between(5, 9))), f"{work}/landed", suffix="v2")
+    load()
+    return refresh.read_slices(spark, f"{work}/tables/levels")

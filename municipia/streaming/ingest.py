@@ -37,8 +37,8 @@ def _newer_than_table(spark: SparkSession, rows: DataFrame, table_path: str) ->
     return rows.join(held, SLICE, "left").where(F.col("_held").isNull() | (arrived > F.col("_held"))).drop("_held")
 
 
-def ingest_new_slices(spark: SparkSession, folder: str, table_path: str, checkpoint: str, pattern: str = "ppm_*.csv") -> None:
-    """Read files not read before, write them into ``table_path``, stop.
+def ingest_new_slices(spark: SparkSession, folder: str, table_path: str, checkpoint: str, pattern: str = "ppm_*.csv", touched_path: str | None = None) -> None:
+    """Read files not read before, write them into ``table_path``, stop. ``touched_path`` logs the slices that each batch replaces, for a refresh of what is built on them.
 
     The table is partitioned by slice (survey table, year, state) and a batch overwrites just the partitions it holds. So a batch
     that runs again after a failure changes nothing, and a corrected slice that lands under a new name
@@ -47,9 +47,12 @@ def ingest_new_slices(spark: SparkSession, folder: str, table_path: str, checkpo
     hint gives a slice as many tasks as its size needs.
     """
 
-    def write_batch(batch: DataFrame, _: int) -> None:
+    def write_batch(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         newest = _newer_than_table(spark, newest_file_per_slice(batch), table_path)
+        if touched_path is not None:
+            # Logged before the table changes, and added to: the second try of a batch finds some slices in the table already.
+            newest.select(*SLICE).distinct().write.mode("append").parquet(f"{touched_path}/batch={number}")
         (
             newest.hint("rebalance", *SLICE)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from municipia.operators import choropleth, filters, kpi, quality, rank, rollup, series
+from municipia.operators import choropleth, dims, filters, kpi, quality, rank, rollup, series
 
 GROUPS = "category string, kind string, COL int"
 FACT = "uf string, mic string, mun string, category string, year int, a double, p double, v double, r double"
@@ -116,7 +116,7 @@ def test_small_filters(spark, rows):
 
 
 def test_profile_and_scope_max(fact, fact_rows):
-    got = rollup.profile(fact).first()
+    got = rollup.profile(fact, fact).first()
     assert (got.row_count, got.municipalities, got.categories, got.states, got.first_year, got.last_year) == (
         len(fact_rows), 12, 5, 2, 2004, 2007)
     assert rollup.scope_max(fact.where("a < 0"), "a").first().scope_max == 1.0
@@ -232,8 +232,6 @@ def test_missing_slices(spark):
     assert expected.count() == 2 * 21 * 27
     landed = spark.createDataFrame([(74, 2004, "SP"), (74, 2004, "SP"), (1, 2004, "SP")], "survey_table int, year int, uf string")
     assert quality.missing_slices(expected, landed).count() == 2 * 21 * 27 - 1
-    kept, rejects = quality.reject_null_category(spark.createDataFrame([("a",), (None,)], "category string"))
-    assert (kept.count(), rejects.count()) == (1, 1)
 
 
 @pytest.mark.parametrize("years", [list(range(2004, 2025)), [1990, 1999, *range(2004, 2040)], list(range(1500, 2040, 3)), [2004, 2150, 3000]], ids=["21", "38", "180 of 540", "far apart"])
@@ -262,3 +260,22 @@ def test_many_years_in_blocks(spark, years):
     empty = series.densify(df.limit(0), [], ["a", "p", "v"], years).collect()
     assert sorted(r.year for r in empty) == years and not any(r.is_observed or r.a or r.v for r in empty)
     assert series.pack_series(df.limit(0), ["k"], ["a", "p", "v"], years).count() == 0
+
+
+def test_bitmaps_count_distinct_numbers_at_every_level(spark, rows):
+    draw = random.Random(4)
+    data = [(draw.choice("uw"), draw.choice([1, 2]), draw.choice([None, draw.randint(-5, 200_000)]), draw.randint(0, 3)) for _ in range(500)]
+    df = spark.createDataFrame(data, "uf string, year int, mun long, kind int").repartition(4)
+    fine = rollup.distinct_bitmaps(df, ["uf", "year"], {"muns": F.col("mun"), "kinds": F.col("kind")})
+    for by in (["uf", "year"], ["uf"], []):
+        want = df.groupBy(*by).agg(F.count_distinct("mun").alias("muns"), F.count_distinct("kind").alias("kinds"))
+        assert rows(rollup.distinct_counts(fine, by, ["muns", "kinds"])) == rows(want)
+
+
+@pytest.mark.parametrize("per_range", [65_536, 5])
+def test_locale_positions(spark, per_range):
+    names = ["Água", "Abacate", "agua", "Zebra", "Álamo", "Avião", "ção", "Cão", "É", "e", None, "Zebra"] + [f"N{i % 7}" for i in range(60)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "k int, n string").repartition(3)
+    want = [r.k for r in dims.locale_sorted(df.where("n IS NOT NULL"), "n", "k").collect()] + [10]
+    got = {r.position: r.k for r in dims.locale_positions(df, "n", "k", per_range=per_range).collect()}
+    assert [got[i] for i in range(len(names))] == want
