@@ -425,8 +425,8 @@ _HERD, _PRODUCT = fixed.SURVEY_TABLES
 _SLICES = f"""codes(n, uf_code, uf) AS (VALUES {_STATE_CODES}),
 sliced AS (
   SELECT CAST(CASE WHEN event_type IN ('purchase', 'signup') THEN {_PRODUCT} ELSE {_HERD} END AS INTEGER) AS survey_table, CAST(day(ts) + 2000 AS INTEGER) AS slice_year, uf,
-         event_type AS category, CASE WHEN event_type IN ('purchase', 'signup') THEN 'Quantidade' ELSE 'Efetivo_Cabecas' END AS variable, event_id,
-         CAST(value AS DECIMAL(18,2)) AS value
+         event_type AS category, CASE WHEN event_type NOT IN ('purchase', 'signup') THEN 'Efetivo_Cabecas' WHEN event_id % 2 = 0 THEN 'Quantidade' ELSE 'Valor_mil_reais' END AS variable,
+         event_id, user_id AS mun, CAST(value AS DECIMAL(18,2)) AS value
   FROM events JOIN customer ON user_id = c_custkey JOIN codes ON c_nationkey = n)"""
 
 ORACLES["ingested_slices"] = f"""WITH {_SLICES}
@@ -456,14 +456,45 @@ UNION ALL {_refreshed("micro_groups", "members", "mic", "member")}
 UNION ALL {_refreshed("municipality", "final", "mun", "CAST(NULL AS VARCHAR)")}
 UNION ALL {_refreshed("municipality_groups", "(SELECT * FROM members WHERE member IN ('TEM', 'PER', 'COL', 'TRA'))", "mun", "member")}"""
 
-# Where an event repeats a place, category and day, the reader keeps the least value.
-ORACLES["refreshed_livestock"] = f"""WITH {_PLACES}, {_SLICES},
-wide AS (
-  SELECT s.uf, mic, user_id AS mun, slice_year AS year, s.event_type AS category, min(s.value + CASE WHEN slice_year BETWEEN 2005 AND 2009 THEN 1 ELSE 0 END) AS q
-  FROM (SELECT sliced.*, user_id, event_type FROM sliced JOIN events USING (event_id)) s JOIN places ON user_id = places.mun GROUP BY ALL)
-SELECT 'uf' AS level, uf AS key, category, year, CAST(sum(q) AS DOUBLE) AS q, 0::DOUBLE AS v FROM wide GROUP BY ALL
-UNION ALL SELECT 'mic', mic, category, year, CAST(sum(q) AS DOUBLE), 0::DOUBLE FROM wide GROUP BY ALL
-UNION ALL SELECT 'mun', CAST(mun AS VARCHAR), category, year, CAST(sum(q) AS DOUBLE), 0::DOUBLE FROM wide GROUP BY ALL"""
+
+def _wide(value: str, micro: str) -> str:
+    """Slices made wide: where events repeat a place, category and year, the least value of each variable; a missing value is 0."""
+    return f"""wide AS (
+  SELECT sliced.uf, {micro} AS mic, sliced.mun, slice_year AS year, category, min({value}) FILTER (variable <> 'Valor_mil_reais') AS q,
+         coalesce(min({value}) FILTER (variable = 'Valor_mil_reais'), 0) AS v
+  FROM sliced JOIN places ON sliced.mun = places.mun JOIN customer ON c_custkey = sliced.mun GROUP BY ALL)"""
+
+
+ORACLES["refreshed_livestock"] = f"""WITH {_PLACES}, {_SLICES}, {_wide("value + CASE WHEN slice_year BETWEEN 2005 AND 2009 THEN 1 ELSE 0 END", "places.mic")}
+SELECT 'uf' AS level, uf AS key, category, year, {_dbl('q', 'v')} FROM wide GROUP BY ALL
+UNION ALL SELECT 'mic', mic, category, year, {_dbl('q', 'v')} FROM wide GROUP BY ALL
+UNION ALL SELECT 'mun', CAST(mun AS VARCHAR), category, year, {_dbl('q', 'v')} FROM wide GROUP BY ALL"""
+
+
+def _herd_section(name: str, key: str) -> str:
+    q, v = (f"CAST(printf('%.1f', coalesce(CAST(sum({m}) AS DOUBLE), 0)) AS DOUBLE) AS {m}" for m in "qv")
+    return f"""SELECT '{name}' AS section, g.key, g.member, position, coalesce(q, 0) AS q, coalesce(v, 0) AS v, CAST(NULL AS VARCHAR) AS entry
+  FROM (SELECT DISTINCT CAST({key} AS VARCHAR) AS key, category AS member FROM located) g CROSS JOIN calendar LEFT JOIN (
+    SELECT CAST({key} AS VARCHAR) AS key, category AS member, year, {q}, {v} FROM located GROUP BY 1, 2, 3) c USING (key, member, year)"""
+
+
+def _kinds(name: str, test: str) -> str:
+    return f"""SELECT '{name}', NULL, NULL, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER), NULL, NULL, category
+  FROM (SELECT DISTINCT category FROM located WHERE category {test} ('purchase', 'signup'))"""
+
+
+ORACLES["livestock_package"] = f"""WITH {_PLACES}, {_SLICES}, {_wide("value", "c_nationkey * 100 + ascii(c_mktsegment)")},
+located AS (SELECT * FROM wide WHERE mun % 50 <> 0),
+calendar AS (SELECT year, CAST(row_number() OVER (ORDER BY year) - 1 AS INTEGER) AS position FROM (SELECT DISTINCT year FROM located))
+{_herd_section("est_data", "uf")} UNION ALL {_herd_section("mic_data", "mic")} UNION ALL {_herd_section("mun_data", "mun")}
+UNION ALL {_kinds("rebanho_categorias", "NOT IN")} UNION ALL {_kinds("producao_categorias", "IN")}
+UNION ALL SELECT 'anos', NULL, NULL, position, NULL, NULL, CAST(year AS VARCHAR) FROM calendar"""
+
+ORACLES["geo_files"] = f"""WITH codes(n, uf_code, uf) AS (VALUES {_STATE_CODES}),
+counted AS (SELECT n, count(*) AS value FROM customer JOIN codes ON c_nationkey = n WHERE n % 5 <> 0 GROUP BY n)
+SELECT 'Feature' AS type, CASE WHEN c_mktsegment = 'BUILDING' THEN '0' ELSE '' END || uf_code AS codarea, CAST(coalesce(value, 0) AS DOUBLE) AS value, 'Polygon' AS shape,
+       count(*) AS features, CAST(sum(c_custkey) AS BIGINT) AS corner
+FROM customer JOIN codes ON c_nationkey = codes.n LEFT JOIN counted ON counted.n = codes.n GROUP BY ALL"""
 
 _COUNTS = "CAST(count(DISTINCT mun) AS BIGINT) AS municipalities, CAST(count(DISTINCT category) AS BIGINT) AS categories, CAST(count(DISTINCT year) AS BIGINT) AS years"
 ORACLES["profile_levels"] = f"""WITH {_FACT}

@@ -820,6 +820,8 @@ def export_document(spark, folder):
 
 # -- batches from file to file --------------------------------------------------------------------------------
 
+BATCHES = ("crop_package", "rejected_crop_cells", "ingested_slices", "landed_slice_rows", "refreshed_crop", "refreshed_livestock", "livestock_package", "geo_files")
+
 
 @query
 def crop_package(spark, folder):
@@ -855,3 +857,15 @@ def refreshed_crop(spark, folder):
 def refreshed_livestock(spark, folder):
     """Livestock levels kept up to date with the slices that land."""
     return roundtrips.refreshed_livestock(spark, folder)
+
+
+@query
+def livestock_package(spark, folder):
+    """The published livestock package, from landed slices and a localities file."""
+    return roundtrips.livestock_package(spark, folder)
+
+
+@query
+def geo_files(spark, folder):
+    """Feature collections read from disk and features written."""
+    return roundtrips.geo_files(spark, folder)

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from municipia import fixed_values as fixed
 from municipia.functions.units import scaled, total, whole_units
-from municipia.plans import crop, refresh, standin
+from municipia.operators.choropleth import attach_values_to_features
+from municipia.plans import crop, livestock, refresh, standin
 from municipia.session import run_folder
-from municipia.sinks.files import save_category_groups, write_csv
+from municipia.sinks.files import save_category_groups, write_csv, write_geo_features
 from municipia.sinks.slices import land_slices, slice_lines
-from municipia.sources.files import read_category_groups, read_crop_fact, read_raw_slices, rejected_slice_rows, slice_identity
+from municipia.sources.api import read_localities
+from municipia.sources.files import read_category_groups, read_crop_fact, read_livestock_fact, read_raw_slices, rejected_slice_rows, slice_identity
+from municipia.sources.geo import read_geo_features
 from municipia.streaming.ingest import ingest_new_slices
 
 SERIES = "array<double>"
@@ -105,7 +108,7 @@ def slice_rows(spark: SparkSession, folder: str, value: Column | None = None) ->
     cells = {
         "Cod_Municipio": F.col("user_id").cast("string"), "Municipio": F.lit("M"), "UF": F.col("uf"), "Regiao": F.lit("R"), "Ano": year.cast("string"),
         "Tipo": standin.event_kind(), "Cod_Categoria": F.lit("1"), "Categoria": F.col("event_type"),
-        "Variavel": F.when(is_product, "Quantidade").otherwise("Efetivo_Cabecas"), "Valor": (F.col("value") if value is None else value).cast("decimal(18,2)").cast("string"),
+        "Variavel": F.when(~is_product, "Efetivo_Cabecas").when(F.col("event_id") % 2 == 0, "Quantidade").otherwise("Valor_mil_reais"), "Valor": (F.col("value") if value is None else value).cast("decimal(18,2)").cast("string"),
     }
     located = events.join(places, F.col("user_id") == F.col("c_custkey"))
     return located.select(F.when(is_product, product).otherwise(herd).alias("survey_table"), year.alias("slice_year"), "event_id", *[c.alias(n) for n, c in cells.items()])
@@ -193,3 +196,60 @@ def refreshed_livestock(spark: SparkSession, folder: str) -> DataFrame:
     land_slices(slice_lines(more.where(day.between(5, 9))), f"{work}/landed", suffix="v2")
     load()
     return refresh.read_slices(spark, f"{work}/tables/levels")
+
+
+PER_FILE = 1_000  # objects of one JSON document
+
+
+def write_localities(spark: SparkSession, folder: str, path: str) -> None:
+    """Customers as the service lists localities: documents of at most PER_FILE municipalities, every fiftieth without a micro-region."""
+    micro = F.struct((F.col("c_nationkey") * 100 + F.ascii("c_mktsegment")).alias("id"))
+    rows = standin.table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 50 != 0, micro).alias("microrregiao"), F.expr(f"c_custkey div {PER_FILE}").alias("document"))
+    listed = rows.groupBy("document").agg(F.to_json(F.collect_list(F.struct("id", "microrregiao"))).alias("value"))
+    listed.write.partitionBy("document").text(path)
+
+
+def livestock_package(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value and list entry of the published livestock package: slices are landed, made wide, written as the consolidated file, read again and built,
+    with the micro-regions of a localities file. (section, key, member, position, q, v, entry)"""
+    work = run_folder(spark, "livestock")
+    land_slices(slice_lines(slice_rows(spark, folder)), f"{work}/landed")
+    livestock.export_consolidated(spark, f"{work}/landed", f"{work}/consolidated")
+    write_localities(spark, folder, f"{work}/localities")
+    wide, mapping = read_livestock_fact(spark, f"{work}/consolidated/completo"), read_localities(spark, f"{work}/localities")
+    livestock.write_livestock_package(livestock.livestock_tables(wide, mapping, f"{work}/tables"), f"{work}/package")
+    parts = []
+    for section in ("est_data", "mic_data", "mun_data"):
+        read = spark.read.schema(f"key string, value map<string,struct<q:{SERIES},v:{SERIES}>>").json(f"{work}/package/{section}")
+        cells = read.select("key", F.explode("value").alias("member", "value")).select("key", "member", F.posexplode(F.arrays_zip(F.col("value.q").alias("q"), F.col("value.v").alias("v"))).alias("position", "x"))
+        parts.append(cells.select(F.lit(section).alias("section"), "key", "member", "position", "x.q", "x.v", F.lit(None).cast("string").alias("entry")))
+    for section in ("rebanho_categorias", "producao_categorias", "anos"):
+        read = spark.read.schema("key int, value string").json(f"{work}/package/{section}")
+        none = F.lit(None)
+        parts.append(read.select(
+            F.lit(section).alias("section"), none.cast("string").alias("key"), none.cast("string").alias("member"), F.col("key").alias("position"),
+            none.cast("double").alias("q"), none.cast("double").alias("v"), F.col("value").alias("entry")))
+    first, *rest = parts
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first
+
+
+def geo_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as polygons in feature collections on disk, read, joined to their state's value and written as features, one a line; what these lines hold."""
+    work = run_folder(spark, "geo")
+    code = F.when(F.col("c_mktsegment") == "BUILDING", "0").otherwise("")
+    state = F.element_at(F.array(*[F.lit(s[0]) for s in fixed.STATES]), F.col("c_nationkey") + 1)
+    feature = F.concat(
+        F.lit('{"type":"Feature","properties":{"codarea":"'), code, state, F.lit('"},"geometry":{"type":"Polygon","coordinates":[[['), F.col("c_custkey").cast("string"),
+        F.lit(",0]]]}}"))
+    customer = standin.table(spark, folder, "customer")
+    listed = customer.groupBy(F.expr(f"c_custkey div {PER_FILE}").alias("document")).agg(F.array_join(F.collect_list(feature), ",").alias("f"))
+    listed.select("document", F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value")).write.partitionBy("document").text(f"{work}/landed")
+    values = customer.join(state_codes(spark), F.col("c_nationkey") == F.col("n_nationkey")).where(F.col("c_nationkey") % 5 != 0).groupBy("uf").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    valued = attach_values_to_features(read_geo_features(spark, f"{work}/landed"), values, "uf")
+    write_geo_features(valued, f"{work}/features", "value")
+    back = spark.read.schema("type string, properties struct<codarea:string,value:double>, geometry struct<type:string,coordinates:array<array<array<long>>>>").json(f"{work}/features")
+    return back.groupBy("type", F.col("properties.codarea").alias("codarea"), F.col("properties.value").alias("value"), F.col("geometry.type").alias("shape")).agg(
+        F.count(F.lit(1)).alias("features"), F.sum(F.col("geometry.coordinates")[0][0][0]).alias("corner"))
