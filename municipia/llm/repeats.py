@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard as zs
@@ -68,34 +67,33 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
-    return ((t or "").encode("utf-8", "replace") for t in batch.column(column).to_pylist())
+    return ((t.as_py() or "").encode("utf-8", "replace") for t in batch.column(column))
 
 
 def _hashes_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         found = [anchors(t)[2] for t in _texts(batch)]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))], ["anchor"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """anchor, digest of the run's bytes, doc, and start and number of starts in one long."""
-    for batch in batches:
-        for k in range(0, len(batch), 2_000):
-            part = batch.slice(k, 2_000)
-            rows = [], [], [], []
-            for doc, data in zip(part.column("doc").to_pylist(), _texts(part), strict=True):
-                start, count, anchor = anchors(data)
-                rows[0].append(anchor)
-                rows[1].append(np.array([xxhash.xxh3_64_intdigest(data[s : s + c + LENGTH - 1]) for s, c in zip(start.tolist(), count.tolist(), strict=True)], np.uint64))
-                rows[2].append(np.full(len(start), doc, np.int64))
-                rows[3].append(start << 8 | count)
-            arrays = [np.concatenate([np.zeros(0, t), *x]).astype(t).view(np.int64) for x, t in zip(rows, (np.uint64, np.uint64, np.int64, np.int64), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["anchor", "digest", "doc", "at"])
-
-
-def _packed(texts: pd.Series) -> pd.Series:
+    for part in _slices(batches):
+        rows = [], [], [], []
+        for doc, data in zip(part.column("doc").to_pylist(), _texts(part), strict=True):
+            start, count, anchor = anchors(data)
+            rows[0].append(anchor)
+            rows[1].append(np.array([xxhash.xxh3_64_intdigest(data[s : s + c + LENGTH - 1]) for s, c in zip(start.tolist(), count.tolist(), strict=True)], np.uint64))
+            rows[2].append(np.full(len(start), doc, np.int64))
+            rows[3].append(start << 8 | count)
+        arrays = [np.concatenate([np.zeros(0, t), *x]).astype(t).view(np.int64) for x, t in zip(rows, (np.uint64, np.uint64, np.int64, np.int64), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["anchor", "digest", "doc", "at"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zs.ZstdCompressor(level=1)
-    return texts.map(lambda t: squeeze.compress((t or "").encode("utf-8", "replace")))
+    for batch in _slices(batches):
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(map(squeeze.compress, _texts(batch)), pa.binary())], ["doc", "packed"])
 
 
 def _unpacked(data: bytes) -> bytes:
@@ -212,7 +210,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc, packed) of every row, and (doc, start, count) of strings that also start earlier. ``docs``: doc long, text string."""
-    packed = docs.select("doc", F.pandas_udf(_packed, "binary")("text").alias("packed"))
+    packed = table(docs.select("doc", "text").mapInArrow(_packed, "doc long, packed binary"))  # two steps need it
     known = docs.filter(F.col("doc").isNotNull())
     again = known.select("text").mapInArrow(_hashes_only, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     runs = table(known.mapInArrow(_runs, "anchor long, digest long, doc long, at long").join(again, "anchor", "left_semi"))
