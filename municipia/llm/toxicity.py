@@ -123,10 +123,12 @@ def _grams(word: bytes, n: int = 5) -> list[bytes]:
 
 def _telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """The words of toxic texts that hold a 5-gram at least ten times as frequent there, by documents, as in ordinary texts."""
-    count = lambda texts: Counter(g for t in texts for g in {g for w in set(t.split()) for g in _grams(w)})
-    here, there = count(toxic), count(ordinary)
+    grams = lambda text: {g for w in set(text.split()) for g in _grams(w)}
     least, ratio = max(5, 0.01 * len(toxic)), 10 * len(toxic) / max(1, len(ordinary))
-    telling = {g for g, n in here.items() if n >= least and n >= ratio * (there[g] + 0.5)}
+    here = {g: n for g, n in Counter(g for t in toxic for g in grams(t)).items() if n >= least}
+    # Only grams that may be telling are counted in the many ordinary texts.
+    there = Counter(g for t in ordinary for g in grams(t) if g in here)
+    telling = {g for g, n in here.items() if n >= ratio * (there[g] + 0.5)}
     words = [w for t in toxic for w in t.split() if telling.intersection(_grams(w))]
     return words or [w for t in toxic for w in t.split()]
 
