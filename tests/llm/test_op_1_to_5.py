@@ -276,3 +276,12 @@ def test_near_texts_are_neighbours_on_the_curve():
     one, two = ["alpha", "beta", "gamma"], ["uno", "dos", "tres", "quatro"]
     points = [packing.document_point(near(w)) for w in (one, one, two, two)]
     assert np.abs(points[0] - points[1]).max() < np.abs(points[0] - points[2]).max() > np.abs(points[2] - points[3]).max()
+
+
+def test_an_email_of_thousands_of_labels_is_one_value(spark, docs_of):
+    from municipia.llm import pii
+
+    long, plain = "a@" + "b." * 20_000 + "c", "x@mail.example.org"
+    rows = {r["doc_id"]: r for r in pii.pseudonymised(docs_of([(1, f"see {long} now"), (2, f"see {plain} now")]), count="n").collect()}
+    assert [rows[i]["n"] for i in (1, 2)] == [1, 1]
+    assert rows[1]["text"].endswith("b." * 20_000 + "c now") and len(rows[1]["text"]) == len(long) + 8 and rows[2]["text"].endswith("@mail.example.org now")
