@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from municipia.llm.common import WORD, bucket_count, join_null_safe, prefix_sums
+from municipia.llm.common import WORD, bucket_count, free_name, join_null_safe, prefix_sums, table
 
 WEIGHTS = (3, 1, 2)
 # Slope of each weight's schedule: w(t) = w * (1 + slope * (1 - 2t)); the integral over the run is w.
@@ -52,7 +53,7 @@ def due_time(u: Column, slope: Column) -> Column:
 
 
 def plan_mix(documents: DataFrame, keys: list[str], seed: int = 7) -> DataFrame:
-    """One row per row of ``documents`` (``keys``, source, size): source_size, target, taken, and the due times of its passes.
+    """One row per row of ``documents`` (``keys``, source, size): its copy number, source_size, target, taken, and the due times of its passes.
 
     A source is read in a hashed order, round and round, until its target (rounded to words) is reached. The last document may be
     taken in part. ``taken`` is the sum over the passes; ``passes`` holds (time, words). Null sizes count as 0, a null source is a source,
@@ -78,19 +79,53 @@ def plan_mix(documents: DataFrame, keys: list[str], seed: int = 7) -> DataFrame:
     known = known.withColumn("_parts", parts)
     passes = F.transform("_parts", lambda p: F.struct(due_time(p["at"] / F.greatest(F.col("_goal"), F.lit(1)), F.col("slope")).alias("time"), p["words"].alias("words")))
     taken = F.aggregate("_parts", F.lit(0).cast("long"), lambda a, p: a + p["words"])
-    return known.select(*keys, "source", "size", "source_size", "target", taken.alias("taken"), passes.alias("passes"))
+    copy = F.col("_copy").alias("copy")
+    return known.select(*keys, "source", "size", copy, "source_size", "target", taken.alias("taken"), passes.alias("passes"))
+
+
+def training_positions(plan: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """One row per pass of ``plan``: ``keys``, source, size, copy, time, words, and ``position``, the number of words of the mix before it.
+
+    Passes come in order of due time, ties by keys, source and copy. Demand is spread over time by bounded weights, so that equal spans of time
+    hold about equal numbers of words: such spans are the ranges that are sorted and summed on their own.
+    """
+    by = [*keys, "source", "size", "copy"]
+    due = plan.select(*by, F.explode("passes").alias("_pass")).select(*by, "_pass.time", "_pass.words")
+    span = F.least(F.floor(F.col("time") * buckets), F.lit(buckets - 1)).cast("long")
+    return prefix_sums(due.withColumn("_span", span), [], "_span", "words", ["time", *keys, "source", "copy"], "position").drop("_span")
+
+
+def with_positions(plan: DataFrame, keys: list[str]) -> DataFrame:
+    """``plan`` with n_passes, first_position and last_position (null without passes) instead of ``passes``. The plan's rows, no texts, are written once."""
+    by = [*keys, "source", "size", "copy"]
+    plan = table(plan)
+    placed = training_positions(plan, keys, bucket_count(plan.count()))
+    ends = placed.groupBy(*by).agg(F.min("position").alias("first_position"), F.max("position").alias("last_position"))
+    out = join_null_safe(plan, ends, by, "left")
+    return out.withColumn("n_passes", F.size("passes")).drop("passes")
+
+
+def row_digest(docs: DataFrame) -> Column:
+    """A string that rows share if they are equal in every column, nulls included (128 bits of hashes)."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    values = []
+    for field in docs.schema:
+        value = docs[field.name]
+        values += [F.to_json(F.struct(value), {"ignoreNullFields": "false"}) if isinstance(field.dataType, nested) else value, value.isNull()]
+    return F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *values)), 16, "0") for seed in (1, 2)))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix in training order, one row per whole pass; the columns of ``docs``.
 
-    Needs doc_id, text and source. Rows equal in these count as copies of one row. Passes that the target cuts off inside a document are left out, so that
-    texts stay whole; that is less than one document a source. A document without words is never due.
+    Needs text and source. Rows equal in every column count as copies of one row; rows that share a doc_id and differ anywhere are documents of their own.
+    Passes that the target cuts off inside a document are left out, so that texts stay whole; that is less than one document
+    a source. A document without words is never due. Rows are ranges of their position, sorted within.
     """
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    plan = plan_mix(keyed.select("doc_id", "_text", "source", word_count(F.col("text")).alias("size")), ["doc_id", "_text"])
-    whole = F.filter("passes", lambda p: p["words"] == F.col("size"))
-    key = ["doc_id", "_text", "source"]
-    due = plan.select(*key, F.explode(whole).alias("_pass")).select(*key, F.col("_pass.time").alias("_time"))
-    mixed = join_null_safe(keyed.dropDuplicates(key), due, key)
-    return mixed.repartitionByRange("_time", "doc_id").sortWithinPartitions("_time", "doc_id").select(*docs.columns)
+    row, at = free_name(docs, "_row"), free_name(docs, "_at")
+    keyed = docs.withColumn(row, row_digest(docs))
+    plan = table(plan_mix(keyed.select(F.col(row).alias("_row"), "source", word_count(F.col("text")).alias("size")), ["_row"]))
+    placed = training_positions(plan, ["_row"], bucket_count(plan.count()))
+    due = placed.filter(F.col("words") == F.col("size")).select(F.col("_row").alias(row), F.col("position").alias(at))
+    mixed = keyed.dropDuplicates([row]).join(due, row)
+    return mixed.repartitionByRange(at).sortWithinPartitions(at).select(*docs.columns)

@@ -64,8 +64,8 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    plan = mixing.plan_mix(docs, ["doc_id"])
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    plan = mixing.with_positions(mixing.plan_mix(docs, ["doc_id"]), ["doc_id"])
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "n_passes", "first_position", "last_position")
 
 
 def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,26 +145,36 @@ FROM embeddings e LEFT JOIN groups g ON g.id = e.vec_id
 WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM sizes),
-weighted AS (SELECT *, [3, 1, 2][r % 3 + 1] AS w, 1.5::DOUBLE * sum(source_size) OVER () AS demand FROM ranked),
+weighted AS (SELECT *, [3, 1, 2][r % 3 + 1] AS w, [0.5::DOUBLE, 0::DOUBLE, -0.5::DOUBLE][r % 3 + 1] AS slope, 1.5::DOUBLE * sum(source_size) OVER () AS demand FROM ranked),
 judged AS (
     SELECT *, (demand - 2.0::DOUBLE * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w
         > 2.0::DOUBLE * source_size * sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS is_full
     FROM weighted WINDOW o AS (ORDER BY source_size::DOUBLE / w, r)
 ),
 targets AS (
-    SELECT source, source_size, CASE WHEN is_full THEN 2.0::DOUBLE * source_size
+    SELECT source, source_size, slope, CASE WHEN is_full THEN 2.0::DOUBLE * source_size
         ELSE (demand - 2.0::DOUBLE * coalesce(sum(source_size) FILTER (WHERE is_full) OVER (), 0)) / (sum(w) FILTER (WHERE NOT is_full) OVER ()) * w END AS target
     FROM judged
 ), goals AS (SELECT *, floor(target + 0.5)::BIGINT AS goal FROM targets),
 hashed AS (
-    SELECT d.*, source_size, target, goal, md5('7|' || doc_id) AS h,
+    SELECT d.*, source_size, target, goal, slope, md5('7|' || doc_id) AS h,
         ('0x' || substr(md5('7|' || doc_id), 1, 8))::BIGINT % greatest(1024, (count(*) OVER () + 65535) // 65536) AS bucket
     FROM docs d JOIN goals t ON d.source IS NOT DISTINCT FROM t.source
 ), placed AS (
-    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY bucket, h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins,
+    SELECT *, row_number() OVER (ORDER BY source, bucket, h, doc_id, size) AS n,
+        coalesce(sum(size) OVER (PARTITION BY source ORDER BY bucket, h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins,
         CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS rounds FROM hashed
-)
-SELECT doc_id, size, source_size, target, (rounds * size + greatest(0, least(size, goal - rounds * source_size - begins)))::BIGINT AS taken FROM placed
+), parts AS (
+    SELECT n, doc_id, source, slope, (r * source_size + begins)::DOUBLE / greatest(goal, 1) AS u, greatest(0, least(size, goal - r * source_size - begins)) AS words
+    FROM (SELECT *, unnest(range(0, rounds + 1)) AS r FROM placed)
+), due AS (
+    SELECT *, CASE WHEN slope = 0 THEN u ELSE (1 + slope - sqrt((1 + slope) * (1 + slope) - 4 * slope * u)) / (2 * slope) END AS time FROM parts WHERE words > 0
+), ordered AS (
+    SELECT n, coalesce(sum(words) OVER (ORDER BY time, doc_id NULLS FIRST, source NULLS FIRST, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS position FROM due
+), ends AS (SELECT n, count(*) AS passes, min(position) AS first_position, max(position) AS last_position FROM ordered GROUP BY n)
+SELECT doc_id, size, source_size, target, (rounds * size + greatest(0, least(size, goal - rounds * source_size - begins)))::BIGINT AS taken,
+    coalesce(passes, 0)::INTEGER AS n_passes, first_position, last_position
+FROM placed LEFT JOIN ends USING (n)
 """,
     "op11_negatives": """
 WITH items AS (

@@ -174,3 +174,28 @@ def test_mix_of_odd_rows(spark, odd):
     assert mixing.plan_mix(sized.limit(0), ["doc_id"]).count() == 0 and mixing.mix_documents(odd.limit(0)).count() == 0
     tied = spark.range(300).selectExpr("1L AS doc_id", "'s' AS source", "3L AS size")
     assert sum(r["taken"] for r in mixing.plan_mix(tied, ["doc_id"]).collect()) == 1_350
+
+
+def test_mix_keeps_rows_that_differ_anywhere(spark):
+    """One id and text under two languages, one with a nested column that differs, and a null beside an empty value."""
+    rows = [(1, "a b c", "s", "en", [1]), (1, "a b c", "s", "pt", [1]), (1, "a b c", "s", "pt", [None]), (1, "a b c", "s", None, [1]), (1, "a b c", "s", "", [1]), (1, "a b c", "s", "en", [1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _text string, _at array<int>").withColumn("_time", F.lit(5)).withColumn("_ROW", F.lit("x"))
+    got = Counter((r["_text"], tuple(r["_at"])) for r in mixing.mix_documents(docs).collect())
+    # 18 words, 27 are taken: nine passes; which rows come twice follows from their hashes.
+    assert sum(got.values()) == 9 and set(got) == {(r[3], tuple(r[4])) for r in rows}
+    assert all(n <= 2 * sum((r[3], tuple(r[4])) == k for r in rows) for k, n in got.items())
+
+
+def test_positions_follow_due_times_without_gaps(spark, corpus):
+    sized = corpus.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    plan = mixing.plan_mix(sized, ["doc_id"]).collect()
+    passes = sorted((p["time"], r["doc_id"], r["source"], r["copy"], p["words"]) for r in plan for p in r["passes"])
+    begins, at = {}, 0
+    for _, doc, source, copy, words in passes:
+        begins.setdefault((doc, source, copy), []).append(at)
+        at += words
+    got = mixing.with_positions(mixing.plan_mix(sized, ["doc_id"]), ["doc_id"]).collect()
+    assert len(got) == len(plan) and sum(r["n_passes"] for r in got) == len(passes)
+    for r in got:
+        want = begins.get((r["doc_id"], r["source"], r["copy"]))
+        assert (r["first_position"], r["last_position"]) == ((want[0], want[-1]) if want else (None, None))
