@@ -19,7 +19,7 @@ LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 KINDS = (
     ("email", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++", r"(?<![A-Za-z0-9._%+-])", ""),
     ("key", r"(?:AKIA|ASIA)[A-Z0-9]{16}", r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"),
-    ("secret", r"[A-Za-z0-9+/_-]{8,}", r"(?<=[=\"])(?<=(?:password|passwd|secret|token|api_key) {0,1}= {0,1}\"{0,1})", ""),
+    ("secret", r"[A-Za-z0-9+/_-]{8,}", r"(?<=[=\"])(?<=(?:password|passwd|secret|token|api[_-]key) {0,1}= {0,1}\"{0,1})", ""),
     ("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"),
     ("ip", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", r"(?<![0-9.])", r"(?![0-9]|\.[0-9])"),
     ("date", r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})", r"(?<![0-9/.-])", r"(?![0-9/-]|\.[0-9])"),
@@ -45,16 +45,23 @@ def _is(value: str, kind: str) -> str:
     return f"{value} RLIKE {_quoted('^(?:' + dict((k[0], k[1]) for k in KINDS)[kind] + ')$')}"
 
 
+def let(value: str, name: str, body: str) -> str:
+    """SQL that computes ``value`` once and names it in ``body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def scramble_sql(value: str, key: int, alphabets: tuple[str, ...] = (LOWER, UPPER, DIGITS), rounds: int = 6) -> str:
     """SQL for a keyed permutation of strings that keeps every character's alphabet: a Feistel network over the two halves.
 
-    A round shifts each character of one half, within its alphabet, by a hash of the other half and the place. Characters of no alphabet stay.
+    A round shifts each character of one half, within its alphabet, by a hash of its place and of the other half's hash, which is
+    taken once a round: work grows with the value's length. Characters of no alphabet stay.
     """
 
     def shifted(half: str, other: str) -> str:
-        shift = f"xxhash64({key}L, i, p, {other})"
-        cases = " ".join(f"WHEN instr('{a}', substr({half}, p, 1)) > 0 THEN substr('{a}', CAST(pmod(instr('{a}', substr({half}, p, 1)) - 1 + pmod({shift}, {len(a)}L), {len(a)}L) AS INT) + 1, 1)" for a in alphabets)
-        return f"CASE WHEN {half} = '' THEN '' ELSE array_join(transform(sequence(1, length({half})), p -> CASE {cases} ELSE substr({half}, p, 1) END), '') END"
+        shift = f"xxhash64({key}L, i, p, h)"
+        cases = " ".join(f"WHEN instr('{a}', c) > 0 THEN substr('{a}', CAST(pmod(instr('{a}', c) - 1 + pmod({shift}, {len(a)}L), {len(a)}L) AS INT) + 1, 1)" for a in alphabets)
+        moved = let(f"xxhash64({key}L, i, {other})", "h", f"array_join(transform(split({half}, ''), (c, p) -> CASE {cases} ELSE c END), '')")
+        return f"CASE WHEN {half} = '' THEN '' ELSE {moved} END"
 
     return (
         f"aggregate(sequence(0, {rounds - 1}), named_struct('l', substr({value}, 1, CAST(length({value}) div 2 AS INT)), 'r', substr({value}, CAST(length({value}) div 2 AS INT) + 1)), "
@@ -62,11 +69,6 @@ def scramble_sql(value: str, key: int, alphabets: tuple[str, ...] = (LOWER, UPPE
     )
 
 
-def let(value: str, name: str, body: str) -> str:
-    """SQL that computes ``value`` once and names it in ``body``."""
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
-
-
 def _digits(value: str) -> str:
     return f"regexp_replace({value}, '[^0-9]', '')"
 
