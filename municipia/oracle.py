@@ -506,3 +506,11 @@ seen AS (SELECT DISTINCT CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) =
 joined AS (SELECT seen.*, mic FROM seen LEFT JOIN places USING (mun))
 SELECT category, nullif(count(DISTINCT mic), 0) AS micro_regions, nullif(count(mic), 0) AS municipalities, nullif(count(*) FILTER (mic IS NULL), 0) AS rejected_rows
 FROM joined GROUP BY category"""
+
+ORACLES["clustered_scope"] = f"""WITH {_FACT}
+SELECT uf, category, year, CAST(sum(a) AS DOUBLE) AS a, CAST(sum(p) AS DOUBLE) AS p, CAST(sum(v) AS DOUBLE) AS v, count(DISTINCT mun) AS municipalities
+FROM fact WHERE uf = 'NATION_3' AND category BETWEEN 'Brand#2' AND 'Brand#4' GROUP BY ALL"""
+
+ORACLES["bucketed_places"] = f"""WITH {_FACT}
+SELECT places.mun, places.mun_name, places.mic, places.uf, CAST(sum(a) AS DOUBLE) AS a, CAST(sum(p) AS DOUBLE) AS p, count(DISTINCT category) AS categories
+FROM places LEFT JOIN fact USING (mun) GROUP BY ALL"""

@@ -820,7 +820,8 @@ def export_document(spark, folder):
 
 # -- batches from file to file --------------------------------------------------------------------------------
 
-BATCHES = ("crop_package", "rejected_crop_cells", "ingested_slices", "landed_slice_rows", "refreshed_crop", "refreshed_livestock", "livestock_package", "geo_files")
+BATCHES = ("crop_package", "rejected_crop_cells", "ingested_slices", "landed_slice_rows", "refreshed_crop", "refreshed_livestock", "livestock_package", "geo_files",
+           "clustered_scope", "bucketed_places")
 
 
 @query
@@ -869,3 +870,15 @@ def livestock_package(spark, folder):
 def geo_files(spark, folder):
     """Feature collections read from disk and features written."""
     return roundtrips.geo_files(spark, folder)
+
+
+@query
+def clustered_scope(spark, folder):
+    """A scope's sums from the base table ordered by state and category."""
+    return roundtrips.clustered_scope(spark, folder)
+
+
+@query
+def bucketed_places(spark, folder):
+    """Sums per municipality from tables that share their buckets."""
+    return roundtrips.bucketed_places(spark, folder)

@@ -13,6 +13,7 @@ from municipia.functions.units import scaled, total, whole_units
 from municipia.operators.choropleth import attach_values_to_features
 from municipia.plans import crop, livestock, refresh, standin
 from municipia.session import run_folder
+from municipia.sinks.clustered import bucket_number, read_clustered, write_bucketed, write_clustered
 from municipia.sinks.files import save_category_groups, write_csv, write_geo_features
 from municipia.sinks.slices import land_slices, slice_lines
 from municipia.sources.api import read_localities
@@ -253,3 +254,29 @@ def geo_files(spark: SparkSession, folder: str) -> DataFrame:
     back = spark.read.schema("type string, properties struct<codarea:string,value:double>, geometry struct<type:string,coordinates:array<array<array<long>>>>").json(f"{work}/features")
     return back.groupBy("type", F.col("properties.codarea").alias("codarea"), F.col("properties.value").alias("value"), F.col("geometry.type").alias("shape")).agg(
         F.count(F.lit(1)).alias("features"), F.sum(F.col("geometry.coordinates")[0][0][0]).alias("corner"))
+
+
+BASE_COLUMNS = ("uf", "mic", "mun", "category", "year", "a", "p", "v")
+BASE_SCHEMA = "uf string, mic string, mun long, category string, a long, p long, v long, year int"
+
+
+def clustered_scope(spark: SparkSession, folder: str) -> DataFrame:
+    """A state's and a category's rows of the clustered base table, summed by year; the scan skips row groups of other scopes."""
+    path = f"{run_folder(spark, 'clustered')}/base"
+    write_clustered(standin.crop_fact(spark, folder, *BASE_COLUMNS), path)
+    base = read_clustered(spark, path, BASE_SCHEMA)
+    chosen = base.where((F.col("uf") == "NATION_3") & F.col("category").between("Brand#2", "Brand#4"))
+    sums = [total(chosen, m) for m in ("a", "p", "v")]
+    return scaled(chosen.groupBy("uf", "category", "year").agg(*sums, F.count_distinct("mun").alias("municipalities")), standin.CROP_UNITS)
+
+
+def bucketed_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Every municipality with its name and sums, from a base and a dimension that share their buckets: neither join nor roll-up shuffles."""
+    work = run_folder(spark, "bucketed")
+    base = standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p")
+    buckets = bucket_number(standin.table(spark, folder, "lineitem").count())
+    facts = write_bucketed(base, f"{work}/base", ["mun"], buckets)
+    places = write_bucketed(standin.geography(spark, folder), f"{work}/places", ["mun"], buckets)
+    rolled = facts.groupBy("mun").agg(total(facts, "a"), total(facts, "p"), F.count_distinct("category").alias("categories"))
+    joined = scaled(places.join(rolled, "mun", "left"), standin.CROP_UNITS)
+    return joined.select("mun", "mun_name", "mic", "uf", "a", "p", F.coalesce("categories", F.lit(0)).alias("categories"))
