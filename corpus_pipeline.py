@@ -27,14 +27,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id. Rows that repeat that id stay once.
+    """One document of each group of near duplicates stays: the one with the smallest id. Of rows that repeat that id, the one with the least digest stays.
 
     Rows without an id can't be told apart by the links; they stay.
     """
     found = simhash.near_duplicates(docs)
     kept = found.filter(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    numbered = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return numbered.join(kept, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+    row = F.struct(*(docs[c] for c in docs.columns))
+    numbered = docs.filter(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
+    once = numbered.groupBy("doc_id").agg(F.min_by(row, mixing.row_digest(docs)).alias("row")).select("row.*")
+    return once.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
