@@ -88,3 +88,9 @@ def test_odd_rows_and_empty_tables_pass_every_stage(spark, odd):
                 continue
             rows = stage(spark, docs, SF).collect()
             assert name in ("toxicity", "near_duplicates", "mixing") or docs.isEmpty() or len(rows) >= docs.count()
+
+
+def test_of_different_rows_under_one_id_the_same_one_stays(spark):
+    docs = spark.createDataFrame([(1, f"text number {n} of its own kind", "en", "s", n) for n in range(40)] + [(2, "something else altogether here", "pt", "s", 1)], DOCS)
+    got = [sorted(map(tuple, corpus_pipeline.simhash_stage(spark, docs.repartition(n), SF).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len({r[0] for r in got[0]}) == len(got[0])
