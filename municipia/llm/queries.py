@@ -34,7 +34,8 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = F.crc32(F.concat_ws(",", "probe.keyframe_offsets", "probe.keyframe_sizes").cast("binary"))
     feature = F.concat_ws("|", "probe.codec", "probe.width", "probe.height", "probe.timescale", "probe.duration", "probe.samples", F.size("probe.keyframe_offsets"), ranges)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return seen.select("doc_id", n_bytes.alias("n_bytes"), "digests.*", feature.alias("feature"))
+    stored = ["probe.codec", "probe.timescale", "probe.duration", "probe.keyframe_offsets", "probe.keyframe_sizes"]
+    return seen.select("doc_id", n_bytes.alias("n_bytes"), "digests.*", feature.alias("feature"), *stored)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
