@@ -85,6 +85,9 @@ def _magnitude(value: str) -> str:
 _TARGETS = ", ".join(f"({t!r})" for t in catalogue.FLAG_TARGETS)
 _PLAIN = "trim(translate(lower({0}), '()', ''))"
 _MATCH = f"contains({_PLAIN.format('category')}, {_PLAIN.format('target')}) OR contains({_PLAIN.format('target')}, {_PLAIN.format('category')})"
+_LISTED_NAMES = """names AS (SELECT p_name AS category FROM part UNION SELECT c_name FROM customer UNION SELECT s_name FROM supplier),
+        targets AS (SELECT DISTINCT '(' || upper(p_name) || ')' AS target FROM part
+                    UNION SELECT ' (' || substr(split_part(s_name, '#', 2), 4, 6) || ')' FROM supplier)"""
 _CODED = """coded AS (
   SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN '99' ELSE lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END || CAST(c_custkey AS VARCHAR) AS mun,
          CASE WHEN c_mktsegment = 'BUILDING' THEN 'NATION_0' ELSE 'NATION_' || c_nationkey END AS uf_file FROM customer),
@@ -171,6 +174,9 @@ ORACLES: dict[str, str] = {
         FROM totals LEFT JOIN units USING (category)""",
     "bootstrap_flags": f"""WITH targets(target) AS (VALUES {_TARGETS}), names AS (SELECT DISTINCT p_name AS category FROM part)
         SELECT target, min(category) AS category FROM names JOIN targets ON {_MATCH} GROUP BY target""",
+    "name_matches": f"""WITH {_LISTED_NAMES} SELECT category, target FROM names JOIN targets ON {_MATCH}""",
+    "first_name_matches": f"""WITH {_LISTED_NAMES}
+        SELECT target, min(category) AS category, count(*) AS matches FROM names JOIN targets ON {_MATCH} GROUP BY target""",
     "bootstrap_type": f"""SELECT DISTINCT p_name || ' ' || p_type AS category,
         CASE WHEN {' OR '.join(f"contains(lower(p_name || ' ' || p_type), '{k}')" for k in catalogue.KIND_KEYWORDS)}
              THEN 'PER' ELSE 'TEM' END AS kind FROM part""",

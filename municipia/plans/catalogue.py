@@ -15,7 +15,7 @@ from municipia import fixed_values as fixed
 from municipia import schemas
 from municipia.functions import cleaning, labels
 from municipia.functions.units import scaled, total, whole_units
-from municipia.operators import choropleth, classify, dims, filters, kpi, lookups, quality, rank, rollup, series
+from municipia.operators import choropleth, classify, dims, filters, kpi, lookups, names, quality, rank, rollup, series
 from municipia.params import Selection
 from municipia.plans import roundtrips, standin
 from municipia.plans.explorer import Explorer
@@ -329,14 +329,33 @@ def unit_labels(spark, folder):
 
 @query
 def bootstrap_flags(spark, folder):
-    names = standin.table(spark, folder, "part").select(F.col("p_name").alias("category")).distinct()
-    return classify.bootstrap_flag(names, FLAG_TARGETS)
+    categories = standin.table(spark, folder, "part").select(F.col("p_name").alias("category")).distinct()
+    return classify.bootstrap_flag(categories, FLAG_TARGETS)
+
+
+def _listed_names(spark, folder):
+    """Names of parts, customers and suppliers, and targets that are too many for a list in code: part names in parentheses, supplier numbers."""
+    columns = {"part": "p_name", "customer": "c_name", "supplier": "s_name"}
+    parts, customers, suppliers = (standin.table(spark, folder, t).select(F.col(c).alias("category")) for t, c in columns.items())
+    number = F.concat(F.lit(" ("), F.substring_index("category", "#", -1).substr(4, 6), F.lit(")"))
+    targets = parts.select(F.upper(F.concat(F.lit("("), "category", F.lit(")"))).alias("target")).union(suppliers.select(number))
+    return parts.union(customers).union(suppliers), targets
+
+
+@query
+def name_matches(spark, folder):
+    return names.matched_names(*_listed_names(spark, folder))
+
+
+@query
+def first_name_matches(spark, folder):
+    return names.first_matches(*_listed_names(spark, folder))
 
 
 @query
 def bootstrap_type(spark, folder):
-    names = standin.table(spark, folder, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("category")).distinct()
-    return classify.bootstrap_type(names, KIND_KEYWORDS)
+    categories = standin.table(spark, folder, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("category")).distinct()
+    return classify.bootstrap_type(categories, KIND_KEYWORDS)
 
 
 def _with_new_categories(df: DataFrame) -> DataFrame:
@@ -605,8 +624,8 @@ def top_micros_zeros(spark, folder):
 def mun_ranking(spark, folder):
     by_mun = rollup.rollup(standin.crop_fact(spark, folder, "uf", "mun", "p"), ["uf", "mun"], ["p"])
     best = rank.top_k_per_scope(by_mun, ["uf"], 100, "p", "mun")
-    names = standin.geography(spark, folder).select("mun", "mun_name", "mic_name")
-    return crop_amounts(names.join(best, "mun"))
+    places = standin.geography(spark, folder).select("mun", "mun_name", "mic_name")
+    return crop_amounts(places.join(best, "mun"))
 
 
 @query
