@@ -30,12 +30,13 @@ def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    seen = media.with_digests(media.with_probe(media.with_media(docs)))
+    seen = media.with_read_back(media.with_media(docs), out="probe")
     ranges = F.crc32(F.concat_ws(",", "probe.keyframe_offsets", "probe.keyframe_sizes").cast("binary"))
     feature = F.concat_ws("|", "probe.codec", "probe.width", "probe.height", "probe.timescale", "probe.duration", "probe.samples", F.size("probe.keyframe_offsets"), ranges)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    digests = [f"probe.{field.split()[0]}" for field in media.DIGESTS.split(", ")]
     stored = ["probe.codec", "probe.timescale", "probe.duration", "probe.keyframe_offsets", "probe.keyframe_sizes"]
-    return seen.select("doc_id", n_bytes.alias("n_bytes"), "digests.*", feature.alias("feature"), *stored)
+    return seen.select("doc_id", n_bytes.alias("n_bytes"), *digests, feature.alias("feature"), *stored)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,6 +201,94 @@ def test_media_reads_large_boxes_open_ends_and_varied_samples():
     assert media.probe(b"not a file") is None and media.probe(moov[:-9]) is None and media.probe(None) is None
 
 
+def track_box(number, handler, entry, *tables):
+    from struct import pack
+
+    head = media.full_box(b"tkhd", pack(">IIIII", 0, 0, number, 0, 0))
+    stbl = media.box(b"stbl", media.full_box(b"stsd", pack(">I", 1), media.box(entry, bytes(24), pack(">HH", 640, 480), bytes(50))), *tables)
+    mdhd = media.full_box(b"mdhd", pack(">IIIIHH", 0, 0, 1_000 * number, 0, 0, 0))
+    hdlr = media.full_box(b"hdlr", bytes(4), handler, bytes(13))
+    return media.box(b"trak", head, media.box(b"mdia", mdhd, hdlr, media.box(b"minf", stbl)))
+
+
+def test_media_tracks_are_kept_apart():
+    from struct import pack
+
+    sound = track_box(
+        1, b"soun", b"mp4a", media.full_box(b"stts", pack(">III", 1, 2, 40)), media.full_box(b"stsz", pack(">III", 0, 2, 5) + pack(">I", 6)),
+        media.full_box(b"stsc", pack(">IIII", 1, 1, 2, 1)), media.full_box(b"stco", pack(">II", 1, 2_000)),
+    )
+    picture = track_box(
+        2, b"vide", b"avc1", media.full_box(b"stts", pack(">IIIII", 2, 1, 10, 2, 30)), media.full_box(b"ctts", pack(">IIiIi", 2, 2, 5, 1, -7), version=1),
+        media.full_box(b"stsz", pack(">II3I", 0, 3, 100, 20, 30)), media.full_box(b"stsc", pack(">IIII", 1, 1, 3, 1)),
+        media.full_box(b"stco", pack(">II", 1, 3_000)), media.full_box(b"stss", pack(">III", 2, 1, 3)),
+    )
+    one, two = media.probe_tracks(media.box(b"moov", sound, picture))
+    assert one == {
+        "track_id": 1, "handler": "soun", "codec": "mp4a", "width": 0, "height": 0, "timescale": 1_000, "duration": 80, "samples": 2,
+        "keyframe_offsets": [2_000, 2_005], "keyframe_sizes": [5, 6], "keyframe_times": [0, 40],
+    }
+    assert (two["codec"], two["width"], two["duration"]) == ("avc1", 640, 70)
+    assert (two["keyframe_offsets"], two["keyframe_sizes"], two["keyframe_times"]) == ([3_000, 3_120], [100, 30], [5, 33])
+    main = media.probe(media.box(b"moov", sound, picture))
+    assert main == {k: v for k, v in two.items() if k in main} and len(main) == 8
+    assert media.probe(media.box(b"moov", sound))["codec"] == "mp4a"
+    assert media.probe(media.box(b"moov", picture, picture)) is None and media.probe(media.box(b"moov")) is None
+
+
+def test_media_fragments():
+    from struct import pack
+
+    empty = (
+        media.full_box(b"stts", pack(">I", 0)), media.full_box(b"stsz", pack(">II", 0, 0)), media.full_box(b"stsc", pack(">I", 0)), media.full_box(b"stco", pack(">I", 0)),
+    )
+    trex = media.full_box(b"trex", pack(">IIIII", 2, 1, 10, 7, 0x10000))
+    moov = media.box(b"moov", track_box(1, b"soun", b"mp4a", *empty), track_box(2, b"vide", b"hvc1", *empty), media.box(b"mvex", trex))
+    # The first run marks its first sample as a keyframe, the second goes on behind it; the other track's data follow.
+    picture = media.box(
+        b"traf", media.full_box(b"tfhd", pack(">I", 2), flags=0x20000), media.full_box(b"tfdt", pack(">Q", 1 << 33), version=1),
+        media.full_box(b"trun", pack(">IiI", 3, 500, 0), flags=5), media.full_box(b"trun", pack(">IIIII", 2, 8, 0x10000, 9, 0), flags=0x600),
+    )
+    sound = media.box(b"traf", media.full_box(b"tfhd", pack(">III", 1, 4, 3), flags=0x18), media.full_box(b"trun", pack(">I", 2)))
+    stray = media.box(b"traf", media.full_box(b"tfhd", pack(">I", 9)), media.full_box(b"trun", pack(">I", 2)))
+    moof = media.box(b"moof", picture, sound, stray)
+    first = moov + moof
+    one, two = media.probe_tracks(first + media.box(b"mdat", bytes(80)) + moof)
+    again = len(first) + 88
+    ranges = [b + 500 for b in (len(moov), again)]
+    assert two["samples"] == 10 and two["keyframe_sizes"] == [7, 9, 7, 9]
+    assert two["keyframe_offsets"] == [x + y for x in ranges for y in (0, 29)] and two["keyframe_times"] == [(1 << 33) + t for t in (0, 40)] * 2
+    assert one["keyframe_offsets"] == [x + 38 + y for x in ranges for y in (0, 3)] and one["keyframe_times"] == [0, 4, 8, 12] and one["duration"] == 16
+    many = media.box(b"moof", media.box(b"traf", media.full_box(b"tfhd", pack(">I", 2)), media.full_box(b"trun", pack(">I", 0xFFFFFFFF))))
+    assert media.probe_tracks(moov + many) is None
+
+
+def test_media_of_deep_boxes_and_cut_files():
+    deep = b""
+    for _ in range(5_000):
+        deep = media.box(b"moov", deep)
+    assert media.probe(deep) is None and media.probe_tracks(deep) is None
+    stored = media.encode(media.pad(b"some text" * 500))
+    head = len(stored) - 8 - 4_544
+    assert media.probe(stored) is not None and all(media.probe(stored[:n]) is None for n in range(0, head, 7))
+
+
+def test_media_tracks_as_a_column(spark):
+    files = [(1, media.encode(media.pad(b"x" * 3_000))), (2, b"no file"), (3, None)]
+    rows = {r["id"]: r["tracks"] for r in media.with_tracks(spark.createDataFrame(files, "id int, media binary")).collect()}
+    assert rows[2] is None and rows[3] is None and len(rows[1]) == 1
+    track, probe = rows[1][0].asDict(), media.probe(files[0][1])
+    assert probe == {k: track[k] for k in probe} and (track["track_id"], track["handler"], track["keyframe_times"]) == (1, "vide", [0, 16, 32])
+    silent = media.box(b"moov", track_box(4, b"vide", b"avc1", media.full_box(b"stsz", bytes(8)), media.full_box(b"stsc", bytes(4)), media.full_box(b"stco", bytes(4))))
+    (row,) = media.with_tracks(spark.createDataFrame([(silent, "x")], "film binary, tracks string"), "film").collect()
+    assert media.probe_tracks(silent)[0]["keyframe_times"] is None and row["tracks"][0]["keyframe_times"] is None and row["tracks"][0]["samples"] == 0
+
+
+def test_media_is_made_once_for_probe_and_digests(spark):
+    plan = queries.op4_media(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("media_of(") == 1
+
+
 def test_media_query(spark, corpus):
     texts = {r["doc_id"]: (r["text"] or "").encode() for r in corpus.collect()}
     rows = queries.op4_media(spark, SF).collect()
