@@ -115,8 +115,8 @@ def crop_tables(fact: DataFrame, groups: DataFrame | None, work_folder: str, run
     kept = cleaned.where(F.col("rejected") == 0)
     if groups is None:
         groups = bootstrap_groups(kept)
-    # The rebalance hint groups rows by year for the writer and splits a year that is large.
-    base = materialise(base_rows(kept).hint("rebalance", "year"), f"{work_folder}/base", "year")
+    # The tasks of the roll-up write its rows, each a file a year; gathering them by year first would shuffle the whole table again.
+    base = materialise(base_rows(kept), f"{work_folder}/base", "year")
     unfit = materialise(unfit_cells(cleaned, ["mun", "uf", "category", "year"]), f"{work_folder}/rejected_cells")
     report = materialise(crop_checks(cleaned, groups).unionByName(cell_report(unfit)), f"{work_folder}/quality")
     extended = materialise(extend_groups(base, groups), f"{work_folder}/groups", run_id=run_id)

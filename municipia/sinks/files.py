@@ -24,8 +24,8 @@ def sanitize_measures(df: DataFrame) -> DataFrame:
     return df.withColumns({c: sanitize_float(F.col(c)) for c in doubles}) if doubles else df
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("sep", ";").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    df.write.mode(mode).option("sep", ";").option("header", True).option("compression", compression).csv(path)
 
 
 def save_category_groups(groups: DataFrame, path: str) -> None:

@@ -27,7 +27,8 @@ def nested_section(rollup: DataFrame, key: str, member: str, measures: Sequence[
 
 def flat_section(rollup: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int]) -> DataFrame:
     """Key columns -> measure -> array. Several key columns make the key a structure."""
-    packed = pack_series(round_measures(sanitize_measures(rollup)), keys, measures, years)
+    # A roll-up has a narrow row for every key and year; packed before the shuffle, each would travel as a row of all years.
+    packed = pack_series(round_measures(sanitize_measures(rollup)).repartition(*keys), keys, measures, years)
     key = F.col(keys[0]).cast("string") if len(keys) == 1 else F.struct(*keys)
     return packed.select(key.alias("key"), F.struct(*measures).alias("value"))
 

@@ -38,6 +38,6 @@ def materialise(df: DataFrame, path: str, *partition_by: str, run_id: str | None
     wanted = run_id or input_fingerprint(df)
     if wanted is None or _finished(df, marker) != wanted:
         spark.createDataFrame([], "fingerprint string").write.mode("overwrite").parquet(marker)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         spark.createDataFrame([(wanted or "",)], "fingerprint string").write.mode("overwrite").parquet(marker)
     return spark.read.parquet(path)

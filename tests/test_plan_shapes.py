@@ -124,3 +124,22 @@ def test_series_aggregates_run_in_generated_code(spark, span):
             assert not made._jdf.queryExecution().executedPlan().toString().count("SortAggregate")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_crop_batch_shuffles_lines_and_base_rows_no_more_than_needed(large, tmp_path, monkeypatch):
+    """Places join the orders, not the lines; the finest roll-up is written by the tasks that made it."""
+    from municipia.plans import crop, roundtrips, standin
+
+    lines = [x for x in roundtrips.crop_file_rows(large, FOLDER)._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in x]
+    assert "l_orderkey" in lines[0] and any("o_custkey" in x for x in lines[1:])
+    plans, whole = {}, crop.materialise
+
+    def watched(df, path, *rest, **options):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().executedPlan().toString()
+        return whole(df, path, *rest, **options)
+
+    monkeypatch.setattr(crop, "materialise", watched)
+    fact = "mun string, uf_file string, mic string, mic_name string, meso string, meso_name string, year int, category string, a double, p double, v double, r double, mun_name string"
+    rows = [(f"35{n}", "SP", "m", "m", "x", "x", 2000 + n % 2, "Soja", 1.0, 2.0, 3.0, 4.0, "n") for n in range(6)]
+    made = crop.crop_tables(large.createDataFrame(rows, fact), standin.category_groups(large, FOLDER), str(tmp_path))
+    assert plans["base"].count("Exchange") == 1 and made.base.count() == 6
