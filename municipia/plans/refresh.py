@@ -36,10 +36,12 @@ def read_slices(spark: SparkSession, path: str) -> DataFrame:
 def refresh(rows: DataFrame, touched: DataFrame, folder: str, rollups: Rollups) -> list[int]:
     """``rows`` are the base rows of the ``touched`` slices (year, uf), complete. Returns the years that were computed again."""
     spark = rows.sparkSession
-    touched = touched.select("year", "uf").dropna().distinct()
-    years = sorted(r["year"] for r in touched.select("year").distinct().collect())  # a survey has few years
+    slices = touched.select("year", "uf").dropna().distinct()
+    named = slices.collect()  # at most a row for each year and state; found once, as the load may be a pass over delimited files
+    years = sorted({r["year"] for r in named})
     if not years:
         return []
+    touched = spark.createDataFrame(named, slices.schema)
     overwrite_slices(rows, touched, f"{folder}/base", ["year", "uf"])
     base = read_slices(spark, f"{folder}/base").where(F.col("year").isin(*years))
     calendar = spark.createDataFrame([(y,) for y in years], "year int")

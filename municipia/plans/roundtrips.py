@@ -16,6 +16,7 @@ from municipia.session import run_folder
 from municipia.sinks.clustered import bucket_number, read_clustered, write_bucketed, write_clustered
 from municipia.sinks.files import save_category_groups, write_csv, write_geo_features
 from municipia.sinks.slices import land_slices, slice_lines
+from municipia.sinks.tables import materialise
 from municipia.sources.api import read_localities
 from municipia.sources.files import read_category_groups, read_crop_fact, read_livestock_fact, read_raw_slices, rejected_slice_rows, slice_identity
 from municipia.sources.geo import read_geo_features
@@ -164,8 +165,9 @@ def landed_slice_rows(spark: SparkSession, folder: str) -> DataFrame:
 def refreshed_crop(spark: SparkSession, folder: str) -> DataFrame:
     """The crop roll-ups after three loads: the years up to 1996; the later ones, with one state's 1995 corrected (areas plus one); and one whose 1996 is withdrawn."""
     work, groups = run_folder(spark, "refresh"), standin.category_groups(spark, folder)
-    write_csv(crop_file_rows(spark, folder), f"{work}/landed")
-    fact = read_crop_fact(spark, f"{work}/landed")
+    write_csv(crop_file_rows(spark, folder), f"{work}/landed", compression="lz4")
+    # One pass over the delimited file; every load reads the years it wants of the result.
+    fact = materialise(read_crop_fact(spark, f"{work}/landed"), f"{work}/fact")
     corrected = (F.col("year") == 1995) & (F.col("uf_file") == fixed.STATES[3][1])
     withdrawn = (F.col("year") == 1996) & (F.col("uf_file") == fixed.STATES[5][1])
     refresh.refresh_crop(fact.where("year <= 1996"), groups, f"{work}/tables")

@@ -85,3 +85,19 @@ def test_refresh_after_loads_and_a_batch_cut_off(spark, tmp_path, monkeypatch):
     load()
     assert ask() == [2020, 2021]
     assert (levels()["uf", "SP", 2020], levels()["mic", "m2", 2021]) == (6.0, 7.0)
+
+
+def test_slices_of_a_load_are_found_once(spark, tmp_path, monkeypatch):
+    """A load may be a pass over delimited files; what is written must not read it again for the names of its slices."""
+    groups = spark.createDataFrame([("Soja", "TEM", 1)], "category string, kind string, COL int")
+    path, seen = str(tmp_path / "landed"), []
+    spark.createDataFrame(slice_of("35", 2020, 0), FACT).write.csv(path)
+    whole = refresh.overwrite_slices
+
+    def watched(rows, touched, *rest):
+        seen.append(touched._jdf.queryExecution().executedPlan().toString())
+        whole(rows, touched, *rest)
+
+    monkeypatch.setattr(refresh, "overwrite_slices", watched)
+    assert refresh.refresh_crop(spark.read.schema(FACT).csv(path), groups, str(tmp_path / "tables")) == [2020]
+    assert len(seen) == 5 and not any("FileScan" in text for text in seen)
