@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from municipia.functions.units import total_sql
@@ -79,14 +79,17 @@ def _pack_blocks(df: DataFrame, keys: Sequence[str], measures: Sequence[str], ye
     return blocks.select(*keys, *[array_of(m) for m in measures])
 
 
-def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year") -> DataFrame:
+def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str = "year", rolled_up: bool = False) -> DataFrame:
     """One row per key and year: 0 where absent, with ``is_observed`` to tell zero from missing.
 
     Conditional sums and counts per year as in ``pack_series``, unfolded to rows: one shuffle, no collected lists. Without keys
     there is one series, also for an empty input. Too many years for one aggregate are summed in blocks; a mask of each key's blocks, the only thing
-    shuffled again, tells which are missing.
+    shuffled again, tells which are missing. ``rolled_up`` says that ``df`` has one row per key and year, as a roll-up by them gives: nothing is
+    summed then, and tasks sort narrow rows instead of holding one wide row per key.
     """
     kinds, years = dict(df.dtypes), [int(y) for y in years]
+    if rolled_up and keys and years:
+        return _fill_gaps(df, keys, measures, sorted(set(years)), year)
     if width := _slot_width(years, keys, 2 * len(measures) + 1):
         return _densify_blocks(df, keys, measures, years, year, width)
     cells = []
@@ -100,6 +103,21 @@ def densify(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years:
     return wide.select(*keys, F.expr(f"inline(array({', '.join(f'struct({f})' for f in fields)}))"))
 
 
+def _fill_gaps(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: list[int], year: str) -> DataFrame:
+    """Every row stands for its own year and the missing ones up to its key's next row; the first one also for those before it."""
+    listed = F.array(*[F.lit(y) for y in years])
+    # The place of the row's year in the list; rows of other years come last, and count only where their key has no listed one.
+    placed = df.where(F.col(year).isNotNull()).withColumn("_at", F.nullif(F.array_position(listed, F.col(year).cast("int")), F.lit(0)).cast("int"))
+    along = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_last())
+    ranged = placed.withColumns({"_number": F.row_number().over(along), "_next": F.lead("_at").over(along)})
+    first = F.when(F.col("_number") == 1, F.lit(1)).otherwise(F.col("_at"))
+    spread = ranged.withColumn("_place", F.explode(F.sequence(first, F.coalesce("_next", F.lit(len(years) + 1)) - 1)))
+    own = F.col("_place").eqNullSafe(F.col("_at"))
+    zeros = {m: F.lit(0).cast(kind) for m, kind in df.dtypes}
+    values = [F.coalesce(F.when(own, F.col(m)), zeros[m]).alias(m) for m in measures]
+    return spread.select(*keys, F.element_at(listed, F.col("_place")).alias(year), *values, own.alias("is_observed"))
+
+
 def _densify_blocks(df: DataFrame, keys: Sequence[str], measures: Sequence[str], years: Sequence[int], year: str, width: int) -> DataFrame:
     first = min(years)
     wanted = sorted({(y - first) // width for y in years})

@@ -515,7 +515,7 @@ def dense_series_state(spark, folder):
 @query
 def dense_series_mun_category(spark, folder):
     cells = rollup.rollup(standin.crop_fact(spark, folder, "mun", "category", "year", "a", "p", "v"), ["mun", "category", "year"], CROP)
-    return crop_amounts(series.densify(cells, ["mun", "category"], CROP, standin.years(spark, folder)))
+    return crop_amounts(series.densify(cells, ["mun", "category"], CROP, standin.years(spark, folder), rolled_up=True))
 
 
 @query

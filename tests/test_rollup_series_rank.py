@@ -279,3 +279,16 @@ def test_locale_positions(spark, per_range):
     want = [r.k for r in dims.locale_sorted(df.where("n IS NOT NULL"), "n", "k").collect()] + [10]
     got = {r.position: r.k for r in dims.locale_positions(df, "n", "k", per_range=per_range).collect()}
     assert [got[i] for i in range(len(names))] == want
+
+
+def test_densify_of_a_roll_up_fills_gaps_without_summing(spark, rows):
+    """The same rows as from sums: years missing at either end and between, keys with years outside the list alone, null keys and amounts."""
+    years = [2001, 2002, 2004, 2007]
+    data = [("x", 2002, 1, None), ("x", 2004, None, 5), ("y", 2001, 2, 2), ("y", 2007, 3, 3), ("z", 1990, 9, 9), ("z", 1991, 9, 9), ("w", 1990, 1, 1), ("w", 2007, 1, 1),
+            (None, 2004, 7, 7), ("n", None, 8, 8), *(("full", y, y, -y) for y in years)]
+    df = spark.createDataFrame(data, "k string, year int, a bigint, p bigint")
+    filled = series.densify(df, ["k"], ["a", "p"], years, rolled_up=True)
+    summed = series.densify(df, ["k"], ["a", "p"], years)
+    assert filled.columns == summed.columns and rows(filled) == [tuple(int(v) if not isinstance(v, (str, bool, type(None))) else v for v in r) for r in rows(summed)]
+    text = filled._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in text and "Aggregate" not in text
