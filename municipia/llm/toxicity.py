@@ -14,11 +14,13 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from dataclasses import dataclass, replace
+from collections.abc import Iterator
+from dataclasses import dataclass, fields, replace
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,8 +185,27 @@ def probability(model: Model, text: str | None) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+FITTED = (
+    "ordinary_taken long, toxic_taken long, toxic binary, ordinary binary, threshold double, "
+    "mean array<double>, scale array<double>, weights array<double>, intercept double"
+)
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """FITTED: the numbers of rows and the model of all rows (doc_id, text, toxic, _part); no row without a model."""
+    rows = sorted((r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)), key=lambda r: r[:2])
+    pick = lambda *parts: [(text, toxic) for _, text, toxic, part in rows if part in parts]
+    model, taken = fit(pick(0, 1), pick(3)), Counter(r[2] for r in rows)
+    if model is not None:
+        values = [taken[0], taken[1], *(getattr(model, f.name) for f in fields(Model))]
+        plain = [[float(y) for y in x] if isinstance(x, tuple) else x for x in values]
+        names = [f.split()[0] for f in FITTED.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in plain], names)
+
+
 def train_model(docs: DataFrame, labels: DataFrame, bounds: Bounds | None = None) -> Model | None:
-    """Fit on labelled rows outside the held-out part. Ids are chosen from ``labels`` alone; only the chosen texts reach the driver.
+    """Fit on labelled rows outside the held-out part. Ids are chosen from ``labels`` alone; only the chosen texts reach the task that fits,
+    and the driver gets no text.
 
     Dictionaries learn from the rows whose id's checksum leaves 0 or 1 when divided by 4, calibration from those that leave 3.
     Labels other than 0 and 1 and null ids are passed over.
@@ -195,14 +216,13 @@ def train_model(docs: DataFrame, labels: DataFrame, bounds: Bounds | None = None
     some = lambda y, n: known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = F.broadcast(some(1, bounds.toxic).unionAll(some(0, bounds.ordinary)))  # at most bounds.toxic + bounds.ordinary ids
     texts = docs.select("doc_id", "text").filter(F.length("text") <= bounds.longest).join(chosen, "doc_id")
-    rows = texts.withColumn("_part", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    pick = lambda *parts: [(r["text"], r["toxic"]) for r in rows if r["_part"] in parts]
-    model = fit(pick(0, 1), pick(3))
-    if model is None:
+    rows = texts.withColumn("_part", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4).select("doc_id", "text", "toxic", "_part")
+    found = rows.repartition(1).mapInArrow(_fitted, FITTED).first()  # the rows are bounded by ``bounds``
+    if found is None:
         return None
+    *taken, model = found["ordinary_taken"], found["toxic_taken"], Model(*(tuple(x) if isinstance(x, list) else bytes(x) if isinstance(x, bytearray) else x for x in found[2:]))
     # The classes are sampled at different rates; a probability has to follow their true shares.
-    labelled, taken = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}, Counter(r["toxic"] for r in rows)
+    labelled = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     return replace(model, intercept=model.intercept + math.log(labelled[1] / taken[1]) - math.log(labelled[0] / taken[0]))
 
 
