@@ -416,3 +416,23 @@ def test_long_values_take_time_in_proportion(docs_of):
     assert time.time() - begin < 60 and rows[1]["n"] == rows[3]["n"] == 1
     assert rows[1]["text"].startswith("password=") and len(rows[1]["text"]) == len(secret) and rows[1]["text"] != secret
     assert rows[2]["text"].endswith(mail[1:]) and rows[3]["text"] != "api-key=abcdEFGH1234"
+
+
+def test_the_toxicity_model_is_fitted_outside_the_driver(spark, docs_of, monkeypatch):
+    """The same model as from the rows at hand; the driver neither fits it nor gets the texts."""
+    rng = np.random.default_rng(21)
+    plain, rude = ([f"{stem}{k}" for k in range(200)] for stem in ("calm", "vile"))
+    rows = [(i, " ".join(rng.choice(rude if i % 5 == 0 else plain, 30))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    parts = {i: zlib.crc32(str(i).encode()) % 4 for i, _ in rows}
+    pick = lambda *some: [(t, int(i % 5 == 0)) for i, t in rows if parts[i] in some]
+    want, taken = toxicity.fit(pick(0, 1), pick(3)), sum(parts[i] != 2 for i, _ in rows)
+
+    def refuse(*_):
+        raise AssertionError("fitted in the driver")
+
+    monkeypatch.setattr(toxicity, "fit", refuse)
+    model = toxicity.train_model(docs_of(rows), labels)
+    assert taken < 9_000 and model.intercept == pytest.approx(want.intercept) and model.weights == pytest.approx(want.weights)
+    assert (model.toxic, model.ordinary, model.threshold) == (want.toxic, want.ordinary, want.threshold)
+    assert toxicity.train_model(docs_of(rows), labels.filter("toxic = 0")) is None
