@@ -180,13 +180,19 @@ def _negatives(level: float | None, most: int) -> Callable:
     return find
 
 
+def _met(left: DataFrame, right: DataFrame, on: list[str] | str | Column, how: str = "inner") -> DataFrame:
+    """A join by shuffles, never by broadcast. Spark would choose that by the size of compressed files, or of rows before an explode: a small part of
+    what the driver then holds."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _asked(queries: DataFrame, index: DataFrame, blocks: int, find: Callable, schema: str) -> DataFrame:
     """What ``find`` makes of every block of queries with every index block of the same vector size. ``queries``: size, row, label, x, goals."""
     parts = -(-queries.count() // QUERIES)
     part = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(max(1, parts)))
     gathered = queries.groupBy("size", part.alias("part")).agg(F.collect_list(F.struct("row", "label", "x", "goals")).alias("asked"))
     dealt = gathered.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    return dealt.join(index, ["size", "block"]).mapInArrow(find, schema)
+    return _met(dealt, index, ["size", "block"]).mapInArrow(find, schema)
 
 
 def _best(found: DataFrame, by: list[str], order: list[Column], most: int, struct: list[str]) -> DataFrame:
@@ -220,8 +226,8 @@ def hard_negatives(rows: DataFrame, anchors: Column, positives: int = POSITIVES,
     index = table(dealt.groupBy("size", "block").applyInArrow(indexed, INDEX))
 
     marked = named.withColumnRenamed("id", "vec_id").filter(anchors).select(F.col("vec_id").alias("anchor_id"), "label", "x").distinct()
-    owned = cut(marked.join(classes.select("label", "x", "row"), ["label", "x"]).select("anchor_id", "row"))
-    queries = classes.drop("ids").join(owned.select("row").distinct(), "row", "left_semi").withColumn("goals", F.lit(None).cast("array<bigint>"))
+    owned = cut(_met(marked, classes.select("label", "x", "row"), ["label", "x"]).select("anchor_id", "row"))
+    queries = _met(classes.drop("ids"), owned.select("row").distinct(), "row", "left_semi").withColumn("goals", F.lit(None).cast("array<bigint>"))
 
     tops, open_ = [], cut(queries)
     for level in POSITIVE_LEVELS:
@@ -230,13 +236,13 @@ def hard_negatives(rows: DataFrame, anchors: Column, positives: int = POSITIVES,
         done = best if level is None else best.filter(F.size("best") == most)
         tops.append(done)
         if level is not None:
-            open_ = cut(open_.join(done, open_["row"] == done["query"], "left_anti"))
+            open_ = cut(_met(open_, done, open_["row"] == done["query"], "left_anti"))
             if open_.isEmpty():
                 break
     tops = cut(_stacked(tops))
 
     goals = tops.select("query", F.array_distinct(F.filter("best.score", lambda s: s >= 0)).alias("goals")).filter(F.size("goals") > 0)
-    open_ = cut(classes.drop("ids").join(goals, classes["row"] == goals["query"]).drop("query"))
+    open_ = cut(_met(classes.drop("ids"), goals, classes["row"] == goals["query"]).drop("query"))
     lows = []
     for level in NEGATIVE_LEVELS:
         found = _asked(open_, index, blocks, _negatives(level, negatives), "query long, goal long, id long, score long")
@@ -245,17 +251,17 @@ def hard_negatives(rows: DataFrame, anchors: Column, positives: int = POSITIVES,
         lows.append(done)
         if level is not None:
             full = done.groupBy("query").agg(F.collect_list("goal").alias("full"))
-            left = open_.join(full, open_["row"] == full["query"], "left").withColumn("goals", F.array_except("goals", F.coalesce("full", F.array().cast("array<bigint>"))))
+            left = _met(open_, full, open_["row"] == full["query"], "left").withColumn("goals", F.array_except("goals", F.coalesce("full", F.array().cast("array<bigint>"))))
             open_ = cut(left.drop("query", "full").filter(F.size("goals") > 0))
             if open_.isEmpty():
                 break
 
-    others = owned.join(tops, owned["row"] == tops["query"])
+    others = _met(owned, tops, owned["row"] == tops["query"])
     own = lambda e: (e["id"] == F.col("anchor_id")) & (e["row"] == F.col("query"))
     chosen = others.select("anchor_id", "query", F.explode(F.slice(F.filter("best", lambda e: ~own(e)), 1, positives)).alias("p"))
     pairs = chosen.select("anchor_id", "query", F.col("p.id").alias("positive_id"), F.col("p.score").alias("goal"))
     lists = _stacked(lows).withColumnsRenamed({"query": "_query", "goal": "_goal"})
-    out = pairs.join(lists, (F.col("query") == F.col("_query")) & (F.col("goal") == F.col("_goal"))).withColumn("n", F.explode("best"))
+    out = _met(pairs, lists, (F.col("query") == F.col("_query")) & (F.col("goal") == F.col("_goal"))).withColumn("n", F.explode("best"))
     return out.select("anchor_id", "positive_id", F.col("n.rank").alias("rank"), F.col("n.id").alias("negative_id"), F.col("goal").alias("positive_score"), F.col("n.score").alias("negative_score"))
 
 

@@ -81,6 +81,26 @@ def test_negatives_with_ties_and_odd_rows(spark):
     assert sorted(tuple(r) for r in negatives.hard_negatives(clash, F.col("vec_id") % 10 == 0).collect()) == brute_negatives(rows, every=10)
 
 
+def test_negatives_broadcast_nothing(spark, monkeypatch):
+    """No join of any step goes through the driver, however small Spark takes its sides to be."""
+    plans = []
+
+    def planned(step):
+        def seen(df):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return step(df)
+
+        return seen
+
+    for name in ("cut", "table"):
+        monkeypatch.setattr(negatives, name, planned(getattr(negatives, name)))
+    rows = crowd(120, 3, 8, 6)
+    out = negatives.hard_negatives(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 10 == 0)
+    planned(lambda df: None)(out)
+    assert sum("SortMergeJoin" in p for p in plans) >= 6 and not any("Broadcast" in p for p in plans)
+    assert sorted(tuple(r) for r in out.collect()) == brute_negatives(rows, every=10)
+
+
 @given(st.integers(0, 10_000), st.integers(1, 40), st.integers(1, 30), st.integers(1, 20), st.floats(-1, 1))
 @settings(max_examples=60, deadline=None)
 def test_threshold_join_finds_all(seed, n, k, size, share):
