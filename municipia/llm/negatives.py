@@ -223,7 +223,8 @@ def hard_negatives(rows: DataFrame, anchors: Column, positives: int = POSITIVES,
     classes = table(classes.select(F.monotonically_increasing_id().alias("row"), "label", F.size("x").alias("size"), "x", "ids"))
     blocks = max(1, -(-classes.count() // BLOCK))
     dealt = classes.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks).cast("long")))
-    index = table(dealt.groupBy("size", "block").applyInArrow(indexed, INDEX))
+    # A file holds about one block: Parquet's reader takes thousands of rows at once, and a row is a block here.
+    index = table(dealt.repartition(blocks, "size", "block").groupBy("size", "block").applyInArrow(indexed, INDEX))
 
     marked = named.withColumnRenamed("id", "vec_id").filter(anchors).select(F.col("vec_id").alias("anchor_id"), "label", "x").distinct()
     owned = cut(_met(marked, classes.select("label", "x", "row"), ["label", "x"]).select("anchor_id", "row"))

@@ -101,6 +101,16 @@ def test_negatives_broadcast_nothing(spark, monkeypatch):
     assert sorted(tuple(r) for r in out.collect()) == brute_negatives(rows, every=10)
 
 
+def test_files_of_the_index_hold_few_blocks(spark, monkeypatch):
+    """A block is one large row, and Parquet's reader takes all rows of a file at once."""
+    made, table = [], negatives.table
+    monkeypatch.setattr(negatives, "BLOCK", 8)
+    monkeypatch.setattr(negatives, "table", lambda df: made.append(table(df)) or made[-1])
+    negatives.hard_negatives(spark.createDataFrame(crowd(480, 3, 8, 7), VECTORS), F.col("vec_id") % 240 == 0)
+    files = [r["count"] for r in made[1].groupBy(F.input_file_name()).count().collect()]
+    assert sum(files) >= 55 and max(files) <= 5
+
+
 @given(st.integers(0, 10_000), st.integers(1, 40), st.integers(1, 30), st.integers(1, 20), st.floats(-1, 1))
 @settings(max_examples=60, deadline=None)
 def test_threshold_join_finds_all(seed, n, k, size, share):
